@@ -19,8 +19,12 @@ def read_team_colours(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TEAM_COLOURS).csv(path, header=True)
 
 
-def packaged_team_colours(spark: SparkSession) -> DataFrame:
-    """The colours shipped with the package (49 lines, sent with the plan)."""
+def team_colour_rows() -> list[tuple[str, ...]]:
+    """The 49 lines shipped with the package."""
     text = resources.files("apexlake.sources").joinpath("seeds/team_colours.csv").read_text("utf-8")
-    lines = [tuple(line) for line in csv.reader(text.splitlines()[1:])]
-    return spark.createDataFrame(lines, TEAM_COLOURS)
+    return [tuple(line) for line in csv.reader(text.splitlines()[1:])]
+
+
+def packaged_team_colours(spark: SparkSession) -> DataFrame:
+    """The shipped colours, sent along with the plan."""
+    return spark.createDataFrame(team_colour_rows(), TEAM_COLOURS)

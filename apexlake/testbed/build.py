@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +19,26 @@ RULES = Rules(
     projection.AGGREGATE_QUALIFYING_SEASON,
     projection.FIRST_KNOCKOUT_SEASON,
 )
+LANDED_AT = "2001-09-01 06:00:00"
 _built: dict[tuple[str, str], Warehouse] = {}
 
 
 def land_pages(spark: SparkSession, folder: str) -> dict[str, RawTable]:
     """Turn the test tables into landed raw pages, one table per endpoint."""
     root = f"{shared_folder(spark)}/raw-{spark.sparkContext.applicationId}-{abs(hash(folder))}"
-    tables = {}
-    for endpoint, rows in projection.Projection(spark, folder).build().items():
+    projected = projection.Projection(spark, folder)
+    endpoints = projected.build()
+    requested = write_once(projected.calendar(), "calendar")
+
+    def land(endpoint: str) -> tuple[str, RawTable]:
         table = RawTable(spark, f"{root}/{endpoint}", per_race=endpoint in PER_RACE)
-        fetched = write_once(pages(rows, endpoint), f"fetched-{endpoint}")
-        table.replace(fetched, fetched, load_id="first", ingested_at=F.lit("2001-09-01 06:00:00").cast("timestamp"))
-        tables[endpoint] = table
-    return tables
+        fetched = pages(endpoints[endpoint], endpoint)
+        table.replace(fetched, requested, load_id="first", ingested_at=F.lit(LANDED_AT).cast("timestamp"))
+        return endpoint, table
+
+    # The endpoints are independent, so their jobs are submitted side by side.
+    with ThreadPoolExecutor(max_workers=4) as submitters:
+        return dict(submitters.map(land, endpoints))
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:

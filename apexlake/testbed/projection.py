@@ -82,13 +82,21 @@ class Projection:
     def source(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
-    def build(self) -> dict[str, DataFrame]:
-        orders = self.source("orders").select(
+    def orders(self) -> DataFrame:
+        return self.source("orders").select(
             F.year("o_orderdate").alias("season"), F.month("o_orderdate").alias("round"),
             F.col("o_orderkey").alias("okey"), F.col("o_custkey").alias("ckey"),
             F.col("o_orderstatus").alias("st"), F.col("o_totalprice").alias("price"),
             F.col("o_orderpriority").alias("prio"),
         )
+
+    def calendar(self) -> DataFrame:
+        """Twelve rounds in every season with an order, run or not."""
+        rounds = F.explode(F.sequence(F.lit(1), F.lit(12))).alias("round")
+        return self.orders().select("season").distinct().select("season", rounds)
+
+    def build(self) -> dict[str, DataFrame]:
+        orders = self.orders()
         ordered = number_rows(
             orders, RACE, [F.col("st") == "P", F.col("price").desc(), F.col("okey")], "finish"
         )
@@ -100,7 +108,7 @@ class Projection:
         sprints = self.sprints(orders)
         laps = self.laps(first_cars)
         return {
-            "races": self.race_rows(orders),
+            "races": self.race_rows(),
             "results": self.result_rows(cars),
             "qualifying": self.qualifying_rows(first_cars),
             "drivers": self.driver_rows(orders),
@@ -111,13 +119,11 @@ class Projection:
             "pit_stops": self.pit_rows(laps),
         }
 
-    def race_rows(self, orders: DataFrame) -> DataFrame:
-        seasons = orders.select("season").distinct()
+    def race_rows(self) -> DataFrame:
         nations = self.source("nation").join(
             self.source("region"), F.col("n_regionkey") == F.col("r_regionkey")
         ).select(F.col("n_nationkey").cast("int").alias("nk"), "n_name", "r_name")
-        calendar = seasons.select("season", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("round"))
-        calendar = calendar.withColumn("nk", (F.col("season") * 12 + F.col("round")) % 25)
+        calendar = self.calendar().withColumn("nk", (F.col("season") * 12 + F.col("round")) % 25)
         rnd = F.col("round")
 
         def day(offset: int) -> Column:
