@@ -40,6 +40,10 @@ class Warehouse:
         return MODELS[name](self)
 
     def table(self, name: str) -> DataFrame:
+        if name == "team_colours":
+            return self.colours
+        if name.startswith("raw_"):
+            return self.raw[name.removeprefix("raw_")]
         if name not in self.tables:
             partitions = ("season",) if name.startswith("stg_") else ()
             planned = self.model(name)

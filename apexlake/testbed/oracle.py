@@ -438,7 +438,9 @@ def statement(body: str) -> str:
     parts = needs(body)
     if not parts:
         return body
-    return "WITH " + ",\n".join(f"{name} AS ({PARTS[name]})" for name in parts) + "\n" + body
+    stated = "WITH " + ",\n".join(f"{name} AS ({PARTS[name]})" for name in parts)
+    body = body.strip()
+    return stated + (",\n" + body[len("WITH"):] if body.startswith("WITH ") else "\n" + body)
 
 
 def select(name: str) -> str:

@@ -6,10 +6,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from apexlake.plans import checks
+from apexlake.plans.assertions import ASSERTIONS, colours_are_hex
+from apexlake.plans.quality import DECLARED
 from apexlake.plans.warehouse import MODELS, Warehouse
 from apexlake.testbed import oracle
-from apexlake.testbed.build import warehouse
+from apexlake.testbed.build import LANDED_AT, warehouse
+from apexlake.testbed.oracle_checks import (
+    ASSERTION_SQL, DAMAGE, accepted_sql, combination_sql, damaged_sql, not_null_sql, relationship_sql, union, unique_sql,
+)
 
 
 @dataclass(frozen=True)
@@ -28,3 +35,56 @@ def register(name: str, plan: Callable[[Warehouse], DataFrame], sql: str | None)
 # Models: planned over the written tables they read.
 for _model in MODELS:
     register(_model, lambda w, m=_model: w.model(m), f"SELECT * FROM {_model}")
+
+# Assertions: on the tables as they are, and on a damaged table, where each must report rows.
+def _damaged(name: str) -> Callable[[Warehouse], DataFrame]:
+    damage, (check, _) = DAMAGE[name], ASSERTIONS[name]
+
+    def plan(w: Warehouse) -> DataFrame:
+        broken = damage.spark(w.table(damage.table))
+        if name == "A23":
+            return colours_are_hex(broken)
+        return check(lambda table: broken if table == damage.table else w.table(table))
+
+    return plan
+
+
+for _name, (_check, _severity) in ASSERTIONS.items():
+    # The seed is a fixed list; over the test tables its check reads the colours of the teams in them.
+    _clean = (lambda w: colours_are_hex(w.table("dim_constructor"))) if _name == "A23" else (
+        lambda w, c=_check: c(w.table))
+    register(f"check_{_name}", _clean, ASSERTION_SQL[_name])
+    register(f"check_{_name}_damaged", _damaged(_name), damaged_sql(_name))
+
+# Declared checks, one line per check.
+_DECLARED = {
+    "dq_not_null": (checks.not_null_lines, not_null_sql),
+    "dq_unique": (checks.unique_lines, unique_sql),
+    "dq_unique_combo": (checks.combination_lines, combination_sql),
+    "dq_relationships": (checks.relationship_lines, relationship_sql),
+    "dq_accepted": (checks.accepted_lines, accepted_sql),
+}
+for _name, (_lines, _sql) in _DECLARED.items():
+    register(_name, lambda w, f=_lines: checks.stacked(f(w.table, DECLARED)), union(_sql()))
+register(
+    "dq_suite",
+    lambda w: checks.build_fails(checks.suite(w.table, DECLARED)),
+    "SELECT * FROM (" + union([line for _, sql in _DECLARED.values() for line in sql()])
+    + ") WHERE severity = 'error' AND violations > 0",
+)
+
+
+def _freshness(w: Warehouse) -> DataFrame:
+    now = F.lit(CHECKED_AT).cast("timestamp")
+    return checks.stacked([
+        checks.freshness(pages, now).select(F.lit(endpoint).alias("endpoint"), "newest", "status")
+        for endpoint, pages in w.raw.items()
+    ])
+
+
+CHECKED_AT = "2001-09-20 06:00:00"
+register("dq_freshness", _freshness, f"""
+SELECT unnest(['races', 'results', 'qualifying', 'drivers', 'driver_standings', 'constructor_standings', 'sprint',
+               'laps', 'pit_stops']) AS endpoint, TIMESTAMP '{LANDED_AT}' AS newest,
+       CASE WHEN TIMESTAMP '{CHECKED_AT}' - TIMESTAMP '{LANDED_AT}' > INTERVAL 30 DAY THEN 'error'
+            WHEN TIMESTAMP '{CHECKED_AT}' - TIMESTAMP '{LANDED_AT}' > INTERVAL 10 DAY THEN 'warn' ELSE 'pass' END AS status""")
