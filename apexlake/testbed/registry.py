@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apexlake.plans import checks
+from apexlake.functions.exprs import DEFAULT_TEAM_COLOUR, DEFAULT_TEXT_COLOUR
+from apexlake.plans import checks, report
 from apexlake.plans.assertions import ASSERTIONS, colours_are_hex
 from apexlake.plans.quality import DECLARED
 from apexlake.plans.warehouse import MODELS, Warehouse
@@ -17,6 +18,7 @@ from apexlake.testbed.build import LANDED_AT, warehouse
 from apexlake.testbed.oracle_checks import (
     ASSERTION_SQL, DAMAGE, accepted_sql, combination_sql, damaged_sql, not_null_sql, relationship_sql, union, unique_sql,
 )
+from apexlake.testbed.oracle_report import MEASURE_SQL, TEST_MINIMUM_RACES, TEST_MINIMUM_STARTS, VIEW_SQL
 
 
 @dataclass(frozen=True)
@@ -88,3 +90,65 @@ SELECT unnest(['races', 'results', 'qualifying', 'drivers', 'driver_standings',
                'laps', 'pit_stops']) AS endpoint, TIMESTAMP '{LANDED_AT}' AS newest,
        CASE WHEN TIMESTAMP '{CHECKED_AT}' - TIMESTAMP '{LANDED_AT}' > INTERVAL 30 DAY THEN 'error'
             WHEN TIMESTAMP '{CHECKED_AT}' - TIMESTAMP '{LANDED_AT}' > INTERVAL 10 DAY THEN 'warn' ELSE 'pass' END AS status""")
+
+# Report measures and pages.
+_MEASURES: dict[str, Callable[..., DataFrame]] = {
+    "R01": report.total_points,
+    "R02": report.points_to_date,
+    "R03": lambda t: report.standings_sum(t, "championship_points"),
+    "R04": lambda t: report.standings_sum(t, "points_scored"),
+    "R05": lambda t: report.standings_sum(t, "points_dropped"),
+    "R06": report.wins,
+    "R07": report.podiums,
+    "R08": report.races_entered,
+    "R09": report.avg_positions_gained,
+    "R10": report.titles,
+    "R11": report.championship_leader,
+    "R12": report.leader_margin,
+    "R13": report.season_progress,
+    "R14": report.qualifying_sessions,
+    "R15": report.head_to_head_wins,
+    "R16": report.head_to_head_losses,
+    "R17": report.head_to_head,
+    "R18": report.median_gap_percent,
+    "R19": report.median_gap_seconds,
+    "R20": lambda t: report.team_colour(t, "team_colour", DEFAULT_TEAM_COLOUR),
+    "R21": lambda t: report.team_colour(t, "text_colour", DEFAULT_TEXT_COLOUR),
+    "R22": lambda t: report.meets_minimum_starts(t, TEST_MINIMUM_STARTS),
+    "R23": report.season_win_rate,
+    "R24": report.season_points_per_start,
+    **{
+        f"R{25 + i}": (lambda t, m=milestone, y=youngest: report.age_record(t, m, y))
+        for i, (milestone, youngest) in enumerate(report.AGE_RECORDS.values())
+    },
+    "R31": report.lap_position,
+    "R32": report.finish_position,
+    "R33": report.finish_rank,
+    "R34": report.show_driver,
+    "R35": report.chart_position,
+    "R36": report.lap_data_note,
+    "R37": report.fastest_lap,
+    "R38": report.fastest_lap_highlight,
+    "R39": report.qualifying_data_note,
+}
+_VIEWS: dict[str, Callable[..., DataFrame]] = {
+    "V01": report.season_cards,
+    "V02": report.season_standings,
+    "V03": report.points_progression,
+    "V04": report.race_result,
+    "V05": report.positions_gained,
+    "V06": report.position_chart,
+    "V07": report.pit_stop_table,
+    "V08": report.qualifying_table,
+    "V09": report.race_cards,
+    "V10": report.teammate_battles,
+    "V11": lambda t: report.career_leaderboard(t, TEST_MINIMUM_STARTS),
+    "V12": lambda t: report.best_seasons(t, TEST_MINIMUM_RACES),
+    "V13": report.title_margins,
+    "V14": report.streak_records,
+    "V15": report.age_records,
+}
+for _name, _measure in _MEASURES.items():
+    register(f"measure_{_name}", lambda w, f=_measure: f(w.table), MEASURE_SQL[_name])
+for _name, _view in _VIEWS.items():
+    register(f"view_{_name}", lambda w, f=_view: f(w.table), VIEW_SQL[_name])
