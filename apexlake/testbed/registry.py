@@ -13,7 +13,7 @@ from apexlake.plans import checks, report
 from apexlake.plans.assertions import ASSERTIONS, colours_are_hex
 from apexlake.plans.quality import DECLARED
 from apexlake.plans.warehouse import MODELS, Warehouse
-from apexlake.testbed import oracle
+from apexlake.testbed import landing_queries, oracle
 from apexlake.testbed.build import LANDED_AT, warehouse
 from apexlake.testbed.oracle_checks import (
     ASSERTION_SQL, DAMAGE, accepted_sql, combination_sql, damaged_sql, not_null_sql, relationship_sql, union, unique_sql,
@@ -152,3 +152,7 @@ for _name, _measure in _MEASURES.items():
     register(f"measure_{_name}", lambda w, f=_measure: f(w.table), MEASURE_SQL[_name])
 for _name, _view in _VIEWS.items():
     register(f"view_{_name}", lambda w, f=_view: f(w.table), VIEW_SQL[_name])
+
+# Landing.
+for _name, (_plan, _statement) in landing_queries.QUERIES.items():
+    register(_name, _plan, _statement)
