@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -193,10 +194,12 @@ class LoadState:
     path: str
 
     def _newest(self) -> int | None:
+        """Highest version on disk. Taken from file names: a version may hold no rows."""
         try:
-            return self.spark.read.parquet(self.path).agg(F.max("version").alias("v")).first()["v"]
+            files = self.spark.read.schema(LOAD_STATE).parquet(self.path).inputFiles()
         except AnalysisException:
             return None
+        return max((int(re.search(r"version=(\d+)", name)[1]) for name in files), default=None)
 
     def read(self, missing_ok: bool = False) -> DataFrame:
         """Current watermarks. A missing table counts as empty only where asked for (a dry run)."""
@@ -207,17 +210,15 @@ class LoadState:
             raise FileNotFoundError(f"no load state at {self.path}")
         return self.spark.read.schema(LOAD_STATE).parquet(f"{self.path}/version={newest}")
 
+    def _write(self, state: DataFrame, version: int) -> None:
+        target = f"{self.path}/version={version}"
+        state.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+
     def create(self) -> None:
         if self._newest() is None:
-            # A placeholder keeps the empty version readable.
-            blank = self.spark.createDataFrame([("", 0, None, 0, None)], LOAD_STATE)
-            blank.coalesce(1).write.parquet(f"{self.path}/version=0")
+            self._write(self.spark.createDataFrame([], LOAD_STATE), 0)
 
     def upsert(self, fresh: DataFrame) -> DataFrame:
         newest = self._newest()
-        state = self.read(missing_ok=True).where(F.col("endpoint") != "")
-        target = f"{self.path}/version={0 if newest is None else newest + 1}"
-        upsert_watermarks(state, fresh).coalesce(1).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(target)
+        self._write(upsert_watermarks(self.read(missing_ok=True), fresh), 0 if newest is None else newest + 1)
         return self.read()
