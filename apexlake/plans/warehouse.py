@@ -51,6 +51,9 @@ class Warehouse:
             self.tables[name] = write_once(planned.hint("rebalance", *partitions), name, partitions)
         return self.tables[name]
 
+    def staged(self) -> list[str]:
+        return [table for table, _ in staging.MODELS.values()]
+
     def replaced(self, **tables: DataFrame) -> Warehouse:
         """The same warehouse with some tables exchanged; what depends on them is planned anew."""
         stale = {n for t in tables for n in _consumers(t)}
