@@ -36,6 +36,19 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str)
     return placed.join(starts, same).select(*df.columns, (F.col("_seq") + F.col("_shift")).cast("int").alias(out))
 
 
+def number_across(df: DataFrame, group: list[str], level: str, place: str, out: str) -> DataFrame:
+    """Continue a numbering across the levels of a group.
+
+    Rows already numbered 1, 2, .. within each level get the number of rows in
+    earlier levels added. Only a row count per level is shuffled.
+    """
+    sizes = df.groupBy(*group, level).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*group, level, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    numbered = df.join(starts, [*group, level])
+    return numbered.withColumn(out, (F.col("_start") + F.col(place)).cast("int")).drop("_start")
+
+
 def dense_rank_rows(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
     """``dense_rank()`` ascending per group: number the distinct values, then look them up."""
     values = df.select(*group, value).where(F.col(value).isNotNull()).distinct()

@@ -79,15 +79,20 @@ def driver_form(joined: DataFrame, sprints: DataFrame, races: DataFrame) -> Data
     order = ["race_date", "season", "round"]
     points, won = F.sum("points"), X.as_count(F.col("best_finish_position") == 1)
     classified_finish = F.avg(F.when(F.col("was_classified"), F.col("best_finish_position")))
-    return dated.select(
+    # The row windows come first: their sort order begins with the date, so the
+    # windows by date find their rows already in order.
+    recent = dated.withColumns({
+        "points_last_5_races": last_rows("driver_id", order, -4, 0, points),
+        "avg_finish_last_5_races": F.round(last_rows("driver_id", order, -4, 0, classified_finish), 2),
+        "points_in_previous_5_races": last_rows("driver_id", order, -5, -1, points),
+    })
+    return recent.select(
         *DRIVER_RACE, "race_date", "race_points", "sprint_points", "points", "best_finish_position",
         "was_classified", "grid_position", "cars_driven",
         to_date("driver_id", "race_date", F.count("*")).alias("career_races_to_date"),
         to_date("driver_id", "race_date", points).alias("career_points_to_date"),
         to_date("driver_id", "race_date", F.sum(won)).alias("career_wins_to_date"),
-        last_rows("driver_id", order, -4, 0, points).alias("points_last_5_races"),
-        F.round(last_rows("driver_id", order, -4, 0, classified_finish), 2).alias("avg_finish_last_5_races"),
-        last_rows("driver_id", order, -5, -1, points).alias("points_in_previous_5_races"),
+        "points_last_5_races", "avg_finish_last_5_races", "points_in_previous_5_races",
     )
 
 

@@ -46,9 +46,9 @@ class Warehouse:
             return self.raw[name.removeprefix("raw_")]
         if name not in self.tables:
             partitions = ("season",) if name.startswith("stg_") else ()
-            planned = self.model(name)
-            # AQE evens the files out: a season that holds most rows is split, small ones are merged.
-            self.tables[name] = write_once(planned.hint("rebalance", *partitions), name, partitions)
+            # Staging needs no shuffle before the write: raw pages lie in season folders, so a
+            # task reads few seasons, and a large season is read by many tasks.
+            self.tables[name] = write_once(self.model(name), name, partitions)
         return self.tables[name]
 
     def staged(self) -> list[str]:

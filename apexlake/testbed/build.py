@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apexlake.plans.warehouse import Rules, Warehouse
@@ -27,18 +28,18 @@ def land_pages(spark: SparkSession, folder: str) -> dict[str, RawTable]:
     """Turn the test tables into landed raw pages, one table per endpoint."""
     root = f"{shared_folder(spark)}/raw-{spark.sparkContext.applicationId}-{abs(hash(folder))}"
     projected = projection.Projection(spark, folder)
-    endpoints = projected.build()
     requested = write_once(projected.calendar(), "calendar")
 
-    def land(endpoint: str) -> tuple[str, RawTable]:
+    def land(endpoint: str, rows: Callable[[], DataFrame]) -> RawTable:
         table = RawTable(spark, f"{root}/{endpoint}", per_race=endpoint in PER_RACE)
-        fetched = pages(endpoints[endpoint], endpoint)
+        fetched = pages(rows(), endpoint)
         table.replace(fetched, requested, load_id="first", ingested_at=F.lit(LANDED_AT).cast("timestamp"))
-        return endpoint, table
+        return table
 
     # The endpoints are independent, so their jobs are submitted side by side.
-    with ThreadPoolExecutor(max_workers=4) as submitters:
-        return dict(submitters.map(land, endpoints))
+    with ThreadPoolExecutor(max_workers=6) as submit:
+        running = {e: submit.submit(land, e, rows) for e, rows in projected.build(submit).items()}
+        return {endpoint: job.result() for endpoint, job in running.items()}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:

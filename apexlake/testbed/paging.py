@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apexlake.operators.ranking import number_rows
+from apexlake.operators.ranking import number_across, number_rows
 
 LIMIT = 100
 
@@ -21,10 +21,12 @@ SHAPES = {
     "laps": ("RaceTable", "Races", "Laps"),
     "pit_stops": ("RaceTable", "Races", "PitStops"),
 }
-ORDER = {
-    "races": ["round"], "results": ["round", "place"], "qualifying": ["round", "place"],
-    "drivers": ["place"], "driver_standings": ["place"], "constructor_standings": ["place"],
-    "sprint": ["round", "place"], "laps": ["lap", "place"], "pit_stops": ["lap", "okey", "stop"],
+# How rows are numbered within their scope: by a column that is the number
+# already, by continuing a numbering over rounds or laps, or by sorting.
+NUMBERING = {
+    "races": ("is", "round"), "results": ("across", "round"), "qualifying": ("across", "round"),
+    "drivers": ("sort", ["place"]), "driver_standings": ("is", "place"), "constructor_standings": ("is", "place"),
+    "sprint": ("across", "round"), "laps": ("across", "lap"), "pit_stops": ("sort", ["lap", "okey", "stop"]),
 }
 PER_RACE = ("laps", "pit_stops")
 
@@ -38,9 +40,14 @@ def _in_order(order: list[str], value: Column) -> Column:
 def pages(rows: DataFrame, endpoint: str, request_root: str = "https://example.org/api") -> DataFrame:
     """Pages in the shape a landing job receives them, without ``ingested_at``."""
     scope = ["season", "round"] if endpoint in PER_RACE else ["season"]
-    numbered = number_rows(rows, scope, [F.col(c) for c in ORDER[endpoint]], "n").withColumn(
-        "page_offset", (F.floor((F.col("n") - 1) / LIMIT) * LIMIT).cast("int")
-    )
+    how, by = NUMBERING[endpoint]
+    if how == "is":
+        numbered = rows.withColumn("n", F.col(by))
+    elif how == "across":
+        numbered = number_across(rows, scope, by, "place", "n")
+    else:
+        numbered = number_rows(rows, scope, [F.col(c) for c in by], "n")
+    numbered = numbered.withColumn("page_offset", (F.floor((F.col("n") - 1) / LIMIT) * LIMIT).cast("int"))
     page = [*scope, "page_offset"]
     table, listing, detail = SHAPES[endpoint]
     last_row = F.max("n").alias("last_row")

@@ -13,6 +13,8 @@ however many orders there are, so a window per race would not spread.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import Executor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -95,28 +97,32 @@ class Projection:
         rounds = F.explode(F.sequence(F.lit(1), F.lit(12))).alias("round")
         return self.orders().select("season").distinct().select("season", rounds)
 
-    def build(self) -> dict[str, DataFrame]:
-        orders = self.orders()
+    def cars(self) -> DataFrame:
         ordered = number_rows(
-            orders, RACE, [F.col("st") == "P", F.col("price").desc(), F.col("okey")], "finish"
+            self.orders(), RACE, [F.col("st") == "P", F.col("price").desc(), F.col("okey")], "finish"
         )
-        cars = number_rows(ordered, RACE, [F.col("okey") % 97, F.col("okey")], "slot").withColumn(
+        return number_rows(ordered, RACE, [F.col("okey") % 97, F.col("okey")], "slot").withColumn(
             "points",
             F.when((F.col("st") == "P") | (F.col("finish") > 60), 0.0).otherwise((61 - F.col("finish")) / 2),
         )
-        first_cars = orders.groupBy(*RACE, "ckey").agg(F.min("okey").alias("okey"))
-        sprints = self.sprints(orders)
-        laps = self.laps(first_cars)
+
+    def first_cars(self) -> DataFrame:
+        return self.orders().groupBy(*RACE, "ckey").agg(F.min("okey").alias("okey"))
+
+    def build(self, submit: Executor) -> dict[str, Callable[[], DataFrame]]:
+        """Plans per endpoint; what several of them share is computed side by side first."""
+        shared = [submit.submit(part) for part in (self.cars, self.sprints, self.laps)]
+        cars, sprints, laps = [part.result() for part in shared]
         return {
-            "races": self.race_rows(),
-            "results": self.result_rows(cars),
-            "qualifying": self.qualifying_rows(first_cars),
-            "drivers": self.driver_rows(orders),
-            "driver_standings": self.driver_standing_rows(orders, cars, sprints),
-            "constructor_standings": self.constructor_standing_rows(orders, cars, sprints),
-            "sprint": self.sprint_rows(sprints),
-            "laps": self.lap_rows(laps),
-            "pit_stops": self.pit_rows(laps),
+            "races": self.race_rows,
+            "results": lambda: self.result_rows(cars),
+            "qualifying": self.qualifying_rows,
+            "drivers": self.driver_rows,
+            "driver_standings": lambda: self.driver_standing_rows(cars, sprints),
+            "constructor_standings": lambda: self.constructor_standing_rows(cars, sprints),
+            "sprint": lambda: self.sprint_rows(sprints),
+            "laps": lambda: self.lap_rows(laps),
+            "pit_stops": lambda: self.pit_rows(laps),
         }
 
     def race_rows(self) -> DataFrame:
@@ -190,9 +196,9 @@ class Projection:
         )
         return cars.join(lines, "okey", "left").select(*RACE, finish.alias("place"), item.alias("item"))
 
-    def sprints(self, orders: DataFrame) -> DataFrame:
+    def sprints(self) -> DataFrame:
         entries = (
-            orders.where((F.col("prio") == "1-URGENT") & F.col("round").isin(2, 5, 8, 11))
+            self.orders().where((F.col("prio") == "1-URGENT") & F.col("round").isin(2, 5, 8, 11))
             .groupBy("season", (F.col("round") + 1).alias("round"), "ckey")
             .agg(F.min(F.struct("okey", "price")).alias("car"))
             .select(*RACE, "ckey", "car.okey", "car.price")
@@ -211,10 +217,10 @@ class Projection:
         )
         return sprints.select(*RACE, F.col("finish").alias("place"), item.alias("item"))
 
-    def qualifying_rows(self, first_cars: DataFrame) -> DataFrame:
+    def qualifying_rows(self) -> DataFrame:
         k = F.col("okey")
         ran = k % 50 != 0
-        timed = first_cars.withColumns({
+        timed = self.first_cars().withColumns({
             "q1": F.when(ran, 90000 + k * 7 % 5000),
             "q2": F.when(ran & (k % 3 != 0), 88000 + k * 11 % 5000),
             "q3": F.when(ran & (k % 3 == 1), 87000 + k * 13 % 5000),
@@ -230,7 +236,7 @@ class Projection:
         )
         return placed.select(*RACE, "place", item.alias("item"))
 
-    def driver_rows(self, orders: DataFrame) -> DataFrame:
+    def driver_rows(self) -> DataFrame:
         customers = self.source("customer").join(
             self.source("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         ).select(F.col("c_custkey").alias("ckey"), "c_name", "n_name")
@@ -247,10 +253,10 @@ class Projection:
             F.when(key % 50 != 9, _text(born)).alias("dateOfBirth"),
             F.col("n_name").alias("nationality"),
         )
-        seasons = orders.select("season", "ckey").distinct()
+        seasons = self.orders().select("season", "ckey").distinct()
         return seasons.join(customers, "ckey").select("season", key.alias("place"), item.alias("item"))
 
-    def driver_standing_rows(self, orders: DataFrame, cars: DataFrame, sprints: DataFrame) -> DataFrame:
+    def driver_standing_rows(self, cars: DataFrame, sprints: DataFrame) -> DataFrame:
         per_race = cars.groupBy("season", "ckey", "round").agg(
             F.sum("points").alias("points"),
             F.count_if((F.col("finish") == 1) & (F.col("st") != "P")).alias("wins"),
@@ -268,7 +274,7 @@ class Projection:
         placed = number_rows(
             totals, ["season"], [F.col("total").desc(), F.col("wins").desc(), F.col("ckey")], "place"
         )
-        finals = orders.groupBy("season").agg(F.max("round").alias("round"))
+        finals = self.orders().groupBy("season").agg(F.max("round").alias("round"))
         out = F.col("ckey") % 211 == 7
         teams = F.when(
             F.col("ckey") % 10 == 0, F.array(_constructor(F.col("ckey")), _constructor(F.col("ckey") + 12))
@@ -281,7 +287,7 @@ class Projection:
         )
         return placed.join(F.broadcast(finals), "season").select(*RACE, "place", item.alias("item"))
 
-    def constructor_standing_rows(self, orders: DataFrame, cars: DataFrame, sprints: DataFrame) -> DataFrame:
+    def constructor_standing_rows(self, cars: DataFrame, sprints: DataFrame) -> DataFrame:
         team = _whole("ckey", 12).alias("team")
         won = F.when((F.col("finish") == 1) & (F.col("st") != "P"), 1).otherwise(0).alias("wins")
         scored = cars.select("season", team, "points", won).unionByName(
@@ -289,7 +295,7 @@ class Projection:
         )
         totals = scored.groupBy("season", "team").agg(F.sum("points").alias("total"), F.sum("wins").alias("wins"))
         placed = number_rows(totals, ["season"], [F.col("total").desc(), F.col("team")], "place")
-        finals = orders.groupBy("season").agg(F.max("round").alias("round"))
+        finals = self.orders().groupBy("season").agg(F.max("round").alias("round"))
         out = F.col("team") % 53 == 5
         item = F.struct(
             F.when((F.col("total") > 0) & ~out, _text("place")).alias("position"),
@@ -299,13 +305,13 @@ class Projection:
         )
         return placed.join(F.broadcast(finals), "season").select(*RACE, "place", item.alias("item"))
 
-    def laps(self, first_cars: DataFrame) -> DataFrame:
+    def laps(self) -> DataFrame:
         lines = self.source("lineitem").select(
             F.col("l_orderkey").alias("okey"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
             "l_quantity", "l_returnflag",
         )
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"]
-        driven = number_rows(lines.join(first_cars, "okey"), ["okey"], [F.col(c) for c in order], "lap")
+        driven = number_rows(lines.join(self.first_cars(), "okey"), ["okey"], [F.col(c) for c in order], "lap")
         placed = number_rows(
             driven, [*RACE, "lap"], [F.col("l_extendedprice").desc(), F.col("okey")], "place"
         )
