@@ -19,10 +19,18 @@ from apexlake.sources.schemas import envelope
 
 
 def _open(pages: DataFrame, endpoint: str, listing: str) -> DataFrame:
+    """season and one ``outer`` struct per entry of the page's list.
+
+    A plain explode makes Spark test the array for being empty first, in a
+    filter of its own that parses every page a second time. The outer form
+    parses once; the position tells an empty list from a null entry.
+    """
     parsed = F.from_json("payload", envelope(endpoint))
-    return pages.select("season", parsed.alias("page")).select(
-        F.col("season").cast("int").alias("season"), F.explode(f"page.MRData.{listing}").alias("outer")
+    opened = pages.select("season", parsed.alias("page")).select(
+        F.col("season").cast("int").alias("season"),
+        F.posexplode_outer(f"page.MRData.{listing}").alias("place", "outer"),
     )
+    return opened.where(F.col("place").isNotNull()).select("season", "outer")
 
 
 def _rows(pages: DataFrame, endpoint: str, listing: str, detail: str) -> DataFrame:
