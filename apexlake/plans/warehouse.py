@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from apexlake.plans import intermediate as I
 from apexlake.plans import marts as M
@@ -65,16 +66,19 @@ class Warehouse:
         for name in names or MODELS:
             self.table(name).createOrReplaceTempView(name)
 
-    def save_marts(self, database: str, descriptions: dict[str, str] | None = None) -> None:
-        """Save the marts as tables, with their descriptions."""
+    def save_marts(self, database: str) -> None:
+        """Save the marts as tables, with the descriptions of the tables and their columns."""
         for name in MARTS:
-            df = self.table(name)
-            spark = df.sparkSession
+            df = described(self.table(name), COLUMN_DESCRIPTIONS)
             df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-            text = (descriptions or DESCRIPTIONS).get(name)
-            if text:
-                quoted = text.replace("'", "''")
-                spark.sql(f"COMMENT ON TABLE {database}.{name} IS '{quoted}'")
+            df.sparkSession.sql(f"COMMENT ON TABLE {database}.{name} IS '{DESCRIPTIONS[name]}'")
+
+
+def described(df: DataFrame, comments: dict[str, str]) -> DataFrame:
+    """The same rows with a comment on every column that has one."""
+    return df.select(*[
+        F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(c) for c in df.columns
+    ])
 
 
 def _staged(endpoint: str) -> Callable[[Warehouse], DataFrame]:
@@ -157,3 +161,26 @@ DESCRIPTIONS = {
     "fct_pit_stops": "One row per pit stop.",
     "fct_teammate_qualifying": "One row per driver and qualifying session against the teammate.",
 }
+
+COLUMN_DESCRIPTIONS = {
+    "race_id": "season * 100 + round",
+    "car_number": "Number the car raced under; a driver can have two in one race.",
+    "was_classified": "The result text is a number; a retirement keeps a numeric finish position.",
+    "grid_position": "Starting slot; 0 is a pit-lane start.",
+    "positions_gained": "Grid minus finish; null for pit-lane starts and retirements.",
+    "grid_penalty_positions": "Grid minus qualifying position.",
+    "is_fastest_lap": "False, not null, where no ranking was recorded.",
+    "points_in_previous_5_races": "Form before the race itself; null at a first entry.",
+    "championship_points": "As published, after dropped scores.",
+    "points_scored": "Races and sprints, nothing dropped.",
+    "points_dropped": "Published minus scored: zero or negative.",
+    "is_champion": "First in the standings of a finished season.",
+    "title_margin": "First minus second; the current lead while a season runs.",
+    "modern_points": "Points on the scale of today, without sprints and fastest laps.",
+    "streak_rank": "Rank by length within the kind of streak; ties share a rank.",
+    "runs_to_latest_start": "The streak includes the latest start of the driver.",
+    "gap_seconds": "Behind the best in the same session; between teammates, negative is faster.",
+    "gap_pct": "Gap as a percentage of the faster time.",
+    "is_pit_lap": "The driver stopped on this lap; false where stops are not recorded.",
+    "team_colour": "Hex colour; grey for teams without one.",
+}

@@ -52,3 +52,8 @@ def land(
     state.upsert(fresh)
     report = failures.select("season", F.lit(endpoint).alias("endpoint"), "reason").distinct()
     return fresh, report
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """The summary row as one JSON file, for whatever started the run."""
+    summary.coalesce(1).write.mode("overwrite").json(path)
