@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 # numbers, so the limit is some tens of megabytes per executor.
 BROADCAST_ROWS = 500_000
 
+_counted: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast when at most ``rows`` rows can occur and that is few enough.
@@ -19,13 +23,20 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def measured_side(df: DataFrame) -> DataFrame:
+    """Count the rows first, then decide. For small control tables beside heavy ones."""
+    return small_side(df, df.count())
+
+
 def calendar_rows(races: DataFrame) -> int:
     """Number of races on the calendar, read from file metadata for a written table.
 
     Rounds stop at 99 in a season, so this grows with years and never with the
-    number of results, laps or drivers.
+    number of results, laps or drivers. Counted once per frame.
     """
-    return races.count()
+    if races not in _counted:
+        _counted[races] = races.count()
+    return _counted[races]
 
 
 def spine_left_join(spine: DataFrame, df: DataFrame, keys: list[str], zero: tuple[str, ...] = ()) -> DataFrame:

@@ -81,11 +81,8 @@ def top_ranked(df: DataFrame, by: list[str], order: Column, k: int, out: str = "
     return df.withColumn(out, F.rank().over(window)).where(F.col(out) <= k)
 
 
-def extreme_rows(df: DataFrame, by: list[str], value: str, smallest: bool) -> DataFrame:
-    """All rows holding a group's extreme value (no groups: the whole table)."""
+def extreme_rows(df: DataFrame, value: str, smallest: bool) -> DataFrame:
+    """All rows holding the table's extreme value: one row is broadcast, nothing is shuffled."""
     known = df.where(F.col(value).isNotNull())
-    edge = (F.min if smallest else F.max)(value).alias("_edge")
-    if not by:
-        return known.join(F.broadcast(known.agg(edge)), F.col(value) == F.col("_edge")).drop("_edge")
-    edges = known.groupBy(*by).agg(edge)
-    return known.join(edges, by).where(F.col(value) == F.col("_edge")).drop("_edge")
+    edge = known.agg((F.min if smallest else F.max)(value).alias("_edge"))
+    return known.join(F.broadcast(edge), F.col(value) == F.col("_edge")).drop("_edge")

@@ -40,9 +40,8 @@ def islands(df: DataFrame, by: str, order: list[str], flags: dict[str, str], kee
         *[F.sum(F.when(F.col(f), 0).otherwise(1)).over(so_far).alias(f"breaks_{n}") for n, f in flags.items()],
     )
     runs = F.array(*[
-        F.when(F.col(flag), F.struct(F.lit(name).alias("run_type"), F.col(f"breaks_{name}").alias("run")))
+        F.struct(F.lit(name).alias("run_type"), F.col(f"breaks_{name}").alias("run"), F.col(flag).alias("holds"))
         for name, flag in flags.items()
     ])
-    return numbered.select(
-        by, *keep, "position", "is_newest", F.explode(F.array_compact(runs)).alias("run")
-    ).select(by, *keep, "position", "is_newest", "run.run_type", "run.run")
+    unfolded = numbered.select(by, *keep, "position", "is_newest", F.inline(runs))
+    return unfolded.where("holds").drop("holds")

@@ -114,7 +114,8 @@ def _season_points(t: Tables) -> DataFrame:
 
 def championship_leader(t: Tables) -> DataFrame:
     """Whoever leads; drivers level at the top share the cell."""
-    leaders = extreme_rows(_season_points(t), ["season"], "championship_points", smallest=False)
+    scored = _season_points(t).where(F.col("championship_points").isNotNull())
+    leaders = top_ranked(scored, ["season"], F.col("championship_points").desc(), 1)
     return collapse(
         leaders.join(names(t), "driver_id", "left"), ["season"],
         championship_leader=F.array_join(F.sort_array(F.collect_list("driver_name")), ", "),
@@ -209,7 +210,7 @@ def season_points_per_start(t: Tables, by=("season", "driver_id")) -> DataFrame:
 
 def age_record(t: Tables, milestone: str, youngest: bool) -> DataFrame:
     """``name – 18y 228d`` of the record holder; equal ages share the cell."""
-    holders = extreme_rows(t("fct_driver_careers"), [], f"age_{milestone}_days", smallest=youngest)
+    holders = extreme_rows(t("fct_driver_careers"), f"age_{milestone}_days", smallest=youngest)
     text = F.concat("driver_name", F.lit(" – "), f"age_{milestone}")
     return holders.join(names(t), "driver_id", "left").agg(
         F.array_join(F.sort_array(F.collect_list(text)), ", ").alias("holder")

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from apexlake.operators.joins import small_side
+from apexlake.operators.joins import measured_side
 from apexlake.sources.schemas import PAGING, RACE_PAGE, SEASON_PAGE
 
 MAX_PAGE_LIMIT = 100
 PAGES_PER_FILE = 2_000  # about 180 MB of payload at 90 KB a page
-CALENDAR_BOUND = 99 * 500  # scopes: races in five hundred seasons
 
 
 def rows_on_page(limit: Column, total: Column, offset: Column) -> Column:
@@ -92,15 +91,16 @@ class RawTable:
         """Make ``pages`` the content of every ``requested`` scope.
 
         Other scopes stay as they are. One timestamp is stamped on the whole
-        load. Repeating a load under the same id overwrites its own files only,
-        so a retried job or stream batch does not duplicate pages.
+        load. A load id names one set of pages: repeating the load under it
+        overwrites its own files only, so a retried job or stream batch does
+        not duplicate pages.
         """
         at = ingested_at if ingested_at is not None else F.lit(self._now())
         wanted = requested.select(*self.scope).distinct()
         columns = [c for c in self.schema.names if c != "ingested_at"]
         stamped = (
             pages.select(*[F.col(c).cast(self.schema[c].dataType) for c in columns])
-            .join(small_side(wanted, CALENDAR_BOUND), self.scope, "left_semi")
+            .join(measured_side(wanted), self.scope, "left_semi")
             .withColumn("ingested_at", at)
             .withColumn("load_id", F.lit(load_id))
         )
@@ -132,5 +132,5 @@ class RawTable:
             stored = self.spark.read.schema(self._stored).parquet(f"{self.path}/pages")
         except AnalysisException:
             return self.spark.createDataFrame([], self.schema)
-        current = small_side(self.loads(), CALENDAR_BOUND)
+        current = measured_side(self.loads())
         return stored.join(current, [*self.scope, "load_id"], "left_semi").select(*self.schema.names)

@@ -57,7 +57,7 @@ def test_top_ranked_keeps_ties(spark):
 
 def test_extreme_rows(spark):
     frame = spark.createDataFrame([("a", 3), ("b", 1), ("c", 1), ("d", None)], "k string, v int")
-    assert rows(extreme_rows(frame, [], "v", smallest=True)) == {("b", 1), ("c", 1)}
+    assert rows(extreme_rows(frame, "v", smallest=True)) == {("b", 1), ("c", 1)}
 
 
 def test_directed_pairs_takes_groups_of_exactly_two(spark):
