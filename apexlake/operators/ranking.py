@@ -71,14 +71,26 @@ def rank_by_histogram(df: DataFrame, by: str, value: str, out: str, distinct_val
     return df.join(small_side(ranks, distinct_values), [by, value], "left")
 
 
-def top_ranked(df: DataFrame, by: list[str], order: Column, k: int, out: str = "place") -> DataFrame:
-    """Rows ranked ``k`` or better per group, ties kept.
-
-    The filter on the rank lets Spark drop all but the best rows of each
-    input partition before the shuffle, so a large group arrives as a few rows.
+def top_ranked(
+    df: DataFrame, by: list[str], value: str, k: int, groups: int,
+    ascending: bool = False, dense: bool = False, out: str = "place",
+) -> DataFrame:
+    """Rows ranked ``k`` or better per group, ties kept, however many rows are level.
+
+    Rows are counted per value first, so a tie is one row; Spark then cuts each
+    partition to the best ``k`` values before the shuffle. What is left, at
+    most ``k`` values for each of ``groups`` groups, is looked up from the rows,
+    which never come together in one task.
     """
-    window = Window.partitionBy(*by).orderBy(order)
-    return df.withColumn(out, F.rank().over(window)).where(F.col(out) <= k)
+    known = df.where(F.col(value).isNotNull())
+    order = F.col(value).asc() if ascending else F.col(value).desc()
+    best_first = Window.partitionBy(*by).orderBy(order)
+    values = known.groupBy(*by, value).agg(F.count("*").alias("_n"))
+    best = values.withColumn("_row", F.row_number().over(best_first)).where(F.col("_row") <= k)
+    above = F.sum("_n").over(best_first.rowsBetween(Window.unboundedPreceding, -1))
+    place = F.col("_row") if dense else (F.coalesce(above, F.lit(0)) + 1).cast("int")
+    ranks = best.withColumn(out, place).where(F.col(out) <= k).select(*by, value, out)
+    return known.join(small_side(ranks, groups * k), [*by, value])
 
 
 def extreme_rows(df: DataFrame, value: str, smallest: bool) -> DataFrame:

@@ -112,10 +112,15 @@ def _season_points(t: Tables) -> DataFrame:
     return standings_sum(t, "championship_points", by=("season", "driver_id"))
 
 
+def _best_of_season(t: Tables, places: int) -> DataFrame:
+    return top_ranked(
+        _season_points(t), ["season"], "championship_points", places, groups=calendar_rows(t("dim_season"))
+    )
+
+
 def championship_leader(t: Tables) -> DataFrame:
     """Whoever leads; drivers level at the top share the cell."""
-    scored = _season_points(t).where(F.col("championship_points").isNotNull())
-    leaders = top_ranked(scored, ["season"], F.col("championship_points").desc(), 1)
+    leaders = _best_of_season(t, 1)
     return collapse(
         leaders.join(names(t), "driver_id", "left"), ["season"],
         championship_leader=F.array_join(F.sort_array(F.collect_list("driver_name")), ", "),
@@ -124,9 +129,8 @@ def championship_leader(t: Tables) -> DataFrame:
 
 def leader_margin(t: Tables) -> DataFrame:
     """Points between first and second, 0 when two are level at the top."""
-    top_two = top_ranked(_season_points(t), ["season"], F.col("championship_points").desc(), 2)
     points = F.col("championship_points")
-    return collapse(top_two, ["season"], leader_margin=F.max(points) - F.min(points))
+    return collapse(_best_of_season(t, 2), ["season"], leader_margin=F.max(points) - F.min(points))
 
 
 def season_progress(t: Tables) -> DataFrame:
@@ -252,16 +256,11 @@ def show_driver(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
 
 
 def leading_drivers(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
-    """The drivers in the first finishing ranks of every race.
-
-    Spark keeps only each partition's best before the shuffle, so this needs
-    no complete ranking.
-    """
-    place = F.dense_rank().over(Window.partitionBy("race_id").orderBy("finish_position"))
-    finished = finish_position(t).where(F.col("finish_position").isNotNull())
-    return finished.withColumn("finish_rank", place).where(F.col("finish_rank") <= shown).select(
-        "race_id", "driver_id", "finish_rank"
-    )
+    """The drivers in the first finishing ranks of every race, found without a complete ranking."""
+    return top_ranked(
+        finish_position(t), ["race_id"], "finish_position", shown, groups=calendar_rows(t("dim_race")),
+        ascending=True, dense=True, out="finish_rank",
+    ).select("race_id", "driver_id", "finish_rank")
 
 
 def chart_position(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
@@ -346,8 +345,7 @@ def season_standings(t: Tables) -> DataFrame:
 
 def points_progression(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
     """V3: running points of the season's top drivers, rounds with results only."""
-    top = top_ranked(_season_points(t), ["season"], F.col("championship_points").desc(), shown)
-    return points_to_date(t, top).join(names(t), "driver_id", "left").select(
+    return points_to_date(t, _best_of_season(t, shown)).join(names(t), "driver_id", "left").select(
         "season", "round", "driver_name", "points_to_date"
     ).orderBy("season", "round", "driver_name")
 

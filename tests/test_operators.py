@@ -50,9 +50,26 @@ def test_histogram_rank_with_and_without_broadcast(skewed, monkeypatch, limit):
     assert rows(got) == rows(expected)
 
 
-def test_top_ranked_keeps_ties(spark):
-    frame = spark.createDataFrame([(1, 9), (1, 9), (1, 5), (1, 1)], "g int, v int")
-    assert [tuple(r) for r in top_ranked(frame, ["g"], F.col("v").desc(), 2).orderBy("v").collect()] == [(1, 9, 1)] * 2
+@pytest.mark.parametrize("limit", [0, 500_000])
+@pytest.mark.parametrize("dense, function", [(False, F.rank), (True, F.dense_rank)])
+def test_top_ranked_equals_the_window(skewed, monkeypatch, limit, dense, function):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    window = Window.partitionBy("g").orderBy(F.col("v").desc())
+    expected = skewed.withColumn("p", function().over(window)).where("p <= 25")
+    got = top_ranked(skewed, ["g"], "v", 25, groups=50, dense=dense, out="p").select("id", "g", "v", "p")
+    assert rows(got) == rows(expected)
+
+
+def test_top_ranked_keeps_ties_and_drops_unknowns(spark):
+    frame = spark.createDataFrame([(1, 9), (1, 9), (1, 5), (1, 1), (1, None)], "g int, v int")
+    assert [tuple(r) for r in top_ranked(frame, ["g"], "v", 2, groups=1).collect()] == [(1, 9, 1)] * 2
+    best = top_ranked(frame, ["g"], "v", 2, groups=1, ascending=True)
+    assert rows(best) == {(1, 1, 1), (1, 5, 2)}
+
+
+def test_top_ranked_cuts_before_the_shuffle(skewed):
+    plan = top_ranked(skewed, ["g"], "v", 3, groups=50)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
 
 
 def test_extreme_rows(spark):
