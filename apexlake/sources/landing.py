@@ -21,6 +21,7 @@ from apexlake.operators.joins import measured_side
 from apexlake.sources.schemas import PAGING, RACE_PAGE, SEASON_PAGE
 
 MAX_PAGE_LIMIT = 100
+PLANNED_AT_ONCE = 10_000
 PAGES_PER_FILE = 2_000  # about 180 MB of payload at 90 KB a page
 
 
@@ -29,12 +30,23 @@ def rows_on_page(limit: Column, total: Column, offset: Column) -> Column:
     return F.greatest(F.lit(0), F.least(limit, total - offset))
 
 
+def _with_offsets(scopes: DataFrame) -> DataFrame:
+    """One row per page of every scope with a ``total_rows`` and a ``page_limit``.
+
+    Spread in two steps, so that a scope of millions of pages never builds one
+    array of all its offsets.
+    """
+    total, limit = F.col("total_rows").cast("bigint"), F.col("page_limit").cast("bigint")
+    stretch = limit * PLANNED_AT_ONCE
+    starts = scopes.where(F.col("total_rows") > 0).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), total - 1, stretch)))
+    until = F.least(F.col("_from") + stretch, total) - 1
+    offsets = F.explode(F.sequence(F.col("_from"), until, limit))
+    return starts.withColumn("page_offset", offsets).withColumn("page_offset", F.col("page_offset").cast("int")).drop("_from")
+
+
 def page_plan(scopes: DataFrame, limit: int = MAX_PAGE_LIMIT) -> DataFrame:
     """One row per page to expect for every scope with a ``total_rows``; none where it is 0."""
-    step = min(limit, MAX_PAGE_LIMIT)
-    offsets = F.sequence(F.lit(0), F.col("total_rows") - 1, F.lit(step))
-    planned = scopes.where(F.col("total_rows") > 0).withColumn("page_offset", F.explode(offsets))
-    return planned.withColumn("page_limit", F.lit(step))
+    return _with_offsets(scopes.withColumn("page_limit", F.lit(min(limit, MAX_PAGE_LIMIT))))
 
 
 def highest_round(payload: Column) -> Column:
@@ -55,11 +67,21 @@ def validate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def missing_pages(pages: DataFrame, scope: list[str]) -> DataFrame:
-    """Pages the paging fields promise that did not arrive."""
-    totals = pages.groupBy(*scope).agg(F.max("total_rows").alias("total_rows"), F.max("page_limit").alias("limit"))
-    offsets = F.sequence(F.lit(0), F.col("total_rows") - 1, F.col("limit"))
-    planned = totals.where(F.col("total_rows") > 0).select(*scope, F.explode(offsets).alias("page_offset"))
-    return planned.join(pages.select(*scope, "page_offset"), [*scope, "page_offset"], "left_anti")
+    """Pages the paging fields promise that did not arrive.
+
+    Pages are counted per scope first; only scopes that come out short are
+    compared page by page.
+    """
+    arrived = pages.groupBy(*scope, "page_offset").agg(
+        F.max("total_rows").alias("total_rows"), F.max("page_limit").alias("page_limit")
+    )
+    in_plan = (F.col("page_offset") < F.col("total_rows")) & (F.col("page_offset") % F.col("page_limit") == 0)
+    scopes = arrived.groupBy(*scope).agg(
+        F.max("total_rows").alias("total_rows"), F.max("page_limit").alias("page_limit"), F.count_if(in_plan).alias("n")
+    )
+    short = scopes.where(F.col("n") < F.ceil(F.col("total_rows") / F.col("page_limit")))
+    planned = _with_offsets(short).select(*scope, "page_offset")
+    return planned.join(arrived.select(*scope, "page_offset"), [*scope, "page_offset"], "left_anti")
 
 
 @dataclass
