@@ -65,8 +65,11 @@ def is_classified(position_text: Column) -> Column:
 
 
 def places_gained(grid: Column, finish: Column, classified: Column) -> Column:
-    """Places made up; null for pit-lane starts (slot 0), retirements and unknown ends."""
-    return F.when((grid != 0) & classified, grid - finish)
+    """Places made up; null for pit-lane starts (slot 0), retirements and unknown ends.
+
+    A result without any text is not known to be a retirement and still counts.
+    """
+    return F.when((grid != 0) & F.coalesce(classified, F.lit(True)), grid - finish)
 
 
 def grid_penalty(grid: Column, qualified: Column) -> Column:

@@ -263,9 +263,15 @@ def leading_drivers(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
     ).select("race_id", "driver_id", "finish_rank")
 
 
+def shown_drivers(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
+    """Who R34 shows: the leading drivers, and entrants whose finish is unknown."""
+    unknown = finish_position(t).where(F.col("finish_position").isNull()).select("race_id", "driver_id")
+    return leading_drivers(t, shown).select("race_id", "driver_id").unionByName(unknown)
+
+
 def chart_position(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
     """Lap positions of the drivers shown."""
-    return lap_position(t).join(leading_drivers(t, shown), ["race_id", "driver_id"]).select(
+    return lap_position(t).join(shown_drivers(t, shown), ["race_id", "driver_id"], "left_semi").select(
         "race_id", "driver_id", "lap", F.col("lap_position").alias("chart_position")
     )
 
@@ -381,7 +387,7 @@ def position_chart(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
 def pit_stop_table(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
     """V7: stops of the drivers in the chart, by lap."""
     return (
-        t("fct_pit_stops").join(leading_drivers(t, shown), ["race_id", "driver_id"], "left_semi")
+        t("fct_pit_stops").join(shown_drivers(t, shown), ["race_id", "driver_id"], "left_semi")
         .join(names(t), "driver_id", "left")
         .select("race_id", "driver_name", "stop_number", "lap", "duration_seconds")
         .orderBy("race_id", "lap", "driver_name")

@@ -39,22 +39,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and written intermediate tables.
+    """Folder for written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is
-    only chosen in local mode, where driver and executors share one disk.
+    The cluster names it in ``spark.checkpoint.dir``; a folder set on the
+    context counts too. A temporary folder is only chosen in local mode, where
+    driver and executors share one disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="apexlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    context.setCheckpointDir(folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="apexlake-")
+    return _local_folders[context.applicationId]
 
 
 def write_once(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

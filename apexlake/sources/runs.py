@@ -31,22 +31,10 @@ def land(
     failures = failed_scopes(pages, scope)
     good = requested.select(*scope).distinct().join(failures, scope, "left_anti")
     fit = pages.join(good, scope, "left_semi")
-    table.replace(fit, good, load_id)
-
     if table.per_race:
-        seasons = good.select("season").distinct()
-        landed = table.read().join(seasons, "season", "left_semi")
-        rounds = good.unionByName(landed.select(*scope)).distinct()
-        outcomes = planning.round_outcomes(rounds, landed, latest)
-        # A failed round leaves its season open: progress stops before it.
-        broken = failures.groupBy("season").agg(F.min("round").alias("broken"))
-        outcomes = outcomes.join(broken, "season", "left").where(
-            F.col("broken").isNull() | (F.col("round") < F.col("broken"))
-        )
-        fresh = planning.race_watermarks(endpoint, outcomes).join(
-            broken.select("season", F.lit(endpoint).alias("endpoint")), ["endpoint", "season"], "left_anti"
-        )
+        fresh = _land_races(endpoint, table, fit, good, failures, latest, load_id)
     else:
+        table.replace(fit, good, load_id)
         fresh = planning.season_watermarks(endpoint, good, fit, latest)
     fresh = fresh.select("endpoint", "season", "last_round", "total_rows")
     state.upsert(fresh)
@@ -54,6 +42,31 @@ def land(
     return fresh, report
 
 
+def _land_races(
+    endpoint: str, table: RawTable, pages: DataFrame, good: DataFrame, failures: DataFrame, latest: DataFrame, load_id: str
+) -> DataFrame:
+    """Replace the races fetched; returns progress and completion of their seasons.
+
+    A newest round that is not published yet keeps whatever is landed for it.
+    """
+    scope = table.scope
+    waiting = planning.round_outcomes(good, pages, latest).where(F.col("outcome") == "unpublished")
+    settled = good.join(waiting, scope, "left_anti")
+    table.replace(pages, settled, load_id)
+
+    landed = table.read().join(good.select("season").distinct(), "season", "left_semi")
+    rounds = settled.unionByName(landed.select(*scope)).distinct().join(waiting, scope, "left_anti")
+    outcomes = planning.round_outcomes(rounds, landed, latest.limit(0)).unionByName(waiting)
+    # A failed round leaves its season open: progress stops before it.
+    broken = failures.groupBy("season").agg(F.min("round").alias("broken"))
+    outcomes = outcomes.join(broken, "season", "left").where(
+        F.col("broken").isNull() | (F.col("round") < F.col("broken"))
+    )
+    marks = planning.race_watermarks(endpoint, outcomes)
+    unfinished = broken.select("season", F.lit(endpoint).alias("endpoint"))
+    return marks.join(unfinished, ["endpoint", "season"], "left_anti")
+
+
 def write_summary(summary: DataFrame, path: str) -> None:
     """The summary row as one JSON file, for whatever started the run."""
     summary.coalesce(1).write.mode("overwrite").json(path)

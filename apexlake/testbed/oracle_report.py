@@ -27,7 +27,7 @@ PARTS["rep_finish"] = """
 SELECT race_id, driver_id, best AS finish_position,
        CASE WHEN best IS NOT NULL THEN dense_rank() OVER (PARTITION BY race_id ORDER BY best NULLS LAST) END::INT AS finish_rank
 FROM (SELECT race_id, driver_id, min(finish_position) AS best FROM fct_race_results GROUP BY ALL)"""
-PARTS["rep_shown"] = f"SELECT race_id, driver_id FROM rep_finish WHERE finish_rank <= {report.DRIVERS_SHOWN}"
+PARTS["rep_shown"] = f"SELECT race_id, driver_id FROM rep_finish WHERE ifnull(finish_rank, 0) <= {report.DRIVERS_SHOWN}"
 
 
 def median(column: str) -> str:

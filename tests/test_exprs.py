@@ -48,7 +48,7 @@ def test_era_neutral_points(spark, position, points):
 
 
 @pytest.mark.parametrize("grid, finish, text, gained", [
-    (10, 4, "4", 6), (0, 4, "4", None), (10, 18, "R", None), (None, 4, "4", None), (3, None, "3", None), (1, 5, "5", -4),
+    (10, 4, "4", 6), (0, 4, "4", None), (10, 18, "R", None), (None, 4, "4", None), (3, None, "3", None), (1, 5, "5", -4), (9, 4, None, 5),
 ])
 def test_places_gained(spark, grid, finish, text, gained):
     column = X.places_gained(F.col("g"), F.col("f"), X.is_classified(F.col("t")))

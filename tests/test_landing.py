@@ -153,6 +153,28 @@ def test_newest_round_of_a_running_season_is_retried(spark, tmp_path):
     assert marks == {("laps_progress", 14, 170), ("laps", 14, 170)}
 
 
+def test_an_unpublished_round_keeps_what_is_landed(spark, tmp_path):
+    table, state = RawTable(spark, str(tmp_path / "r"), per_race=True), LoadState(spark, str(tmp_path / "s"))
+    state.create()
+    both = race_pages(spark, (2026, 1, 0, 50), (2026, 2, 0, 60))
+    land("laps", table, state, both, both, latest(spark, (2026, 2)), "one")
+    forced = race_pages(spark, (2026, 1, 0, 55))
+    wanted = spark.createDataFrame([(2026, 1), (2026, 2)], "season int, round int")
+    land("laps", table, state, forced, wanted, latest(spark, (2026, 2)), "two")
+    assert rows(table.read().select("round", "total_rows")) == {(1, 55), (2, 60)}
+    assert ("laps_progress", 1, 55) in rows(state.read().select("endpoint", "last_round", "total_rows"))
+
+
+def test_a_broken_race_stops_progress_before_it(spark, tmp_path):
+    table, state = RawTable(spark, str(tmp_path / "r"), per_race=True), LoadState(spark, str(tmp_path / "s"))
+    state.create()
+    pages = race_pages(spark, (2010, 1, 0, 50), (2010, 2, 0, 150), (2010, 3, 0, 70))
+    _, failures = land("laps", table, state, pages, pages, latest(spark), "one")
+    assert rows(failures) == {(2010, "laps", "missing page")}
+    assert rows(state.read().select("endpoint", "last_round", "total_rows")) == {("laps_progress", 1, 50)}
+    assert rows(table.read().select("round")) == {(1,), (3,)}
+
+
 def test_an_empty_past_race_is_absence(spark, tmp_path):
     table, state = RawTable(spark, str(tmp_path / "r"), per_race=True), LoadState(spark, str(tmp_path / "s"))
     state.create()

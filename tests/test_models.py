@@ -270,6 +270,9 @@ def test_finish_rank_is_dense_and_limits_the_chart(lake):
     assert pick(report.finish_rank(w.table), "driver_id", "finish_rank") == {("a", 1), ("b", 2), ("c", 2), ("d", 3)}
     assert pick(report.leading_drivers(w.table, 2), "driver_id") == {("a",), ("b",), ("c",)}
     assert pick(report.show_driver(w.table, 2), "driver_id", show_driver=0) == {("d",)}
+    unknown = lake(races=[race(2024, 1)], results=[result(2024, 1, d, f) for d, f in (("a", 1), ("b", 2), ("x", None))])
+    assert pick(report.show_driver(unknown.table, 1), "driver_id", show_driver=1) == {("a",), ("x",)}
+    assert pick(report.shown_drivers(unknown.table, 1), "driver_id") == {("a",), ("x",)}
 
 
 def test_points_to_date_carry_over_a_missed_round(lake):
