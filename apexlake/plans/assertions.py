@@ -404,12 +404,3 @@ ASSERTIONS: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {
     "A28": (unclassified_have_no_position, "error"),
 }
 
-
-def assertion_report(t: Tables) -> DataFrame:
-    """One line per assertion with its violations, in the form of the generic checks."""
-    from apexlake.plans.checks import _line, stacked
-
-    return stacked([
-        _line(check(t), "all", "assertion", name, severity, F.count("*"))
-        for name, (check, severity) in ASSERTIONS.items()
-    ])

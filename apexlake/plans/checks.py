@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apexlake.functions.exprs import any_of
@@ -45,79 +46,95 @@ def freshness(pages: DataFrame, now: Column, warn_days: int = 10, error_days: in
     return pages.agg(F.max("ingested_at").alias("newest")).select("newest", status.alias("status"))
 
 
-# Counts for a report ---------------------------------------------------------
-def _line(violations: DataFrame, table: str, check: str, target: str, severity: str, count: Column) -> DataFrame:
-    return violations.agg(F.coalesce(count, F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(table).alias("table"), F.lit(check).alias("check_name"), F.lit(target).alias("target"),
-        F.lit(severity).alias("severity"), "violations",
-    )
-
-
-def _stack(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def null_counts(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
-    """Nulls in several columns, counted in one pass over the table."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    lines = F.array(*[
-        F.struct(F.lit(c).alias("target"), F.lit(s).alias("severity"), F.col(c).alias("violations"))
-        for c, s in columns.items()
-    ])
-    return counted.select(F.explode(lines).alias("line")).select(
-        F.lit(table).alias("table"), F.lit("not_null").alias("check_name"),
-        "line.target", "line.severity", "line.violations",
-    )
-
-
-def suite(tables, declared: Declared) -> DataFrame:
-    """Every declared check as one line with its number of violations."""
-    return _stack([*not_null_lines(tables, declared), *unique_lines(tables, declared), *combination_lines(tables, declared),
-                   *relationship_lines(tables, declared), *accepted_lines(tables, declared)])
-
-
+# Reports ---------------------------------------------------------------------
+@dataclass(frozen=True)
 class Declared:
     """Checks declared per table: see ``quality.py``."""
 
-    def __init__(self, not_null, unique, combinations, relationships, accepted):
-        self.not_null, self.unique, self.combinations = not_null, unique, combinations
-        self.relationships, self.accepted = relationships, accepted
+    not_null: dict[str, dict[str, str]]
+    unique: list[tuple[str, str]]
+    combinations: dict[str, tuple[str, ...]]
+    relationships: list[tuple[str, str, str]]
+    accepted: list[tuple[str, str, list[str]]]
 
 
-def not_null_lines(tables, declared: Declared) -> list[DataFrame]:
-    return [null_counts(tables(t), t, columns) for t, columns in declared.not_null.items()]
+@dataclass(frozen=True)
+class Check:
+    """One line of a report and the frame its violations are in."""
 
+    table: str
+    check_name: str
+    target: str
+    severity: str
+    violations: DataFrame
 
-def unique_lines(tables, declared: Declared) -> list[DataFrame]:
-    return [
-        _line(unique(tables(t).where(F.col(c).isNotNull()), c), t, "unique", c, "error", F.count("*"))
-        for t, c in declared.unique
-    ]
 
+def _null_checks(df: DataFrame, table: str, columns: dict[str, str]) -> tuple[list[Check], DataFrame]:
+    """Checks of all columns and the frame that finds them in one pass, tagged with the column."""
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
+    found = not_null(df, *columns).select(F.explode(missing).alias("target"))
+    return [Check(table, "not_null", c, s, found) for c, s in columns.items()], found
 
-def combination_lines(tables, declared: Declared) -> list[DataFrame]:
-    return [
-        _line(unique(tables(t), *keys), t, "unique_combination", ", ".join(keys), "error", F.count("*"))
-        for t, keys in declared.combinations.items()
-    ]
 
+def _report(spark: SparkSession, catalogue: list[Check], parts: list[DataFrame]) -> DataFrame:
+    """Every check with its violations.
 
-def relationship_lines(tables, declared: Declared) -> list[DataFrame]:
-    return [
-        _line(relationships(tables(t), c, tables(p), c), t, "relationships", f"{c} in {p}", "error", F.sum("n"))
-        for t, c, p in declared.relationships
-    ]
+    All violations are counted in one aggregation, and usually there are few
+    of them; the list of checks, a line each, fills in the zeros.
+    """
+    keys = ["table", "check_name", "target"]
+    counted = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum("n").alias("violations"))
+    lines = spark.createDataFrame(
+        [(c.table, c.check_name, c.target, c.severity) for c in catalogue],
+        "table string, check_name string, target string, severity string",
+    )
+    return lines.join(counted, keys, "left").select(
+        *keys, "severity", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
+    ).select(*REPORT)
 
 
-def accepted_lines(tables, declared: Declared) -> list[DataFrame]:
-    return [
-        _line(accepted_values(tables(t), c, values), t, "accepted_values", c, "error", F.count("*"))
-        for t, c, values in declared.accepted
-    ]
+def _tagged(df: DataFrame, table: str, check_name: str, target: Column, weight: Column) -> DataFrame:
+    return df.select(
+        F.lit(table).alias("table"), F.lit(check_name).alias("check_name"), target.alias("target"),
+        weight.cast("bigint").alias("n"),
+    )
+
 
+def report(tables, declared: Declared) -> DataFrame:
+    """Every declared check as one line with its number of violations.
 
-def stacked(lines: list[DataFrame]) -> DataFrame:
-    return _stack(lines)
+    Nulls and orphans count rows; duplicates count keys; unaccepted values
+    count values.
+    """
+    catalogue: list[Check] = []
+    parts: list[DataFrame] = []
+
+    def add(table: str, check_name: str, target: str, violations: DataFrame, weight: Column) -> None:
+        catalogue.append(Check(table, check_name, target, "error", violations))
+        parts.append(_tagged(violations, table, check_name, F.lit(target), weight))
+
+    for table, columns in declared.not_null.items():
+        checks, found = _null_checks(tables(table), table, columns)
+        catalogue += checks
+        parts.append(_tagged(found, table, "not_null", F.col("target"), F.lit(1)))
+    for table, column in declared.unique:
+        known = tables(table).where(F.col(column).isNotNull())
+        add(table, "unique", column, unique(known, column), F.lit(1))
+    for table, keys in declared.combinations.items():
+        add(table, "unique_combination", ", ".join(keys), unique(tables(table), *keys), F.lit(1))
+    for table, column, parent in declared.relationships:
+        add(table, "relationships", f"{column} in {parent}",
+            relationships(tables(table), column, tables(parent), column), F.col("n"))
+    for table, column, values in declared.accepted:
+        add(table, "accepted_values", column, accepted_values(tables(table), column, values), F.lit(1))
+    return _report(parts[0].sparkSession, catalogue, parts)
+
+
+def assertion_report(tables, assertions) -> DataFrame:
+    """One line per assertion with its violations, in the same form."""
+    catalogue = [Check("all", "assertion", name, severity, check(tables)) for name, (check, severity) in assertions.items()]
+    parts = [_tagged(c.violations, c.table, c.check_name, F.lit(c.target), F.lit(1)) for c in catalogue]
+    return _report(parts[0].sparkSession, catalogue, parts)
 
 
 def build_fails(report: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,26 +60,33 @@ for _name, (_check, _severity) in ASSERTIONS.items():
     register(f"check_{_name}_damaged", _damaged(_name), damaged_sql(_name))
 
 # Declared checks, one line per check.
+_NONE = checks.Declared({}, [], {}, [], [])
 _DECLARED = {
-    "dq_not_null": (checks.not_null_lines, not_null_sql),
-    "dq_unique": (checks.unique_lines, unique_sql),
-    "dq_unique_combo": (checks.combination_lines, combination_sql),
-    "dq_relationships": (checks.relationship_lines, relationship_sql),
-    "dq_accepted": (checks.accepted_lines, accepted_sql),
+    "dq_not_null": (replace(_NONE, not_null=DECLARED.not_null), not_null_sql),
+    "dq_unique": (replace(_NONE, unique=DECLARED.unique), unique_sql),
+    "dq_unique_combo": (replace(_NONE, combinations=DECLARED.combinations), combination_sql),
+    "dq_relationships": (replace(_NONE, relationships=DECLARED.relationships), relationship_sql),
+    "dq_accepted": (replace(_NONE, accepted=DECLARED.accepted), accepted_sql),
 }
-for _name, (_lines, _sql) in _DECLARED.items():
-    register(_name, lambda w, f=_lines: checks.stacked(f(w.table, DECLARED)), union(_sql()))
+for _name, (_part, _sql) in _DECLARED.items():
+    register(_name, lambda w, d=_part: checks.report(w.table, d), union(_sql()))
+register("dq_suite", lambda w: checks.report(w.table, DECLARED), union([
+    line for _, sql in _DECLARED.values() for line in sql()]))
 register(
-    "dq_suite",
-    lambda w: checks.build_fails(checks.suite(w.table, DECLARED)),
+    "dq_build_fails", lambda w: checks.build_fails(checks.report(w.table, DECLARED)),
     "SELECT * FROM (" + union([line for _, sql in _DECLARED.values() for line in sql()])
     + ") WHERE severity = 'error' AND violations > 0",
 )
+_OVER_TABLES = {name: check for name, check in ASSERTIONS.items() if name != "A23"}
+register("dq_assertions", lambda w: checks.assertion_report(w.table, _OVER_TABLES), union([
+    f"SELECT 'all' AS \"table\", 'assertion' AS check_name, '{name}' AS target, '{severity}' AS severity, "
+    f"(SELECT count(*) FROM ({ASSERTION_SQL[name]})) AS violations" for name, (_, severity) in _OVER_TABLES.items()
+]))
 
 
 def _freshness(w: Warehouse) -> DataFrame:
     now = F.lit(CHECKED_AT).cast("timestamp")
-    return checks.stacked([
+    return reduce(DataFrame.unionByName, [
         checks.freshness(pages, now).select(F.lit(endpoint).alias("endpoint"), "newest", "status")
         for endpoint, pages in w.raw.items()
     ])

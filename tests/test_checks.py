@@ -20,12 +20,13 @@ def test_not_null_returns_the_rows(facts):
     assert rows(checks.not_null(facts, "race", "driver")) == {(None, "ghost", None), (3, None, "win")}
 
 
-def test_null_counts_cover_all_columns_in_one_pass(facts):
-    counted = checks.null_counts(facts, "facts", {"race": "error", "driver": "warn", "kind": "error"})
+def test_nulls_of_a_table_are_found_in_one_pass(facts):
+    declared = checks.Declared({"facts": {"race": "error", "driver": "warn", "kind": "error"}}, [], {}, [], [])
+    counted = checks.report(lambda name: facts, declared)
     assert rows(counted.select("target", "severity", "violations")) == {
         ("race", "error", 1), ("driver", "warn", 1), ("kind", "error", 1)}
     plan = counted._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Scan") == 1
+    assert plan.count("Filter") == 1
 
 
 def test_unique_and_combinations(facts):
@@ -46,7 +47,7 @@ def test_only_errors_fail_a_build(facts):
     declared = checks.Declared(
         {"facts": {"race": "warn", "driver": "error"}}, [("facts", "driver")], {"facts": ("driver", "kind")}, [],
         [("facts", "kind", ["win", "podium", "draw"])])
-    report = checks.suite(lambda name: facts, declared)
+    report = checks.report(lambda name: facts, declared)
     assert report.columns == checks.REPORT and report.count() == 5
     assert rows(checks.build_fails(report).select("check_name", "target")) == {("not_null", "driver"), ("unique", "driver")}
 
