@@ -220,23 +220,32 @@ def replace_race(w: Warehouse) -> DataFrame:
     return table.read().groupBy("season", "round").agg(F.count("*").alias("pages"))
 
 
-def stream(w: Warehouse) -> DataFrame:
-    """Files landed by a stream, then a second run that finds nothing new."""
+def _streamed(w: Warehouse, endpoint: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Pages landed by a stream from files, with a second run that finds nothing new; and the watermarks."""
     spark = _spark(w)
     root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    table = RawTable(spark, f"{root}/raw")
+    table = RawTable(spark, f"{root}/raw", per_race=endpoint in planning.PER_RACE)
     state = LoadState(spark, f"{root}/state")
     state.create()
-    columns = [f.name for f in incoming_schema(table)]
-    w.raw["results"].select(*columns).write.json(f"{root}/incoming")
+    w.raw[endpoint].select(*[f.name for f in incoming_schema(table)]).write.json(f"{root}/incoming")
     for _ in range(2):
         land_new_files(
-            spark, "results", f"{root}/incoming", table, state, _latest(w), f"{root}/checkpoint"
+            spark, endpoint, f"{root}/incoming", table, state, _latest(w), f"{root}/checkpoint"
         ).awaitTermination()
-    landed = table.read().groupBy("season").agg(F.count("*").alias("pages"))
-    return landed.join(state.read().where(F.col("endpoint") == "results"), "season").select(
-        "season", "pages", "last_round", "total_rows"
-    )
+    return table.read().groupBy(*columns).agg(F.count("*").alias("pages")), state.read()
+
+
+def stream(w: Warehouse) -> DataFrame:
+    """L27 for an endpoint loaded by season."""
+    landed, marks = _streamed(w, "results", ["season"])
+    return landed.join(marks, "season").select("season", "pages", "last_round", "total_rows")
+
+
+def stream_races(w: Warehouse) -> DataFrame:
+    """L27 for an endpoint loaded by race; the watermarks are those of the whole seasons."""
+    landed, marks = _streamed(w, "pit_stops", ["season", "round"])
+    done = marks.where(F.col("endpoint") == "pit_stops")
+    return landed.join(done, "season").select("season", "round", "pages", "last_round", "total_rows")
 
 
 def run_isolated(w: Warehouse) -> DataFrame:
@@ -354,6 +363,12 @@ WHERE endpoint = 'laps' AND NOT (season = 1999 AND round = 7) GROUP BY ALL"""),
 SELECT season, n AS pages, CASE WHEN season = 2001 THEN 9 ELSE last_round END AS last_round, total_rows
 FROM {_RESULT_PAGES} JOIN (FROM land_full WHERE endpoint = 'results') USING (season)
 WHERE season % 2 = 0 OR top < 100"""),
+    "land_stream_races": (stream_races, """
+SELECT season, round, count(*) AS pages, last_round, season_rows AS total_rows
+FROM land_pages JOIN (
+  SELECT season, max(round) AS last_round, sum(total_rows)::INT AS season_rows FROM land_totals
+  WHERE endpoint = 'pit_stops' GROUP BY season) USING (season)
+WHERE endpoint = 'pit_stops' GROUP BY ALL"""),
     "land_stream": (stream, f"""
 SELECT season, n AS pages, last_round, total_rows
 FROM {_RESULT_PAGES} JOIN (FROM land_marks WHERE endpoint = 'results') USING (season)"""),
