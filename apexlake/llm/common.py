@@ -109,11 +109,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word (a run without white space), and words before each text."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word (a run without separators, by default white space), and words before each text."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+    word = ~separators[data]
     before = np.empty_like(word)
     before[0], before[1:] = False, word[:-1]
     edges = offsets[offsets < len(data)]

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apexlake.llm import bpe, decontaminate, pii, quality, simhash
+from apexlake.llm import bpe, decontaminate, html_text, kneser_ney, licenses, pii, quality, simhash
 from apexlake.llm.common import read_table
 from apexlake.session import write_once
 
@@ -51,12 +51,28 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return shipped
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    model = kneser_ney.train(docs.where(~held_out))
+    return kneser_ney.score(model, docs).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, classes = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), **SIMHASH)
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -89,7 +105,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY).select("doc_id", "text", F.size("pii_kinds").cast("bigint").alias("n_replaced"))
 
 
-_DEALT = (op3_simhash, op6_decontamination, op7_quality, op8_bpe, op9_token_counts, op10_pii)
+_DEALT = (
+    op1_language_model, op2_html_text, op3_simhash, op4_licenses, op6_decontamination, op7_quality, op8_bpe, op9_token_counts, op10_pii,
+)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in _DEALT}
 
 SQL: dict[str, str] = {}
