@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apexlake.llm import bpe, decontaminate, html_text, kneser_ney, licenses, pii, quality, simhash
+from apexlake.llm import bpe, decontaminate, html_text, kneser_ney, licenses, passages, pii, quality, simhash
 from apexlake.llm.common import read_table
 from apexlake.session import write_once
 
@@ -73,6 +73,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -106,7 +110,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DEALT = (
-    op1_language_model, op2_html_text, op3_simhash, op4_licenses, op6_decontamination, op7_quality, op8_bpe, op9_token_counts, op10_pii,
+    op1_language_model, op2_html_text, op3_simhash, op4_licenses, op5_passages, op6_decontamination,
+    op7_quality, op8_bpe, op9_token_counts, op10_pii,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in _DEALT}
 
