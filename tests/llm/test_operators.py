@@ -1,0 +1,380 @@
+"""The dealt operators against brute force, and on nulls, empty tables, repeats and clashing names."""
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+from zlib import crc32
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from apexlake.llm import bpe, decontaminate, html_text, kneser_ney, licenses, passages, pii, quality, simhash
+from apexlake.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SCHEMA = "doc_id long, text string, key string, words string, fp string"  # extra columns named like inner ones
+rng = np.random.default_rng(5)
+VOCABULARY = ["the", "of", "and", "a"] + ["".join(rng.choice(list("abcdeéöñ"), rng.integers(2, 7))) for _ in range(300)]
+
+
+def prose(n, seed):
+    return " ".join(np.random.default_rng(seed).choice(VOCABULARY, n))
+
+
+PASSAGE = prose(70, 1000)
+EDITED = " ".join(w if i % 23 else "changed" for i, w in enumerate(PASSAGE.split()))
+LONG = prose(6000, 1001)
+TEXTS = [
+    None, "", " \t\n ", "One", "AA bb Cc dd", prose(40, 1), prose(40, 1), prose(40, 1).upper(), prose(80, 2), LONG, LONG + " end",
+    f"{prose(30, 3)}\n{PASSAGE}\n{prose(30, 4)}", f"{prose(20, 5)} {EDITED} {prose(45, 6)}", f"{prose(25, 7)} {PASSAGE}",
+    "of " * 120, "to " * 90 + "be " * 80, "x! <|endoftext|> It's 12½ ΣΑΣ 漢字 🙂\x1cz ǅ   “q” aaaa", "€" * 30,
+    "Released under the MIT License. " + prose(20, 8), "line one here\n" * 6 + "other",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "k", "w", "f") for i, t in enumerate(TEXTS)] + [(3, "One", "k", "w", "f"), (3, "Two under one id", "k", "w", "f"), (None, "no id", "k", "w", "f")]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).persist()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+# Encoding and counts
+
+def test_bpe_equals_the_library(docs, empty):
+    library = Tokenizer.from_file(PATH)
+    library.no_truncation()
+    library.no_padding()
+    for row in bpe.encode(docs, PATH).collect():
+        expected = library.encode(row["text"] or "", add_special_tokens=False).ids
+        assert row["token_ids"] == expected
+        assert row["decoded"] == library.decode(expected, skip_special_tokens=False)
+    for row in bpe.encode_digest(docs, PATH).collect():
+        expected = library.encode(row["text"] or "", add_special_tokens=False).ids
+        assert row["n_tokens"] == len(expected)
+        assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, expected)).encode()).hexdigest()
+    for row in bpe.count_tokens(docs, PATH).collect():
+        assert row["n_tokens"] == len(library.encode(row["text"] or "", add_special_tokens=False).ids)
+    assert bpe.encode(empty, PATH).count() == 0 and bpe.count_tokens(empty, PATH).count() == 0
+
+
+def test_decode_is_the_inverse(docs):
+    encoded = bpe.encode(docs, PATH)
+    assert bpe.decode(encoded.withColumnRenamed("decoded", "before"), PATH).where("NOT decoded <=> before").count() == 0
+
+
+def test_whole_tokens_are_single(spark):
+    vocabulary = bpe.Vocabulary(bpe.read_vocabulary(PATH))
+    library = Tokenizer.from_file(PATH)
+    whole = bpe.whole_tokens(vocabulary)
+    assert len(whole) > 30_000
+    for word in whole[::97]:
+        if vocabulary.pre_tokens(word) == [word]:
+            assert len(library.encode(word, add_special_tokens=False).ids) == 1
+
+
+def test_memory_that_forgets_gives_the_same(docs, monkeypatch):
+    vocabulary = bpe.Vocabulary(bpe.read_vocabulary(PATH))
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    memory = bpe.Memory({}, lambda missing: [len(ids) for ids in vocabulary.merge(missing)])
+    for text in TEXTS[3:12]:
+        memory.know([vocabulary.pre_tokens(text)])
+        assert all(memory[w] == len(vocabulary.merge([w])[0]) for w in vocabulary.pre_tokens(text))
+
+
+# Near-duplicates
+
+def simple_fingerprint(text):
+    own = words(text)
+    shingles = [" ".join(own[i:i + 4]) for i in range(max(1, len(own) - 3))] if own else []
+    ones = Counter(b for s in shingles for b in range(64) if xxhash.xxh64_intdigest(s.encode(), 42) >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def union(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_simhash_components(docs, empty):
+    rows, classes = simhash.near_duplicates(docs)
+    prints = {(r["doc_id"], r["text_hash"]): r["fp"] & (1 << 64) - 1 for r in rows.collect()}
+    expected = {(r["doc_id"], r["h"]): simple_fingerprint(r["text"]) for r in docs.withColumn("h", F.xxhash64("text")).collect()}
+    assert prints == expected
+    found = {r["fp"] & (1 << 64) - 1: r["component_id"] for r in classes.collect()}
+    distinct = sorted(set(prints.values()))
+    root = union([(a, b) for a in distinct for b in distinct if a < b and (a ^ b).bit_count() <= 4], distinct)
+    for fp, component in found.items():
+        ids = [d for (d, _), other in prints.items() if root[other] == root[fp] and d is not None]
+        assert component == (min(ids) if ids else None)
+    assert [part.count() for part in simhash.near_duplicates(empty)] == [0, 0]
+
+
+def test_one_row_of_each_group_stays(docs):
+    rows, classes = simhash.near_duplicates(docs)
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == rows.join(classes, "fp").select(
+        F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), "fp"))).distinct().count()
+
+
+@pytest.mark.parametrize("crowd", [40, 3000])
+def test_links_of_close_fingerprints(spark, crowd):
+    own = np.random.default_rng(crowd)
+    values = set()
+    for base in [int(x) for x in own.integers(0, 1 << 62, 60)]:
+        for _ in range(4):
+            values.add(base ^ sum(1 << int(b) for b in own.choice(62, own.integers(0, 6), replace=False)))
+    centre = int(own.integers(0, 1 << 62))
+    for _ in range(crowd):
+        values.add(centre ^ sum(1 << int(b) for b in own.choice(62, own.integers(0, 4), replace=False)))
+    values = sorted(values)
+    frame = spark.createDataFrame([(v,) for v in values], "fp long").repartition(3)
+    links = simhash.link_fingerprints(frame, 4)
+    roots = {r["node"]: r["root"] for r in components(links).collect()}
+    array = np.array(values, np.uint64)
+    pairs = [(values[i], values[i + 1 + int(j)]) for i in range(len(values)) for j in np.flatnonzero(np.bitwise_count(array[i + 1:] ^ array[i]) <= 4)[:50]]
+    expected = union(pairs, values) if crowd < 100 else None
+    if expected:
+        assert {v: roots.get(v, v) for v in values} == expected
+    for r in links.limit(2000).collect():
+        assert ((r["u"] ^ r["v"]) & (1 << 64) - 1).bit_count() <= 4
+    near = [v for v in values if (v ^ centre).bit_count() <= 3]
+    assert len({roots.get(v, v) for v in near}) == 1
+
+
+# Language model
+
+def test_kneser_ney_against_brute_force(spark, docs, empty, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 8_000)
+    training = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 != 1, F.lit(True)))
+    model = kneser_ney.train(training)
+    assert model.n_shards > 4
+    texts = [r["text"] for r in docs.collect() if r["doc_id"] is None or crc32(str(r["doc_id"]).encode()) % 5 != 1]
+    count, triples = Counter(), Counter()
+    for t in texts:
+        own = words(t) + [None]
+        count.update(own)
+        padded = ["\n", "\n", *own]
+        triples.update(zip(padded, padded[1:], padded[2:]))
+    pairs = Counter((v, w) for _, v, w in triples)
+    last = Counter(w for _, w in pairs)
+    n, size = sum(count.values()), len(count)
+
+    def contexts(counts, key):
+        out = defaultdict(lambda: [0, 0, 0, 0])
+        for gram, c in counts.items():
+            out[key(gram)][0] += c
+            out[key(gram)][min(c, 3)] += 1
+        return out
+
+    orders = [(last, contexts(last, lambda g: 0)), (pairs, contexts(pairs, lambda g: g[0])), (triples, contexts(triples, lambda g: g[:2]))]
+    ds = [kneser_ney.discounts(np.array([sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)])) for counts, _ in orders]
+
+    def chance(u, v, w):
+        p = 1 / (size + 1)
+        for (counts, context), d, gram, key in zip(orders, ds, (w, (v, w), (u, v, w)), (0, v, (u, v))):
+            if key in context:
+                f, c = context[key], counts.get(gram, 0)
+                p = (max(c - (0, *d)[min(c, 3)], 0) + sum(x * y for x, y in zip(f[1:], d)) * p) / f[0]
+        return p
+
+    for r in kneser_ney.score(model, docs).join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
+        if r["doc_id"] == 3:
+            continue  # two texts under one id
+        own = words(r["text"]) + [None]
+        padded = ["\n", "\n", *own]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(count[w] > 0 for w in own), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((count[w] + 0.5) / (n + 0.5 * (size + 1))) for w in own))
+        assert r["score"] == pytest.approx(sum(math.log10(chance(*g)) for g in zip(padded, padded[1:], padded[2:])))
+    nothing = kneser_ney.train(empty)
+    assert kneser_ney.score(nothing, empty).count() == 0
+    assert kneser_ney.score(nothing, docs).agg(F.min("score")).first()[0] == 0
+
+
+# Pages
+
+def test_differencing_without_a_marked_article(spark):
+    template = "<body><div>Site</div><p>{}</p><div>All rights</div>"
+    pages = spark.createDataFrame([
+        (1, "http://h.x/a/1", template.format("First &amp; own<br>text")), (2, "http://h.x/a/2", template.format("Second")),
+        (3, "http://other.x/", "<p>alone"), (4, None, None), (5, "http://h.x/b", ""),
+        (6, "http://h.x/z", "<article><h1>T</h1><nav>menu</nav><p><b>x <p>y&lt;</article><div>Site</div>"),
+        (7, "http://e.x/1", "<p>same</p>"), (8, "http://e.x/2", "<p>same</p>"),
+    ], "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages.withColumn("text", F.lit("clash"))).collect()}
+    assert found == {1: "First & own text", 2: "Second", 3: "alone", 4: "", 5: "", 6: "T\nx\ny<", 7: "same", 8: "same"}
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_shared_lines_are_a_longest_common_subsequence():
+    own = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = (["abcd"[k] for k in own.integers(0, 4, own.integers(0, 9))] for _ in range(2))
+        length = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                length[i + 1, j + 1] = length[i, j] + 1 if x == y else max(length[i, j + 1], length[i + 1, j])
+        shared = [x for x, k in zip(a, html_text.shared_lines(a, b)) if k]
+        rest = iter(b)
+        assert all(x in rest for x in shared) and len(shared) == length[-1, -1]
+
+
+# Licenses
+
+def test_license_spans(docs, empty):
+    found = licenses.scan(docs).collect()
+    assert [(r["doc_id"], r["license"], TEXTS[18][r["start_char"]:r["end_char"]]) for r in found] == [
+        (18, "MIT-statement", "Released under the MIT License")]
+    assert licenses.scan(empty).count() == 0
+
+
+def test_edited_license_is_aligned(spark):
+    notice = licenses.TEMPLATES["MIT"].split()
+    edited = " ".join(w for i, w in enumerate(notice) if i % 12 != 5)
+    rows = licenses.scan(spark.createDataFrame([(1, f"é {edited} end"), (2, " ".join(notice[:30]))], "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["license"]) for r in rows] == [(1, "MIT")]
+    assert 0.85 < rows[0]["coverage"] < 1 and rows[0]["start_char"] == 2
+
+
+# Passages
+
+def test_shared_passages(docs, empty):
+    found = {(r["doc_id"], r["other_doc_id"]): r for r in passages.shared_passages(docs).collect()}
+    linked = {frozenset(k) for k in found}
+    for a, b in ((9, 10), (11, 13), (11, 12)):
+        assert frozenset((a, b)) in linked or any({a, x} in linked and {b, x} in linked for x in range(20))
+    assert not any(8 in pair for pair in linked)
+    for (doc, other), r in found.items():
+        a, b = words(TEXTS[doc])[r["start_word"]:r["end_word"]], words(TEXTS[other])[r["other_start_word"]:r["other_end_word"]]
+        assert r["n_matched"] >= 50 and r["similarity"] >= 0.8 and passages.matched_words(np.array(a), np.array(b), 10_000) >= r["n_matched"]
+    assert passages.shared_passages(empty).count() == 0
+
+
+def test_chains_are_best():
+    own = np.random.default_rng(4)
+    for _ in range(200):
+        places = sorted({tuple(own.integers(0, 25, 2).tolist()) for _ in range(own.integers(1, 12))}, key=lambda t: (t[1], t[0]))
+        a, b = [x for x, _ in places], [y for _, y in places]
+        best = []
+        for i in range(len(a)):
+            best.append(passages.WEIGHT + max([0] + [best[j] - passages.GAP * (a[i] - a[j] + b[i] - b[j]) for j in range(i) if a[j] < a[i] and b[j] < b[i]]))
+        chain = passages.chains(a, b)[0]
+        score = passages.WEIGHT * len(chain) - passages.GAP * sum(a[q] - a[p] + b[q] - b[p] for p, q in zip(chain, chain[1:]))
+        assert score == pytest.approx(max(best))
+
+
+# Decontamination
+
+def test_contamination_against_brute_force(spark, docs, empty):
+    items = spark.createDataFrame([
+        (1, " ".join(PASSAGE.split()[10:40])), (2, "AA bb-cc"), (3, None), (3, "..."), (4, prose(20, 77)), (None, "no id"), (5, LONG[:3000]), (5, LONG[:3000]),
+    ], "item_id long, text string")
+    token = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    phrases = defaultdict(set)
+    for item, text in [(r["item_id"], r["text"]) for r in items.collect()]:
+        own = token.findall((text or "").translate(LOWER))
+        for i in range(max(1, len(own) - 12) if own else 0):
+            phrases[tuple(own[i:i + 13])].add(item)
+    texts = {(r["doc_id"], r["k"]): r["text"] for r in decontaminate.keyed(docs, "doc_id", "text").select("doc_id", F.col("key").alias("k"), "text").collect()}
+    rows = decontaminate.contamination(docs, items).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        own, hit, ids = token.findall((texts[r["doc_id"], r["key"]] or "").translate(LOWER)), set(), set()
+        for phrase, names in phrases.items():
+            for i in range(len(own) - len(phrase) + 1):
+                if tuple(own[i:i + len(phrase)]) == phrase:
+                    hit.update(range(i, i + len(phrase)))
+                    ids |= names
+        assert (r["n_words"], r["n_hit"], r["item_ids"]) == (len(own), len(hit), sorted(str(i) for i in ids if i is not None))
+        assert r["contaminated"] == (len(hit) > 0 and 20 * len(hit) >= len(own))
+    assert decontaminate.contamination(empty, items).count() == 0
+    assert decontaminate.contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
+
+
+def test_proximity(spark):
+    texts = spark.createDataFrame([(1, "x rare y strange z odd"), (2, "rare " + "w " * 30 + "strange odd")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "odd strange rare")], "item_id long, text string")
+    found = decontaminate.near_matches(decontaminate.keyed(texts, "doc_id", "text"), items, within=6)
+    assert [(r["item_id"], r["first"], r["last"]) for r in found.collect()] == [(7, 1, 5)]
+
+
+# Quality
+
+def test_measures_against_brute_force(docs, empty):
+    for r in quality.measure(docs).collect():
+        own, text = WORD.findall(r["text"] or ""), r["text"] or ""
+        windows = Counter(tuple(own[i:i + 5]) for i in range(len(own) - 4))
+        covered = {i + k for i in range(len(own) - 4) if windows[tuple(own[i:i + 5])] > 1 for k in range(5)}
+        lines = [line for line in text.split("\n") if WORD.search(line)]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (
+            len(own), sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+    voted = quality.vote(quality.measure(empty))
+    assert quality.judge(voted, quality.fit(voted)).count() == 0
+
+
+def test_posterior_separates_planted_junk(spark):
+    good = [(i, prose(60, 100 + i)) for i in range(80)]
+    junk = [(100 + i, " ".join(w + "***" for w in prose(60, 300 + i).split())) for i in range(15)]
+    voted = quality.vote(quality.measure(spark.createDataFrame(good + junk, "doc_id long, text string")))
+    model = quality.fit(voted)
+    kept = {r["doc_id"] for r in quality.judge(voted, model).where("kept").collect()}
+    assert kept == {i for i, _ in good}
+    assert all(quality.LEAST_RIGHT <= a <= quality.MOST_RIGHT for a in model.accuracy.values())
+
+
+# Pseudonyms
+
+PRIVATE = {
+    "email": "jane.doe+7@mail.example.com", "card": "4111 1111 1111 1111", "ip": "192.168.4.77", "phone": "+1 (415) 555-0137",
+    "ssn": "123-45-6789", "iban": "GB82 WEST 1234 5698 7654 32", "date": "2019-02-28", "secret": "9f86d081884c7d659a2feaa0c55ad015",
+}
+
+
+def test_pseudonyms_keep_format_and_link(spark, empty):
+    line = " ; ".join(f"token = {v}" if k == "secret" else v for k, v in PRIVATE.items())
+    rows = [(1, line), (2, line + " again"), (3, None), (4, ""), (5, "4111 1111 1111 1112, 300.1.2.3, 2019-02-30, 000-12-3456, plain 12345")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.pseudonymise(docs, "secret").collect()}
+    assert sorted(out[1]["pii_kinds"]) == sorted(PRIVATE)
+    assert out[2]["text"] == out[1]["text"] + " again"
+    assert out[3]["text"] is None and out[4]["text"] == "" and out[5]["text"] == rows[4][1]
+    assert not any(v in out[1]["text"] for v in PRIVATE.values())
+    shape = lambda t: re.sub(r"\d", "9", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", t)))
+    before, after = line.split(" ; "), out[1]["text"].split(" ; ")
+    for kind, a, b in zip(PRIVATE, before, after):
+        if kind not in ("ip", "secret"):
+            assert shape(a) == shape(b)
+    again = pii.pseudonymise(spark.createDataFrame([(1, out[1]["text"])], "doc_id long, text string"), "secret", invert=True)
+    assert again.first()["text"] == line
+    assert pii.pseudonymise(docs, "other").where("doc_id = 1").first()["text"] != out[1]["text"]
+    assert pii.pseudonymise(empty, "secret").count() == 0
+
+
+def test_permutations_have_no_collisions(spark):
+    numbers = spark.range(1000).select(F.lpad("id", 3, "0").alias("d"))
+    assert numbers.select(pii.feistel_digits(F.col("d"), "k", "t").alias("p")).distinct().count() == 1000
