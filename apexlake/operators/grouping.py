@@ -58,11 +58,12 @@ def directed_pairs(
     The smallest and the largest struct of a two-row group are its two rows,
     so one aggregation replaces counting, joining back and joining the table
     to itself. A group of any other size costs one partial row per task and is
-    dropped, however large it is. Two rows of the same member are no pair.
+    dropped, however large it is. Two rows of the same member are no pair, and
+    rows whose group is not known belong to none.
     """
     row = F.struct(member, *attributes)
     sides = (
-        df.groupBy(*group)
+        df.dropna(subset=group).groupBy(*group)
         .agg(F.count("*").alias("members"), F.min(row).alias("a"), F.max(row).alias("b"))
         .where((F.col("members") == 2) & (F.col(f"a.{member}") != F.col(f"b.{member}")))
     )

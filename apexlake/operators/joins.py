@@ -43,11 +43,3 @@ def spine_left_join(spine: DataFrame, df: DataFrame, keys: list[str], zero: tupl
     """Keep every spine row; measures named in ``zero`` become 0 where nothing matched."""
     joined = spine.join(df, keys, "left")
     return joined.fillna(0, list(zero)) if zero else joined
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Join condition that lets null keys meet."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition

@@ -71,7 +71,8 @@ class Warehouse:
         for name in MARTS:
             df = described(self.table(name), COLUMN_DESCRIPTIONS)
             df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-            df.sparkSession.sql(f"COMMENT ON TABLE {database}.{name} IS '{DESCRIPTIONS[name]}'")
+            described_as = DESCRIPTIONS[name].replace("\\", "\\\\").replace("'", "\\'")
+            df.sparkSession.sql(f"COMMENT ON TABLE {database}.{name} IS '{described_as}'")
 
 
 def described(df: DataFrame, comments: dict[str, str]) -> DataFrame:

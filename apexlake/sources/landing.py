@@ -10,7 +10,9 @@ which hides the stale ones.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from apexlake.operators.joins import measured_side
+from apexlake.session import remove
 from apexlake.sources.schemas import PAGING, RACE_PAGE, SEASON_PAGE
 
 MAX_PAGE_LIMIT = 100
@@ -113,10 +116,11 @@ class RawTable:
         """Make ``pages`` the content of every ``requested`` scope.
 
         Other scopes stay as they are. One timestamp is stamped on the whole
-        load. A load id names one set of pages: repeating the load under it
-        overwrites its own files only, so a retried job or stream batch does
-        not duplicate pages.
+        load. Every attempt writes files of its own, whatever load it belongs
+        to, and the newest attempt of a scope counts: a retried job or stream
+        batch neither duplicates pages nor brings old ones back.
         """
+        load_id = f"{load_id}-{uuid.uuid4().hex[:12]}"
         at = ingested_at if ingested_at is not None else F.lit(self._now())
         wanted = requested.select(*self.scope).distinct()
         columns = [c for c in self.schema.names if c != "ingested_at"]
@@ -134,12 +138,65 @@ class RawTable:
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("load_id", *self.scope).parquet(f"{self.path}/pages")
         )
-        line = wanted.select(*self.scope, F.lit(load_id).alias("load_id"), at.alias("at"))
+        line = wanted.select(*self.scope, F.lit(load_id).alias("load_id"), F.lit(self._now()).alias("at"))
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/loads")
 
     def _now(self):
         return self.spark.sql("SELECT current_timestamp() AS at").first()["at"]
 
+    def keep_failures(self, failures: DataFrame, load_id: str) -> None:
+        """Add a load's failed scopes to the table's list of failures."""
+        line = failures.select(*self.scope, "reason", F.lit(load_id).alias("load_id"), F.lit(self._now()).alias("at"))
+        line.write.mode("append").parquet(f"{self.path}/failures")
+
+    def keep_rejects(self, pages: DataFrame, load_id: str) -> None:
+        """Keep unreadable pages as they came, beside the table."""
+        columns = [c for c in self.schema.names if c != "ingested_at"]
+        rejects = pages.select(*columns, F.lit(load_id).alias("load_id"), F.lit(self._now()).alias("at"))
+        rejects.write.mode("append").parquet(f"{self.path}/rejects")
+
+    def failures(self) -> DataFrame:
+        """Every scope that failed, by load: scope, reason, load_id, at."""
+        return self.spark.read.parquet(f"{self.path}/failures")
+
+    def rejects(self) -> DataFrame:
+        """Every page that could not be read, by load."""
+        return self.spark.read.parquet(f"{self.path}/rejects")
+
+    def arrive(self, pages: DataFrame, batch_id: int) -> DataFrame:
+        """Add a batch of delivered pages to those waiting; returns all that wait in the scopes it touches.
+
+        A scope's pages may come in several batches. They wait until the scope
+        lands; what came up to its landing is used up. Of two pages for one
+        place the later one counts. A repeated batch overwrites itself.
+        """
+        columns = [c for c in self.schema.names if c != "ingested_at"]
+        folder = f"{self.path}/waiting"
+        pages.select(*columns).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        stored = T.StructType([f for f in self.schema.fields if f.name in columns] + [T.StructField("batch", T.LongType())])
+        waiting = self.spark.read.schema(stored).parquet(folder)
+        touched = waiting.where(F.col("batch") == batch_id).select(*self.scope).distinct()
+        used = self.loads().select(*self.scope, F.regexp_extract("load_id", r"-batch-(\d+)", 1).try_cast("bigint").alias("used"))
+        open_ = waiting.join(measured_side(touched), self.scope, "left_semi").join(measured_side(used), self.scope, "left").where(
+            F.col("used").isNull() | (F.col("batch") > F.col("used")))
+        later = open_.groupBy(*self.scope, "page_offset").agg(F.max("batch").alias("batch"))
+        return open_.join(later, [*self.scope, "page_offset", "batch"], "left_semi").select(*columns)
+
+    def _showing(self) -> list[str]:
+        return [row["load_id"] for row in self.loads().select("load_id").distinct().collect()]
+
+    def remove_superseded(self) -> None:
+        """Delete the files of loads that no scope shows any more. Not while readers or loads are running."""
+        try:
+            stored = self.spark.read.schema(self._stored).parquet(f"{self.path}/pages")
+        except AnalysisException:
+            return
+        kept = set(self._showing())
+        folders = {name[: name.index("/", name.index("load_id="))] for name in stored.inputFiles()}
+        for folder in folders:
+            if unquote(folder.rsplit("load_id=", 1)[1]) not in kept:
+                remove(self.spark, folder)
+
     def loads(self) -> DataFrame:
         """The load each scope currently shows."""
         try:
@@ -149,10 +206,11 @@ class RawTable:
         return log.groupBy(*self.scope).agg(F.max_by("load_id", F.struct("at", "load_id")).alias("load_id"))
 
     def read(self) -> DataFrame:
-        """Current pages of every scope. The log prunes the files of replaced loads."""
+        """Current pages of every scope. Only folders of loads that still show a scope are read."""
         try:
             stored = self.spark.read.schema(self._stored).parquet(f"{self.path}/pages")
         except AnalysisException:
             return self.spark.createDataFrame([], self.schema)
         current = measured_side(self.loads())
-        return stored.join(current, [*self.scope, "load_id"], "left_semi").select(*self.schema.names)
+        showing = self._showing()  # at most one load per scope on the calendar
+        return stored.where(F.col("load_id").isin(showing)).join(current, [*self.scope, "load_id"], "left_semi").select(*self.schema.names)

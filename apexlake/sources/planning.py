@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from apexlake.sources.landing import highest_round
 from apexlake.sources.schemas import LOAD_STATE
+from apexlake.session import remove
 
 FIRST_SEASON = 1950
 
@@ -98,14 +99,14 @@ def resume_plan(calendar: DataFrame, state: DataFrame, latest: DataFrame, endpoi
 def round_outcomes(planned: DataFrame, pages: DataFrame, latest: DataFrame) -> DataFrame:
     """What became of each planned round: ``landed``, ``absent`` or ``unpublished``.
 
-    The newest round of a running season without pages has not been published
-    yet and is tried again. Any other empty round is a race without data.
+    The newest round on the calendar of a running season, if it has no pages,
+    has not been published yet and is tried again. Any other empty round is a
+    race without data, whatever became of the rounds after it.
     """
     landed = pages.groupBy("season", "round").agg(
         F.count("*").alias("page_count"), F.min_by("total_rows", "page_offset").alias("total_rows")
     )
-    newest = Window.partitionBy("season")
-    waiting = F.col("latest_round").isNotNull() & (F.col("round") == F.max("round").over(newest))
+    waiting = F.coalesce(F.col("round") == F.col("latest_round"), F.lit(False))
     return (
         planned.join(landed, ["season", "round"], "left").join(latest, "season", "left")
         .withColumn(
@@ -123,8 +124,9 @@ def season_watermarks(endpoint: str, requested: DataFrame, pages: DataFrame, lat
     drivers name none, and the calendar names rounds still to come. A season
     without pages is recorded with no rows.
     """
+    named = F.col("payload_round") if "payload_round" in pages.columns else highest_round(F.col("payload"))
     loaded = pages.groupBy("season").agg(
-        F.max(highest_round(F.col("payload"))).alias("payload_round"),
+        F.max(named).alias("payload_round"),
         F.min_by("total_rows", "page_offset").alias("total_rows"),
     )
     return (
@@ -188,37 +190,48 @@ def run_summary(loaded: DataFrame, failures: DataFrame) -> DataFrame:
 
 @dataclass
 class LoadState:
-    """The watermark table: every write is a new version, the highest one counts."""
+    """The watermark table: every write adds lines of its own, the newest line of an endpoint season counts.
+
+    Each write has its own folder, so loads that run side by side neither
+    overwrite nor disturb one another.
+    """
 
     spark: SparkSession
     path: str
 
-    def _newest(self) -> int | None:
-        """Highest version on disk. Taken from file names: a version may hold no rows."""
+    def _lines(self) -> DataFrame | None:
         try:
-            files = self.spark.read.schema(LOAD_STATE).parquet(self.path).inputFiles()
+            return self.spark.read.schema(LOAD_STATE).parquet(f"{self.path}/write=*")
         except AnalysisException:
             return None
-        return max((int(re.search(r"version=(\d+)", name)[1]) for name in files), default=None)
 
     def read(self, missing_ok: bool = False) -> DataFrame:
         """Current watermarks. A missing table counts as empty only where asked for (a dry run)."""
-        newest = self._newest()
-        if newest is None:
+        lines = self._lines()
+        if lines is None:
             if missing_ok:
                 return self.spark.createDataFrame([], LOAD_STATE)
             raise FileNotFoundError(f"no load state at {self.path}")
-        return self.spark.read.schema(LOAD_STATE).parquet(f"{self.path}/version={newest}")
+        order = F.struct("loaded_at", "last_round", "total_rows")
+        newest = lines.groupBy("endpoint", "season").agg(F.max_by(F.struct(*LOAD_STATE.names[2:]), order).alias("line"))
+        return newest.select("endpoint", "season", "line.*")
 
-    def _write(self, state: DataFrame, version: int) -> None:
-        target = f"{self.path}/version={version}"
-        state.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    def _append(self, lines: DataFrame) -> None:
+        lines.select(*LOAD_STATE.names).write.parquet(f"{self.path}/write={uuid.uuid4().hex}")
 
     def create(self) -> None:
-        if self._newest() is None:
-            self._write(self.spark.createDataFrame([], LOAD_STATE), 0)
+        if self._lines() is None:
+            self._append(self.spark.createDataFrame([], LOAD_STATE))
 
     def upsert(self, fresh: DataFrame) -> DataFrame:
-        newest = self._newest()
-        self._write(upsert_watermarks(self.read(missing_ok=True), fresh), 0 if newest is None else newest + 1)
+        self._append(fresh.withColumn("loaded_at", F.current_timestamp()))
         return self.read()
+
+    def compact(self) -> None:
+        """Replace all lines by the current ones. Not while loads are running."""
+        old = self._lines()
+        if old is not None:
+            folders = {name.rsplit("/", 1)[0] for name in old.inputFiles()}  # one per write
+            self._append(self.read())
+            for folder in folders:
+                remove(self.spark, folder)

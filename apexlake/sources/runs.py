@@ -6,15 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apexlake.sources import planning
-from apexlake.sources.landing import RawTable, missing_pages, validate
+from apexlake.session import write_once
+from apexlake.sources.landing import RawTable, highest_round, missing_pages
 from apexlake.sources.planning import LoadState
+from apexlake.sources.schemas import PAGING
+
+
+def checked(pages: DataFrame, scope: list[str]) -> DataFrame:
+    """What a load needs to know of each page, without its payload: whether it reads, and the highest round in it."""
+    total = F.from_json("payload", PAGING)["MRData"]["total"].try_cast("int")
+    return pages.select(
+        *scope, "page_offset", "page_limit", "total_rows", total.isNotNull().alias("readable"),
+        highest_round(F.col("payload")).alias("payload_round"))
 
 
 def failed_scopes(pages: DataFrame, scope: list[str]) -> DataFrame:
-    """Scopes that must not replace what is landed: an unreadable page, or a page missing."""
-    readable, rejects = validate(pages)
-    unreadable = rejects.select(*scope, F.lit("unreadable page").alias("reason"))
-    incomplete = missing_pages(readable, scope).select(*scope, F.lit("missing page").alias("reason"))
+    """Scopes that must not replace what is landed: an unreadable page, or a page missing. Takes pages, checked or not."""
+    looked_at = pages if "readable" in pages.columns else checked(pages, scope)
+    unreadable = looked_at.where(~F.col("readable")).select(*scope, F.lit("unreadable page").alias("reason"))
+    incomplete = missing_pages(looked_at.where("readable"), scope).select(*scope, F.lit("missing page").alias("reason"))
     return unreadable.unionByName(incomplete).groupBy(*scope).agg(F.max("reason").alias("reason"))
 
 
@@ -25,18 +35,23 @@ def land(
     """Land one endpoint's fetched pages; returns (new watermarks, failures).
 
     A failing scope is reported, keeps its old pages and gets no watermark, so
-    the next run plans it again. The others go through.
+    the next run plans it again. The others go through. Payloads are parsed
+    once; failures and rejected pages are kept with the table.
     """
     scope = table.scope
-    failures = failed_scopes(pages, scope)
-    good = requested.select(*scope).distinct().join(failures, scope, "left_anti")
+    looked_at = write_once(checked(pages, scope), "checked-pages")
+    failures = write_once(failed_scopes(looked_at, scope), "failures")
+    good = write_once(requested.select(*scope).distinct().join(failures, scope, "left_anti"), "good-scopes")
     fit = pages.join(good, scope, "left_semi")
+    table.keep_failures(failures, load_id)
+    rejected = looked_at.where(~F.col("readable")).select(*scope, "page_offset").distinct()
+    table.keep_rejects(pages.join(rejected, [*scope, "page_offset"], "left_semi"), load_id)
     if table.per_race:
         fresh = _land_races(endpoint, table, fit, good, failures, latest, load_id)
     else:
         table.replace(fit, good, load_id)
-        fresh = planning.season_watermarks(endpoint, good, fit, latest)
-    fresh = fresh.select("endpoint", "season", "last_round", "total_rows")
+        fresh = planning.season_watermarks(endpoint, good, looked_at.join(good, scope, "left_semi"), latest)
+    fresh = write_once(fresh.select("endpoint", "season", "last_round", "total_rows"), "fresh-watermarks")
     state.upsert(fresh)
     report = failures.select("season", F.lit(endpoint).alias("endpoint"), "reason").distinct()
     return fresh, report

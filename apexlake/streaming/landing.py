@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from apexlake.session import write_once
 from apexlake.sources.landing import RawTable
 from apexlake.sources.planning import LoadState
 from apexlake.sources.runs import land
@@ -22,19 +23,16 @@ def land_new_files(
 ) -> StreamingQuery:
     """Process every file not seen before, then stop.
 
-    The pages of a scope are delivered together; one with a page missing is
-    reported by the next run's plan, because it gets no watermark. A batch that
-    is replayed after a failure carries the same load id and overwrites its own
-    files, so re-running is safe.
+    Arriving pages are stored first and land when their scope is complete, so a
+    scope may be spread over files, batches and runs. What fails meanwhile is
+    listed with the table. A batch that is replayed after a failure overwrites
+    what it stored, and its newest landing counts, so re-running is safe.
     """
     stream = spark.readStream.schema(incoming_schema(table)).json(folder)
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
-        pages = batch.persist()
-        try:
-            land(endpoint, table, state, pages, pages.select(*table.scope), latest, f"{endpoint}-batch-{batch_id:08d}")
-        finally:
-            pages.unpersist()
+        pages = write_once(table.arrive(batch, batch_id), "arrived")
+        land(endpoint, table, state, pages, pages.select(*table.scope), latest, f"{endpoint}-batch-{batch_id:08d}")
 
     return (
         stream.writeStream.foreachBatch(land_batch)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ _built: dict[tuple[str, str], Warehouse] = {}
 
 def land_pages(spark: SparkSession, folder: str) -> dict[str, RawTable]:
     """Turn the test tables into landed raw pages, one table per endpoint."""
-    root = f"{shared_folder(spark)}/raw-{spark.sparkContext.applicationId}-{abs(hash(folder))}"
+    root = f"{shared_folder(spark)}/raw-{spark.sparkContext.applicationId}-{crc32(folder.encode())}"
     projected = projection.Projection(spark, folder)
     requested = write_once(projected.calendar(), "calendar")
 

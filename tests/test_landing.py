@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -265,3 +266,53 @@ def test_freshness(spark):
     status = lambda day: freshness(pages, F.lit(day).cast("timestamp")).first().status
     assert [status("2026-09-05"), status("2026-09-20"), status("2026-11-01")] == ["pass", "warn", "error"]
     assert freshness(pages.limit(0), F.lit("2026-09-05").cast("timestamp")).first().status == "error"
+
+
+def test_an_empty_round_before_a_failed_newest_one_is_absence(spark):
+    planned = spark.createDataFrame([(2026, 1), (2026, 2)], "season int, round int")
+    outcomes = planning.round_outcomes(planned, race_pages(spark, (2026, 1, 0, 10)), latest(spark, (2026, 3)))
+    assert rows(outcomes.select("round", "outcome")) == {(1, "landed"), (2, "absent")}
+
+
+def test_a_repeat_under_the_same_id_hides_old_pages(spark, tmp_path):
+    table = RawTable(spark, str(tmp_path / "r"))
+    pages = season_pages(spark, (1990, 0, 1, payload(1, 1)), (1991, 0, 1, payload(1, 1)))
+    table.replace(pages, pages, "day1")
+    table.replace(pages.where("season = 1990"), pages, "day1")
+    assert rows(table.read().select("season")) == {(1990,)}
+    table.remove_superseded()
+    assert rows(table.read().select("season")) == {(1990,)}
+    assert len(list((tmp_path / "r" / "pages").glob("load_id=*"))) == 1
+
+
+def test_state_takes_writers_side_by_side(spark, tmp_path):
+    state = LoadState(spark, str(tmp_path / "s"))
+    state.create()
+    schema = "endpoint string, season int, last_round int, total_rows int"
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda k: state.upsert(spark.createDataFrame([(f"e{k}", 2024, k, k)], schema)), range(9)))
+    assert state.read().count() == 9
+    state.compact()
+    assert state.read().count() == 9 and len(list((tmp_path / "s").glob("write=*"))) == 1
+
+
+def test_failures_and_rejects_are_kept(spark, tmp_path):
+    table, state = RawTable(spark, str(tmp_path / "r")), LoadState(spark, str(tmp_path / "s"))
+    state.create()
+    pages = season_pages(spark, (2023, 0, 2, "{not json"), (2024, 0, 1, payload(1, 3)))
+    land("results", table, state, pages, pages, latest(spark), "one")
+    assert rows(table.failures().select("season", "reason", "load_id")) == {(2023, "unreadable page", "one")}
+    assert rows(table.rejects().select("season", "payload")) == {(2023, "{not json")}
+
+
+def test_a_scope_split_over_two_stream_runs_lands(spark, tmp_path):
+    table, state = RawTable(spark, str(tmp_path / "r")), LoadState(spark, str(tmp_path / "s"))
+    state.create()
+    pages = season_pages(spark, *[(2020, offset, 250, payload(250, 7)) for offset in (0, 100, 200)])
+    pages = pages.select(*[f.name for f in incoming_schema(table)])
+    for part in ("page_offset < 200", "page_offset = 200"):
+        pages.where(part).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        land_new_files(spark, "results", str(tmp_path / "in"), table, state, latest(spark), str(tmp_path / "c")).awaitTermination()
+    assert table.read().count() == 3
+    assert rows(state.read().select("season", "total_rows")) == {(2020, 250)}
+    assert rows(table.failures().select("reason")) == {("missing page",)}
