@@ -115,4 +115,25 @@ _DEALT = (
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in _DEALT}
 
-SQL: dict[str, str] = {}
+_WORDS = (
+    "coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w")
+# What SQL can express. The others rest on tokenizers, hashes, iteration or alignment and are tested against brute force.
+SQL: dict[str, str] = {
+    "op6_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} FROM documents),
+items AS (SELECT item_id::VARCHAR AS id, {_WORDS} FROM benchmark),
+phrases AS (
+    SELECT DISTINCT id, least(len(w), 13) AS n, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS p
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+places AS (
+    SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS p
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, n, id FROM places JOIN phrases USING (n, p)),
+covered AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS at FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
