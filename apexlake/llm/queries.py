@@ -130,7 +130,7 @@ places AS (
     SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS p
     FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n)),
 hits AS (SELECT doc_id, s, n, id FROM places JOIN phrases USING (n, p)),
-covered AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS at FROM hits) GROUP BY doc_id),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM hits) GROUP BY doc_id),
 named AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM hits GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
        sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256,
