@@ -275,6 +275,16 @@ def test_shared_passages(docs, empty):
     assert passages.shared_passages(empty).count() == 0
 
 
+def test_runs_of_one_word_are_linked(spark):
+    """Each text ends in a run of one word of another length; all of 50 words or more are linked to one of them."""
+    lengths = [*range(30, 75), 400, 7000]
+    rows = [(n, f"{prose(n % 7, n)} " + "same " * n + prose(n % 5, n + 1)) for n in lengths]
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert all(r["n_matched"] >= 50 for r in found)
+    with_each = {o: {o} | {r["doc_id"] for r in found if r["other_doc_id"] == o} for o in {r["other_doc_id"] for r in found}}
+    assert max(with_each.values(), key=len) == set().union(*with_each.values()) == {n for n in lengths if n >= 50}
+
+
 def test_chains_are_best():
     own = np.random.default_rng(4)
     for _ in range(200):
