@@ -241,6 +241,6 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          .groupBy(kept["doc_id"], kept["text_hash"]).agg(F.count("*").alias("n")), "kept")
     same = F.xxhash64(docs[text]) == counted["text_hash"]
     found = docs.join(counted, docs[doc_id].eqNullSafe(counted["doc_id"]) & same)
-    single = found.where("n = 1").select(*[docs[c] for c in docs.columns])
-    several = found.where("n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates([doc_id, text])
+    single = found.where(counted["n"] == 1).select(*[docs[c] for c in docs.columns])
+    several = found.where(counted["n"] > 1).select(*[docs[c] for c in docs.columns]).dropDuplicates([doc_id, text])
     return single.unionByName(several)
