@@ -16,8 +16,8 @@ from apexlake.session import write_once
 
 # Bytes of text handled at once inside a task. One longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
-# Broadcast a keyed table only below this counted number of rows.
-BROADCAST_ROWS = 200_000
+# Broadcast a table only below this counted number of rows and this measured size, as JSON.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,9 +37,12 @@ def row_key(doc_id: str, text: str) -> Column:
 
 
 def small(df: DataFrame, label: str) -> DataFrame:
-    """The table written once, marked for broadcast if its counted rows allow it."""
+    """The table written once, marked for broadcast if its counted rows and their measured size allow it."""
     written = write_once(df, label)
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+    if written.count() > BROADCAST_ROWS:
+        return written
+    size = written.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(written) if size <= BROADCAST_BYTES else written
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

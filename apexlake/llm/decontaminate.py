@@ -60,20 +60,21 @@ def phrases(items: DataFrame, window: int) -> DataFrame:
 
 
 def _rarest(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """Each phrase with the positions, within the item, of its rarest terms; none if a term occurs nowhere."""
+    """Each phrase, and where its rarest terms stand in the item; none if a term occurs nowhere.
+
+    A phrase carries its own words only, so long items cost in proportion to their length.
+    """
     words = items.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     placed = words.select("item_id", F.posexplode("words").alias("at", "term")).join(counts, "term", "left")
     known = placed.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("at", "n", "term"))).alias("terms"))
     last = F.greatest(F.size("terms") - window, F.lit(0))
-    each = known.select(
-        "item_id", F.transform("terms", lambda t: t["term"]).alias("words"), "terms",
-        F.explode(F.sequence(F.lit(0), last)).alias("start"), F.least(F.size("terms"), F.lit(window)).alias("length"),
-    )
-    inside = F.slice("terms", F.col("start") + 1, F.col("length"))
-    ordered = F.sort_array(F.transform(inside, lambda t: F.struct(t["n"].alias("n"), t["at"].alias("at"))))
-    return each.where(~F.exists(inside, lambda t: t["n"].isNull())).select(
-        "item_id", "words", "start", "length",
-        F.transform(F.slice(ordered, 1, LOOKED_UP), lambda t: t["at"]).alias("lookups"),
+    windows = F.transform(F.sequence(F.lit(0), last), lambda s: F.slice("terms", s + 1, F.lit(window)))
+    each = known.select("item_id", F.explode(windows).alias("inside"))
+    ordered = F.sort_array(F.transform("inside", lambda t: F.struct(t["n"].alias("n"), t["at"].alias("at"), t["term"].alias("term"))))
+    return each.where(~F.exists("inside", lambda t: t["n"].isNull())).select(
+        "item_id", F.col("inside")[0]["at"].alias("start"), F.size("inside").alias("length"),
+        F.transform("inside", lambda t: t["term"]).alias("phrase"),
+        F.transform(F.slice(ordered, 1, LOOKED_UP), lambda t: F.struct(t["at"].alias("at"), t["term"].alias("term"))).alias("lookups"),
     )
 
 
@@ -84,8 +85,8 @@ def exact_matches(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFr
     """
     terms = items.select(F.explode(words_of(F.col("text"))).alias("term")).distinct()
     wanted = write_once(_rarest(items, term_counts(docs, terms), window), "phrases")
-    lookups = wanted.select("item_id", "words", F.explode("lookups").alias("offset")).distinct()
-    lookups = lookups.select("item_id", F.col("offset"), F.expr("words[offset]").alias("term"))
+    lookups = wanted.select("item_id", F.explode("lookups").alias("l")).select(
+        "item_id", F.col("l.at").alias("offset"), F.col("l.term").alias("term")).distinct()
     postings = positional_index(docs, lookups.select("term").distinct())
 
     # The lists, shifted: the place in the document where the item's first word would stand.
@@ -93,10 +94,9 @@ def exact_matches(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFr
         "key", "item_id", (F.col("position") - F.col("offset")).alias("origin"), "offset")
     met = shifted.groupBy("key", "item_id", "origin").agg(F.collect_set("offset").alias("offsets"))
     candidates = met.join(small(wanted, "wanted"), "item_id").where(
-        F.forall("lookups", lambda o: F.array_contains("offsets", o)))
+        F.forall("lookups", lambda o: F.array_contains("offsets", o["at"])))
     candidates = write_once(candidates.select(
-        "key", "item_id", "start", "length", (F.col("origin") + F.col("start")).alias("at"),
-        F.slice("words", F.col("start") + 1, F.col("length")).alias("phrase")).where("at >= 0"), "candidates")
+        "key", "item_id", "start", "length", (F.col("origin") + F.col("start")).alias("at"), "phrase").where("at >= 0"), "candidates")
 
     # Texts are read again only where something may match: first by bucket, a table of bounded size, then by key.
     bucket = F.pmod("key", F.lit(BUCKETS))
@@ -136,7 +136,8 @@ def contamination(
 ) -> DataFrame:
     """One row per document: words, words inside phrases of items, the items, and the verdict.
 
-    ``contaminated``: at least one word in ``share`` is inside a phrase.
+    ``contaminated``: at least one word in ``share`` is inside a phrase. The
+    words of an item without an id count as hit; it has no name in the list.
     """
     own = keyed(docs, doc_id, text)
     # Items go by id and text as well, so that two texts under one id stay apart.

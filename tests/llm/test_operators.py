@@ -134,6 +134,12 @@ def test_simhash_components(docs, empty):
     assert [part.count() for part in simhash.near_duplicates(empty)] == [0, 0]
 
 
+def test_representatives_with_clashing_names(spark):
+    clashing = spark.createDataFrame(
+        [(1, "a b c d e f", 5, 6, 7), (1, "a b c d e f", 5, 6, 7), (2, "u v w x y z", 8, 9, 9)], "doc_id long, text string, n int, text_hash int, fp int")
+    assert sorted(tuple(r) for r in simhash.representatives(clashing).collect()) == [(1, "a b c d e f", 5, 6, 7), (2, "u v w x y z", 8, 9, 9)]
+
+
 def test_one_row_of_each_group_stays(docs):
     rows, classes = simhash.near_duplicates(docs)
     kept = simhash.representatives(docs)
@@ -326,6 +332,15 @@ def test_contamination_against_brute_force(spark, docs, empty):
     assert decontaminate.contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_very_long_item(spark):
+    """Windows of a long item carry their own words only; a text that holds its middle is hit there."""
+    item = prose(6000, 77)
+    middle = " ".join(item.split()[3000:3040])
+    docs = spark.createDataFrame([(1, f"{prose(50, 78)} {middle} {prose(50, 79)}"), (2, prose(60, 80))], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in decontaminate.contamination(docs, spark.createDataFrame([("a", item)], "item_id string, text string")).collect()}
+    assert found[1]["n_hit"] >= 40 and found[1]["contaminated"] and found[2]["n_items"] == 0
+
+
 def test_proximity(spark):
     texts = spark.createDataFrame([(1, "x rare y strange z odd"), (2, "rare " + "w " * 30 + "strange odd")], "doc_id long, text string")
     items = spark.createDataFrame([(7, "odd strange rare")], "item_id long, text string")
