@@ -20,8 +20,9 @@ from apexlake.session import write_once
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the base rules and are good with a probability of at least one half."""
-    voted = write_once(quality.vote(quality.measure(docs)), "pipeline-votes")
-    return quality.judge(voted, quality.fit(voted)).where("kept").select(*docs.columns)
+    packed = docs.select("text", F.struct(*[docs[c] for c in docs.columns]).alias("_document"))
+    voted = write_once(quality.vote(quality.measure(packed)).drop("text"), "pipeline-votes")
+    return quality.judge(voted, quality.fit(voted)).where("kept").select("_document.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
