@@ -16,13 +16,14 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest one."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("_least")).withColumn("_least", F.least("u", "_least"))
+    least = write_once(least, "least")
     return both.where("v > u").join(least, "u").select(F.col("_least").alias("u"), "v").where("u < v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     down = links.select(F.col("v").alias("node"), F.col("u").alias("lower"))
-    least = down.groupBy("node").agg(F.min("lower").alias("_least"))
+    least = write_once(down.groupBy("node").agg(F.min("lower").alias("_least")), "least")
     lower = down.join(least, "node").where("lower > _least").select(F.col("_least").alias("u"), F.col("lower").alias("v"))
     own = least.select(F.col("_least").alias("u"), F.col("node").alias("v"))
     return lower.unionByName(own).distinct()
@@ -35,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     around its smallest node, which takes a number of rounds that grows with
     the logarithm of its size. Each round is a written table, so no lineage
     builds up and a lost executor costs one round. The joins are inner ones on
-    a node: AQE splits a node with very many links. Links to itself and null
+    a node, and the aggregate they look up is written before: AQE splits a node
+    with very many links only if both sides come straight from a shuffle. Links to itself and null
     ends are dropped; repeated links count once; no links give no rows.
     """
     known = links.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()

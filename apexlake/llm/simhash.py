@@ -220,8 +220,10 @@ def near_duplicates(
     rows = write_once(made, "simhash")
     first = write_once(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
     linked = components(link_fingerprints(first, max_bits))
-    placed = first.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    placed = write_once(
+        first.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
+    # Written, so that both sides of the join come straight from a shuffle and AQE can split a large component.
+    smallest = write_once(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
     return rows, write_once(placed.join(smallest, "root").select("fp", "component_id"), "classes")
 
 
