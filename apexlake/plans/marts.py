@@ -28,13 +28,13 @@ def dim_season(
     last_dropped_score_season: int = LAST_DROPPED_SCORE_SEASON,
 ) -> DataFrame:
     """M1. The margin of a season still running is the leader's current lead."""
-    rounds = calendar_rows(races)
+    # Races found in the facts may be missing from the calendar, so its size bounds neither: no hint, AQE decides.
     ran = results.select(*RACE).distinct().withColumn("ran", F.lit(1))
     sprinted = sprints.select(*RACE).distinct().withColumn("sprinted", F.lit(1))
     calendar = (
         races.select(*RACE, "race_date", "sprint_date")
-        .join(small_side(ran, rounds), RACE, "left")
-        .join(small_side(sprinted, rounds), RACE, "left")
+        .join(ran, RACE, "left")
+        .join(sprinted, RACE, "left")
     )
     seasons = collapse(
         calendar, ["season"],
@@ -64,7 +64,7 @@ def dim_season(
 def dim_race(races: DataFrame, results: DataFrame) -> DataFrame:
     """M2. The calendar with rounds still to come; only completed ones have results."""
     ran = results.select(*RACE).distinct().withColumn("has_results", F.lit(True))
-    return races.join(small_side(ran, calendar_rows(races)), RACE, "left").select(
+    return races.join(ran, RACE, "left").select(
         X.race_id().alias("race_id"), *RACE, "race_name",
         X.race_label(F.col("round"), F.col("race_name")).alias("race_label"),
         "race_date", "race_start_utc", "circuit_id", "circuit_name", "circuit_locality", "circuit_country",
@@ -193,7 +193,7 @@ def fct_driver_careers(starts: DataFrame, drivers: DataFrame, standings: DataFra
     finales = collapse(starts, ["season"], final_race_date=F.max("race_date"))
     champions = standings.where("is_champion").select("season", "driver_id")
     titles = collapse(
-        champions.join(small_side(finales, calendar_rows(seasons)), "season"), ["driver_id"],
+        champions.join(finales, "season"), ["driver_id"],
         titles=F.count("*"),
         first_title_date=F.min("final_race_date"), last_title_date=F.max("final_race_date"),
         first_title_season=F.min("season"), last_title_season=F.max("season"),
@@ -304,7 +304,7 @@ def fct_lap_positions(laps: DataFrame, pit_stops: DataFrame, joined: DataFrame,
         X.race_id().alias("race_id"), "driver_id", "lap", "position", "lap_time_seconds",
         X.flag(F.col("stopped")).alias("is_pit_lap"),
     )
-    covered = small_side(laps.select(*RACE).distinct(), calendar_rows(races))
+    covered = laps.select(*RACE).distinct()
     grid = collapse(
         joined.where(F.col("grid_position") > 0).join(covered, RACE, "left_semi"), DRIVER_RACE,
         position=F.min("grid_position"),

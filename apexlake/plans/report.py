@@ -277,8 +277,7 @@ def chart_position(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
 
 
 def _covered(t: Tables, fact: str, flag: str) -> DataFrame:
-    races = t(fact).select("race_id").distinct().withColumn(flag, F.lit(True))
-    return small_side(races, calendar_rows(t("dim_race")))
+    return t(fact).select("race_id").distinct().withColumn(flag, F.lit(True))
 
 
 def lap_data_note(t: Tables) -> DataFrame:
@@ -303,9 +302,7 @@ def fastest_lap(t: Tables) -> DataFrame:
         holders=F.count("*"), text=F.max(text),
     )
     count = F.coalesce("holders", F.lit(0))
-    return t("dim_race").select("race_id").join(
-        small_side(holders, calendar_rows(t("dim_race"))), "race_id", "left"
-    ).select("race_id", F.when(count == 1, F.col("text")).when(count == 0, FASTEST_LAP_NOTE).alias("fastest_lap"))
+    return t("dim_race").select("race_id").join(holders, "race_id", "left").select("race_id", F.when(count == 1, F.col("text")).when(count == 0, FASTEST_LAP_NOTE).alias("fastest_lap"))
 
 
 def fastest_lap_highlight(t: Tables) -> DataFrame:
