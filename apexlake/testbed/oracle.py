@@ -369,22 +369,19 @@ LEFT JOIN (SELECT driver_id, date_of_birth FROM dim_driver) USING (driver_id)"""
     + [f"{age(m + '_date')} AS age_{m}" for m in MILESTONES]
 ))
 PARTS["fct_driver_streaks"] = f"""
-WITH numbered AS (
-  SELECT driver_id, race_id, race_date, won, podium, scored_points,
-         row_number() OVER (PARTITION BY driver_id ORDER BY race_date, race_id) AS n,
-         count(*) OVER (PARTITION BY driver_id) AS total
+WITH tried AS (
+  SELECT driver_id, race_id, race_date, unnest(['win', 'podium', 'points']) AS streak_type,
+         ifnull(unnest([won, podium, scored_points]), false) AS hit
   FROM int_driver_race),
-hits AS (
-  SELECT driver_id, race_id, race_date, n, total, t.streak_type
-  FROM numbered, LATERAL (SELECT 'win' AS streak_type WHERE won UNION ALL SELECT 'podium' WHERE podium
-                          UNION ALL SELECT 'points' WHERE scored_points) t),
-runs AS (
-  SELECT *, n - row_number() OVER (PARTITION BY driver_id, streak_type ORDER BY n) AS run FROM hits),
+misses AS (
+  SELECT *, sum((NOT hit)::INT) OVER (so_far ORDER BY race_date, race_id) AS missed,
+         sum((NOT hit)::INT) OVER so_far AS missed_in_all
+  FROM tried WINDOW so_far AS (PARTITION BY driver_id, streak_type)),
 streaks AS (
-  SELECT driver_id, streak_type, count(*) AS streak_length, arg_min(race_id, n) AS first_race_id,
-         arg_max(race_id, n) AS last_race_id, min(race_date) AS first_race_date, max(race_date) AS last_race_date,
-         max(n) = max(total) AS runs_to_latest_start
-  FROM runs GROUP BY driver_id, streak_type, run),
+  SELECT driver_id, streak_type, count(*) AS streak_length, first(race_id ORDER BY race_date, race_id) AS first_race_id,
+         last(race_id ORDER BY race_date, race_id) AS last_race_id, min(race_date) AS first_race_date,
+         max(race_date) AS last_race_date, missed = missed_in_all AS runs_to_latest_start
+  FROM misses WHERE hit GROUP BY driver_id, streak_type, missed, missed_in_all),
 names AS (SELECT {race_key()} AS race_id, season || ' ' || race_name AS label FROM stg_races)
 SELECT driver_id, streak_type, streak_length,
        rank() OVER (PARTITION BY streak_type ORDER BY streak_length DESC)::INT AS streak_rank,
@@ -407,13 +404,14 @@ SELECT {race_key('t.season', 't.round')} AS race_id, t.driver_id, constructor_id
        CASE WHEN t.season >= 1998 THEN final.s END AS final_session, grid_position
 FROM timed t LEFT JOIN grid USING (season, round, driver_id)"""
 PARTS["fct_lap_positions"] = f"""
-SELECT {race_key()} AS race_id, driver_id, lap, position, lap_time_seconds,
-       (season, round, driver_id, lap) IN (SELECT (season, round, driver_id, lap) FROM stg_pit_stops) AS is_pit_lap
-FROM stg_laps WHERE position IS NOT NULL
+WITH stopped AS (SELECT DISTINCT season, round, driver_id, lap, true AS in_pits FROM stg_pit_stops),
+covered AS (SELECT DISTINCT season, round FROM stg_laps)
+SELECT {race_key()} AS race_id, driver_id, lap, position, lap_time_seconds, ifnull(in_pits, false) AS is_pit_lap
+FROM stg_laps LEFT JOIN stopped USING (season, round, driver_id, lap) WHERE position IS NOT NULL
 UNION ALL
 SELECT {race_key()}, driver_id, 0, min(grid_position), NULL, false
-FROM int_results_qualifying
-WHERE grid_position > 0 AND (season, round) IN (SELECT (season, round) FROM stg_laps)
+FROM int_results_qualifying JOIN covered USING (season, round)
+WHERE grid_position > 0
 GROUP BY season, round, driver_id"""
 PARTS["fct_pit_stops"] = f"""
 SELECT {race_key()} AS race_id, driver_id, stop_number, lap, time_of_day, duration_seconds FROM stg_pit_stops"""
