@@ -44,7 +44,7 @@ def state_of(spark, *marks):
     return spark.createDataFrame([(*m, None) for m in marks], LOAD_STATE)
 
 
-@pytest.mark.parametrize("total, offset, expected", [(479, 0, 100), (479, 400, 79), (479, 500, 0), (0, 0, 0)])
+@pytest.mark.parametrize("total, offset, expected", [(367, 0, 100), (367, 300, 67), (367, 400, 0), (0, 0, 0)])
 def test_rows_on_a_page(spark, total, offset, expected):
     row = spark.createDataFrame([(100, total, offset)], "l int, t int, o int").select(
         landing.rows_on_page(F.col("l"), F.col("t"), F.col("o")).alias("n")).first()
@@ -52,9 +52,9 @@ def test_rows_on_a_page(spark, total, offset, expected):
 
 
 def test_page_plan(spark):
-    scopes = spark.createDataFrame([(2024, 479), (1993, 0)], "season int, total_rows int")
-    assert [r.page_offset for r in landing.page_plan(scopes).orderBy("page_offset").collect()] == [0, 100, 200, 300, 400]
-    assert landing.page_plan(scopes, limit=1000).count() == 5
+    scopes = spark.createDataFrame([(2022, 367), (1993, 0)], "season int, total_rows int")
+    assert [r.page_offset for r in landing.page_plan(scopes).orderBy("page_offset").collect()] == [0, 100, 200, 300]
+    assert landing.page_plan(scopes, limit=1000).count() == 4
 
 
 def test_highest_round(spark):
@@ -100,8 +100,8 @@ def test_replacing_a_race_leaves_the_other_rounds(spark, tmp_path):
 
 @pytest.mark.parametrize("mark, newest, force, due", [
     (None, None, False, True),
-    (("results", 2024, 24, 479), None, False, False),
-    (("results", 2024, 24, 479), None, True, True),
+    (("results", 2024, 22, 367), None, False, False),
+    (("results", 2024, 22, 367), None, True, True),
     (("results", 2024, 12, 240), 14, False, True),
     (("results", 2024, 14, 280), 14, False, False),
     (("results", 2024, None, 0), 14, False, True),
@@ -129,12 +129,12 @@ def test_season_spine(spark):
 
 
 def test_resume_after_progress(spark):
-    calendar = spark.createDataFrame([(2024, r) for r in range(1, 9)], "season int, round int")
+    calendar = spark.createDataFrame([(2024, r) for r in range(1, 12)], "season int, round int")
     plan = lambda *marks, **kw: sorted(
         r.round for r in planning.resume_plan(calendar, state_of(spark, *marks), latest(spark), "laps", **kw).collect())
-    assert plan(("laps_progress", 2024, 5, 5000)) == [6, 7, 8]
-    assert plan(("laps_progress", 2024, 5, 5000), force=True) == list(range(1, 9))
-    assert plan() == list(range(1, 9))
+    assert plan(("laps_progress", 2024, 7, 7300)) == [8, 9, 10, 11]
+    assert plan(("laps_progress", 2024, 7, 7300), force=True) == list(range(1, 12))
+    assert plan() == list(range(1, 12))
     capped = planning.resume_plan(calendar, state_of(spark, ("laps", 2024, 2, 9)), latest(spark, (2024, 4)), "laps")
     assert rows(capped) == {(2024, 3), (2024, 4)}
 
@@ -186,12 +186,12 @@ def test_an_empty_past_race_is_absence(spark, tmp_path):
 
 
 def test_season_watermarks(spark):
-    pages = season_pages(spark, (2024, 0, 479, payload(479, 1, 5)), (2024, 100, 479, payload(479, 5, 24)))
+    pages = season_pages(spark, (2024, 0, 367, payload(367, 1, 5)), (2024, 100, 367, payload(367, 5, 22)))
     seasons = spark.createDataFrame([(2024,), (1993,)], "season int")
     plain = planning.season_watermarks("results", seasons, pages, latest(spark))
-    assert rows(plain) == {("results", 2024, 24, 479), ("results", 1993, None, 0)}
+    assert rows(plain) == {("results", 2024, 22, 367), ("results", 1993, None, 0)}
     current = planning.season_watermarks("drivers", seasons, pages, latest(spark, (2024, 9)))
-    assert ("drivers", 2024, 9, 479) in rows(current)
+    assert ("drivers", 2024, 9, 367) in rows(current)
 
 
 def test_one_bad_season_does_not_sink_the_run(spark, tmp_path):
@@ -216,17 +216,17 @@ def test_state_is_missing_only_where_allowed(spark, tmp_path):
 def test_state_upsert_replaces_one_row(spark, tmp_path):
     state = LoadState(spark, str(tmp_path / "s"))
     schema = "endpoint string, season int, last_round int, total_rows int"
-    state.upsert(spark.createDataFrame([("results", 2024, 24, 479), ("drivers", 2024, None, 25)], schema))
+    state.upsert(spark.createDataFrame([("results", 2024, 22, 367), ("drivers", 2024, None, 25)], schema))
     state.upsert(spark.createDataFrame([("results", 2024, 25, 500)], schema))
     assert rows(state.read().select("endpoint", "last_round", "total_rows")) == {("results", 25, 500), ("drivers", None, 25)}
 
 
 def test_run_summary(spark):
-    loaded = spark.createDataFrame([("results", 2024, 24, 479)], "endpoint string, season int, last_round int, total_rows int")
+    loaded = spark.createDataFrame([("results", 2024, 22, 367)], "endpoint string, season int, last_round int, total_rows int")
     failed = spark.createDataFrame([(2023, "laps", "missing page")], "season int, endpoint string, reason string")
     row = planning.run_summary(loaded, failed).first()
     assert (row.loaded, row.source_rows, row.endpoint_seasons, row.failures) == (
-        1, 479, ["2024 results"], ["2023 laps: missing page"])
+        1, 367, ["2024 results"], ["2023 laps: missing page"])
     quiet = planning.run_summary(loaded.limit(0), failed.limit(0)).first()
     assert (quiet.loaded, quiet.source_rows, quiet.failures) == (0, 0, [])
 
