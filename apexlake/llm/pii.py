@@ -3,13 +3,16 @@
 Found and checked: e-mail addresses, telephone numbers, payment cards (Luhn),
 IBANs (modulo 97), social security numbers (number ranges), IPv4 addresses
 (octets), calendar dates, and hexadecimal secrets that follow a word such as
-``token``. What fails its check is left as it is. Each find is replaced within
+``token``. What fails its check is left as it is. Cards and IBANs are looked for
+in the whole run of digit or capital groups around them, from any group to any
+other, so a number beside one does not hide it. Each find is replaced within
 its format: digits stay digits, separators stay where they are, a card keeps a
 right check digit, an IBAN its country and right check digits, a date becomes a
 date, an address keeps its domain. The replacement is a permutation of the
 values of a format under a secret key, so equal values get equal pseudonyms in
 all documents, different ones different pseudonyms, and the key holder can
-undo it with ``invert=True``.
+undo it with ``invert=True`` (a card in unusual groups beside other numbers only
+if its groups are told apart from them as before).
 
 Rounds hash with SHA-256 or SHA-512 over key, kind, round and the half that
 stays. Everything is row by row: no shuffle, no Python on the executors.
@@ -32,19 +35,35 @@ ROUNDS = 8
 
 # The patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[._%+-]*+[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "secret": r"(?i:(?<=(?:token|secret|key|password) ?[=:] ?[\"']?))[0-9a-fA-F]{16,}+(?![\p{L}\p{N}])",
     "date": r"(?<![\p{L}\p{N}])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
     "ip": r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?[\p{L}\p{N}])",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}-])\d{3}[.-]\d{3}[.-]\d{4}(?![\p{L}\p{N}-])",
-    "card": r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
 }
-ANY = "|".join(PATTERNS.values())
-KINDS = tuple(PATTERNS)
+# Groups of digits and capitals that a card or an IBAN may stand in, up to a group that begins another kind of find.
+_GROUP = r"[A-Z0-9]++(?![\p{L}\p{N}])"
+_OTHER = "|".join(PATTERNS[k] for k in ("email", "date", "ssn", "ip", "phone"))
+RUN = (r"(?<![\p{L}\p{N}])(?=[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}|\d(?:[ -]?\d){12})"
+       rf"{_GROUP}(?:(?: (?!{_OTHER})|-(?=\d)){_GROUP})*+")
+ANY = "|".join([*[f"({p})" if k == "secret" else p for k, p in PATTERNS.items()], RUN])
+IS_RUN = r"^(?:[A-Z]{2}\d{2} ?[A-Z0-9]{4}|\d(?:[ -]?\d){12})[A-Z0-9 -]*$"
+CARD, IBAN = r"^\d(?:[ -]?\d){12,18}$", r"^[A-Z]{2}\d{2}[A-Z0-9 ]{8,}$"
+# Cards as they are printed; an IBAN of any length is taken where the groups of four end.
+PRINTED = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5})$"
+GROUPS_OF_FOUR = r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"
+MOST_GROUPS = 19
+# Letters and digits of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_OF_COUNTRY = "^(?:" + "|".join(f"(?:{c.replace(' ', '|')})[A-Z0-9]{{{n - 2}}}" for n, c in IBAN_LENGTHS.items()) + ")$"
 # Only texts with one of these can hold a find.
 HINT = r"[@\d]|(?i:token|secret|key|password) ?[=:]"
 # Days from 1800-01-01 on that the Gregorian calendar repeats, as a product of two numbers.
@@ -165,27 +184,97 @@ def _refill(shape: Column, values: Column) -> Column:
 
 
 def kind_of(found: Column) -> Column:
-    """The kind of a find by its shape, or null if it fails the check of its kind."""
+    """The kind of a find that is no run, by its shape, or null if it fails the check of its kind."""
     digits = _only_digits(found)
     day = _as_date(found)
     octets = F.split(found, r"\.")
     is_ip, is_ssn = found.rlike(r"^\d+(\.\d+){3}$"), found.rlike(r"^\d{3}-\d{2}-\d{4}$")
     is_date = found.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})$")
-    is_card = found.rlike(r"^\d([ -]?\d){12,18}$")
     right_ssn = ~found.rlike(r"^(000|666|9\d\d)-") & ~found.rlike(r"-00-|-0000$")
-    right_iban = _iban_remainder(F.regexp_replace(found, " ", "")) == 1
     return (
         F.when(F.contains(found, F.lit("@")), "email")
         .when(is_ip, F.when(F.forall(octets, lambda o: o.cast("int") <= 255), "ip"))
         .when(is_ssn, F.when(right_ssn, "ssn"))
         .when(is_date, F.when(day.isNotNull(), "date"))
-        .when(found.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]{8,}$"), F.when(right_iban, "iban"))
-        .when(is_card, F.when(luhn_sum(digits) % 10 == 0, "card"))
+        .when(found.rlike(CARD) & (luhn_sum(digits) % 10 == 0), "card")
         .when(found.rlike(r"^[0-9a-fA-F]{16,}$"), "secret")
         .when(F.length(digits) >= 7, "phone")
     )
 
 
+PARTS = "array<struct<found:string,kind:string>>"
+
+
+def _part(found: Column, kind: Column) -> Column:
+    return F.struct(found.alias("found"), kind.cast("string").alias("kind"))
+
+
+def parts_of_run(run: Column) -> Column:
+    """A run as the cards and IBANs in it and what stands between them, in order; the latter have no kind.
+
+    Of those that begin at a group the usual form counts before others, then the
+    longest. One of another form gives way to one of a usual form within it.
+    """
+
+    def cut(pieces: Column) -> Column:  # groups at odd places, their separators between
+        n = F.size(pieces)
+
+        def joined(start: Column, count: Column | int) -> Column:
+            return F.array_join(F.slice(pieces, start, count), "")
+
+        def best(start: Column) -> Column:
+            ahead = F.regexp_extract(joined(start, 2 * MOST_GROUPS + 1), GROUPS_OF_FOUR, 0)
+
+            def judged(count: Column) -> Column:
+                def one(text: Column) -> Column:
+                    plain = F.regexp_replace(text, " ", "")
+                    right_card = text.rlike(CARD) & (luhn_sum(_only_digits(text)) % 10 == 0)
+                    own_length = plain.rlike(IBAN_OF_COUNTRY)
+                    right_iban = text.rlike(IBAN) & (own_length | (text == ahead)) & (_iban_remainder(plain) == 1)
+                    kind = F.when(text.rlike("^[0-9]"), F.when(right_card, "card")).otherwise(F.when(right_iban, "iban"))
+                    return F.struct(
+                        F.coalesce(text.rlike(PRINTED) | own_length, F.lit(False)).alias("sure"), count.alias("count"),
+                        kind.alias("kind"), text.alias("found"), start.alias("start"))
+
+                return let(joined(start, count), one)
+
+            counts = F.sequence(F.lit(1), F.least(F.lit(2 * MOST_GROUPS - 1), n - start + 1), F.lit(2))
+            return F.array_max(F.filter(F.transform(counts, judged), lambda w: w["kind"].isNotNull()))
+
+        def chosen(firsts: Column) -> Column:
+            def stands(w: Column, i: Column) -> Column:
+                within = F.slice(firsts, i + 2, F.floor(w["count"] / 2).cast("int"))
+                return w.isNotNull() & (w["sure"] | ~F.exists(within, lambda o: F.coalesce(o["sure"], F.lit(False))))
+
+            return F.filter(firsts, stands)
+
+        def step(state: Column, w: Column) -> Column:
+            added = F.concat(state["parts"], F.array(
+                _part(joined(state["at"], w["start"] - state["at"]), F.lit(None)), _part(w["found"], w["kind"])))
+            free = w["start"] >= state["at"]
+            return F.struct(
+                F.when(free, added).otherwise(state["parts"]).alias("parts"),
+                F.when(free, w["start"] + w["count"]).otherwise(state["at"]).alias("at"))
+
+        def ended(state: Column) -> Column:
+            return F.concat(state["parts"], F.array(_part(joined(state["at"], n), F.lit(None))))
+
+        empty = F.struct(F.array().cast(PARTS).alias("parts"), F.lit(1).alias("at"))
+        firsts = F.transform(F.sequence(F.lit(1), n, F.lit(2)), best)
+        return let(firsts, lambda f: F.aggregate(chosen(f), empty, step, ended))
+
+    return let(F.regexp_extract_all(run, F.lit("[A-Z0-9]+|[ -]"), F.lit(0)), cut)
+
+
+def parts_of(found: Column, secret: Column) -> Column:
+    """A find as an array of ``found, kind``: what has no kind stays as it is."""
+    address = F.regexp_replace(found, "^[._%+-]+", "")
+    led = F.array(_part(F.regexp_extract(found, "^[._%+-]+", 0), F.lit(None)), _part(address, F.lit("email")))
+    return (F.when(F.contains(found, F.lit("@")), led)
+            .when(found.rlike(IS_RUN) & ~secret, parts_of_run(found))
+            .otherwise(F.array(_part(found, kind_of(found)))))
+
+
 def _as_date(found: Column) -> Column:
     """The day of a written date: year first, or day first, or month first where day first is no date."""
     parts = F.split(found, r"[./]")
@@ -259,15 +348,21 @@ def pseudonymise(
     """Replace every checked find in ``text``; add the array of the kinds replaced, in order, as ``counts``."""
     source = F.col(text)
     finds = F.regexp_extract_all(source, F.lit(ANY), F.lit(0))
-    judged = F.transform(finds, lambda f: F.struct(f.alias("found"), kind_of(f).alias("kind")))
-    empty = F.array().cast(f"array<struct<found:string,kind:string>>")
-    docs = docs.withColumn("_pii_finds", F.when(source.rlike(HINT), judged).otherwise(empty))
-    kinds = F.filter(F.transform("_pii_finds", lambda f: f["kind"]), lambda k: k.isNotNull())
+    empty = F.array().cast(f"array<{PARTS}>")
+    # Where a secret could also be read as a run, the first group tells which it is.
+    unclear = F.when(F.exists("_pii_found", lambda f: f.rlike("^[0-9A-F]{16,}$")), F.regexp_extract_all(source, F.lit(ANY), F.lit(1)))
+    docs = docs.withColumn("_pii_found", F.when(source.rlike(HINT), finds)).withColumn("_pii_secrets", unclear)
+    parts = F.transform("_pii_found", lambda f, i: parts_of(f, F.coalesce(F.get("_pii_secrets", i) == f, F.lit(False))))
+    docs = docs.withColumn("_pii_finds", F.coalesce(parts, empty)).drop("_pii_found", "_pii_secrets")
+    kinds = F.filter(F.transform(F.flatten("_pii_finds"), lambda f: f["kind"]), lambda k: k.isNotNull())
     between = F.split(source, ANY, -1)
-    replaced = let(between, lambda parts: F.concat(parts[0], F.array_join(F.zip_with(
-        F.col("_pii_finds"), F.slice(parts, 2, F.size("_pii_finds")),
-        lambda f, after: F.concat(F.when(f["kind"].isNull(), f["found"]).otherwise(change(f["found"], f["kind"], key, invert)), after)), "")))
-    docs = docs.withColumn("_pii_text", F.when(F.exists("_pii_finds", lambda f: f["kind"].isNotNull()), replaced).otherwise(source))
+
+    def put(parts: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda f: F.when(f["kind"].isNull(), f["found"]).otherwise(change(f["found"], f["kind"], key, invert))), "")
+
+    replaced = let(between, lambda rest: F.concat(rest[0], F.array_join(F.zip_with(
+        F.col("_pii_finds"), F.slice(rest, 2, F.size("_pii_finds")), lambda f, after: F.concat(put(f), after)), "")))
+    docs = docs.withColumn("_pii_text", F.when(F.exists(F.flatten("_pii_finds"), lambda f: f["kind"].isNotNull()), replaced).otherwise(source))
     if counts:
         docs = docs.withColumn(counts, kinds)
     return docs.withColumn(text, F.col("_pii_text")).drop("_pii_finds", "_pii_text")

@@ -400,6 +400,26 @@ def test_pseudonyms_keep_format_and_link(spark, empty):
     assert pii.pseudonymise(empty, "secret").count() == 0
 
 
+def test_cards_and_ibans_beside_other_groups(spark):
+    card, iban, address = PRIVATE["card"], "AT61 1904 3002 3457 3201", "anna@example.com"
+    around = ["{} 123", "{} 12/25", "12 {}", "123456 {}", "2019-02-30 {} 12a", "{0} {0}", "AB12 CDEF GHIJ {}", "{} VISA", "{} 192.168.4.77 x"]
+    rows = [(c, card, w) for c, w in enumerate(around)]
+    rows += [(20 + c, iban, w) for c, w in enumerate(["{} BIC BKAUATWW", "{} EUR 12", "REF {}", "XX99 ABCD EFGH {}", "{0} {0}", "IBAN {} Bank"])]
+    rows += [(40 + c, address, w) for c, w in enumerate(["_{}_", "-{}", "..{}", "a _{}_ b"])]
+    rows += [(60, "1234567890123456", "token={}"), (61, "4111 11111111 1111", "{} 77")]
+    docs = spark.createDataFrame([(i, w.format(v)) for i, v, w in rows] + [(-1, card), (-2, iban), (-3, address)], "doc_id long, text string")
+    changed = pii.pseudonymise(docs, "secret")
+    out = {r["doc_id"]: r["text"] for r in changed.collect()}
+    new = {card: out[-1], iban: out[-2], address: out[-3]}
+    for i, value, w in rows:
+        assert value not in out[i], (i, out[i])
+        if value in new and "192" not in w:
+            assert out[i] == w.format(new[value])
+    assert "192.168.4.77" not in out[8]
+    back = pii.pseudonymise(changed.drop("pii_kinds"), "secret", invert=True)
+    assert {r["doc_id"]: r["text"] for r in back.collect()} == {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
 def test_permutations_have_no_collisions(spark):
     numbers = spark.range(1000).select(F.lpad("id", 3, "0").alias("d"))
     assert numbers.select(pii.feistel_digits(F.col("d"), "k", "t").alias("p")).distinct().count() == 1000
