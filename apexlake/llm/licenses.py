@@ -140,6 +140,38 @@ def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple
     return max(row, key=lambda c: (c[0], c[1]))
 
 
+def occurrences(hits: list[tuple[int, int]], length: int) -> list[tuple[int, int, int, int]]:
+    """``(lowest, highest diagonal, first word, last word + 1)`` of the stretches of a text that may hold the template once.
+
+    ``hits`` are places in text and template, in order of the text. Hits on neighbouring diagonals are one occurrence
+    unless the place in the template goes back; of words between two occurrences each may have any.
+    """
+    open_: list[list[tuple[int, int]]] = []
+    closed: list[list[tuple[int, int]]] = []
+    for at, place in hits:
+        still = []
+        for group in open_:
+            (still if at - group[-1][0] <= length + BAND else closed).append(group)
+        open_ = still
+        near = [g for g in open_ if g[-1][1] < place and abs(at - place - g[-1][0] + g[-1][1]) <= BAND]
+        if near:
+            min(near, key=lambda g: (abs(at - place - g[-1][0] + g[-1][1]), -g[-1][0])).append((at, place))
+        else:
+            open_.append([(at, place)])
+    groups = sorted(closed + open_)
+    out = []
+    for k, group in enumerate(groups):
+        diagonals = [at - place for at, place in group]
+        low, high = min(diagonals) - BAND, max(diagonals) + BAND
+        # Another occurrence before or after this one keeps its words, as far as its nearest hit tells where it ends or begins.
+        ends = [g[-1][0] - g[-1][1] + length for g in groups[max(0, k - 1):k]]
+        begins = [g[0][0] - g[0][1] for g in groups[k + 1:k + 2]]
+        start = max([0, low, *[e for e in ends if e <= group[0][0]]])
+        stop = min([high + length, *[b for b in begins if b >= group[-1][0] + GRAM]])
+        out.append((low, high, start, stop))
+    return out
+
+
 def scan_texts(texts: pa.Array, index: Index, least: float) -> list[tuple[int, str, float, int, int, int]]:
     """``(row, template, coverage, matched words, start, end)`` of a string array; offsets in code points, end exclusive."""
     data, offsets = text_bytes(texts)
@@ -150,29 +182,25 @@ def scan_texts(texts: pa.Array, index: Index, least: float) -> list[tuple[int, s
     hit = np.flatnonzero(np.searchsorted(index.prints, grams, "right") > first)
     row_of = np.searchsorted(before, hit, "right") - 1
     inside = hit + GRAM <= before[row_of + 1]
-    found: dict[tuple[int, int], list[int]] = {}
+    found: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for at, row in zip(hit[inside].tolist(), row_of[inside].tolist()):
         k = int(first[at])
         while k < len(index.prints) and index.prints[k] == grams[at]:
-            found.setdefault((row, int(index.template[k])), []).append(at - int(before[row]) - int(index.place[k]))
+            found.setdefault((row, int(index.template[k])), []).append((at - int(before[row]), int(index.place[k])))
             k += 1
     code_points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if found else None
     rows: dict[int, list] = {}
-    for (row, t), diagonals in found.items():
+    for (row, t), hits in found.items():
         template, own = index.words[t], words[before[row]:before[row + 1]]
-        diagonals = sorted(set(diagonals))
-        groups, group = [], [diagonals[0]]
-        for d in diagonals[1:]:
-            if d - group[-1] > BAND:
-                groups.append(group)
-                group = []
-            group.append(d)
-        for group in [*groups, group]:
-            low, high = group[0] - BAND, group[-1] + BAND
-            base = max(0, low)
-            matched, a, b = align(template, own[base:high + len(template)], low - base, high - base)
-            if matched >= least * len(template):
-                rows.setdefault(row, []).append((matched, t, base + a, base + b))
+        for low, high, start, stop in occurrences(hits, len(template)):
+            for start, stop in dict.fromkeys([(start, stop), (max(0, low), high + len(template))]):
+                part = own[start:stop]
+                if np.isin(template, part).sum() < least * len(template):
+                    continue
+                matched, a, b = align(template, part, low - start, high - start)
+                if matched >= least * len(template):
+                    rows.setdefault(row, []).append((matched, t, start + a, start + b))
+                    break
     out = []
     for row, matches in sorted(rows.items()):
         matches.sort(key=lambda m: (-m[0], m[1], m[2]))

@@ -267,6 +267,17 @@ def test_edited_license_is_aligned(spark):
     assert 0.85 < rows[0]["coverage"] < 1 and rows[0]["start_char"] == 2
 
 
+def test_every_occurrence_of_a_license(spark):
+    listed = " ".join(f"{name}.js Released under the MIT License." for name in "abcdefgh")
+    close = "Licensed under CC BY-NC 4.0. " * 5
+    long = (licenses.TEMPLATES["ISC"] + " ") * 3
+    rows = licenses.scan(spark.createDataFrame([(1, listed), (2, close), (3, long)], "doc_id long, text string")).collect()
+    spans = {k: sorted((r["start_char"], r["end_char"]) for r in rows if r["doc_id"] == k) for k in (1, 2, 3)}
+    assert [listed[s:e] for s, e in spans[1]] == ["Released under the MIT License"] * 8 and len(set(spans[1])) == 8
+    assert [close[s:e] for s, e in spans[2]] == ["Licensed under CC BY-NC 4.0"] * 5 and len(set(spans[2])) == 5
+    assert len(set(spans[3])) == 3 and all(r["coverage"] == 1 for r in rows)
+
+
 # Passages
 
 def test_shared_passages(docs, empty):
