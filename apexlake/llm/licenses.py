@@ -5,7 +5,9 @@ to template and position) travels with the task. Every run of ``GRAM`` words of
 every text is looked up in it. Hits of a template on neighbouring diagonals are
 one candidate; the template's words are aligned with the words there inside a
 band around those diagonals. Reported are the share of the template's words
-found in order, and where they stand in the text.
+found in order (of the text's words there, if these are more), and where they
+stand in the text. In a template under ``SHORT`` words the words that tell
+licenses apart (names, versions, NC, SA, ND) must be the text's, no other.
 
 Winnowing keeps the smallest of each ``SPAN`` consecutive fingerprints of a
 template, so ``GRAM + SPAN - 1`` consecutive unchanged words always yield a
@@ -27,6 +29,11 @@ from pyspark.sql import functions as F
 from apexlake.llm.common import mix, pieces, text_bytes, word_hashes, word_spans
 
 GRAM, SPAN, BAND = 3, 2, 8
+SHORT = 20
+# Words that name a license, and words that make another one of it wherever they are put in.
+NAMES = "mit apache gnu gpl general mozilla mpl bsd isc cc by creative commons attribution"
+CHANGES = "nc sa nd noncommercial sharealike noderivatives noderivs lesser lgpl library affero agpl"
+NUMBERS = " ".join(map(str, range(1, 100)))  # 2 is 2.0
 
 # Public notices by which texts are licensed.
 TEMPLATES = {
@@ -75,6 +82,14 @@ _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = False
 
 
+def _hashes(texts: list[str]) -> list[np.ndarray]:
+    """Word hashes of each text."""
+    data, offsets = text_bytes(pa.array(texts, pa.string()))
+    starts, ends, before = word_spans(data, offsets, _SEPARATOR)
+    hashes = word_hashes(data, starts, ends)
+    return [hashes[s:e] for s, e in zip(before[:-1], before[1:])]
+
+
 def _grams(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words, by its first word."""
     n = len(words) - size + 1
@@ -99,10 +114,13 @@ class Index:
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
-        data, offsets = text_bytes(pa.array(list(templates.values()), pa.string()))
-        starts, ends, before = word_spans(data, offsets, _SEPARATOR)
-        hashes = word_hashes(data, starts, ends)
-        self.words = [hashes[s:e] for s, e in zip(before[:-1], before[1:])]
+        self.words = _hashes(list(templates.values()))
+        names, changes, numbers = _hashes([NAMES, CHANGES, NUMBERS])
+        # Per short template the telling words, of it and of others, and which of them it has, in order.
+        self.telling: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for words in self.words:
+            told = np.concatenate([changes, names[np.isin(names, words)], numbers if np.isin(words, numbers).any() else numbers[:0]])
+            self.telling.append((told, words[np.isin(words, told)]) if len(words) < SHORT else None)
         entries = [
             (int(g[at]), t, int(at)) for t, words in enumerate(self.words)
             for size in [min(GRAM, len(words))] for g in [_grams(words, size)] if size == GRAM for at in winnow(g, SPAN)
@@ -112,6 +130,18 @@ class Index:
         self.template = np.array([e[1] for e in entries], np.int64)
         self.place = np.array([e[2] for e in entries], np.int64)
 
+    def tells(self, t: int, span: np.ndarray) -> bool:
+        """Whether the telling words of a stretch of text are those of the template."""
+        if self.telling[t] is None:
+            return True
+        told, own = self.telling[t]
+        return np.array_equal(span[np.isin(span, told)], own)
+
+
+def coverage(matched: int, template: np.ndarray, span: np.ndarray) -> float:
+    """Share of matched words, of the template or of the stretch of text, whichever is longer."""
+    return matched / max(len(template), len(span))
+
 
 def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """``(matched, first, last)``: most template words found in order near diagonals ``low..high``.
@@ -198,7 +228,8 @@ def scan_texts(texts: pa.Array, index: Index, least: float) -> list[tuple[int, s
                 if np.isin(template, part).sum() < least * len(template):
                     continue
                 matched, a, b = align(template, part, low - start, high - start)
-                if matched >= least * len(template):
+                span = part[a:b + 1]
+                if coverage(matched, template, span) >= least and index.tells(t, span):
                     rows.setdefault(row, []).append((matched, t, start + a, start + b))
                     break
     out = []
@@ -211,7 +242,8 @@ def scan_texts(texts: pa.Array, index: Index, least: float) -> list[tuple[int, s
         for matched, t, a, b in sorted(kept, key=lambda m: (m[2], m[1])):
             zero = code_points[offsets[row]]
             s, e = starts[before[row] + a], ends[before[row] + b]
-            out.append((row, index.names[t], matched / len(index.words[t]), matched, int(code_points[s] - zero), int(code_points[e] - zero)))
+            share = coverage(matched, index.words[t], words[before[row] + a:before[row] + b + 1])
+            out.append((row, index.names[t], share, matched, int(code_points[s] - zero), int(code_points[e] - zero)))
     return out
 
 
@@ -220,7 +252,7 @@ def scan(
 ) -> DataFrame:
     """``doc_id, license, coverage, n_matched, start_char, end_char`` for every match of a template in a text.
 
-    ``least`` is the share of a template's words that must be found; templates shorter than ``GRAM`` words never match.
+    ``least`` is the least coverage; templates shorter than ``GRAM`` words never match.
     """
     given = docs.sparkSession.sparkContext.broadcast(dict(TEMPLATES if templates is None else templates))
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))

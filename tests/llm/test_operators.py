@@ -278,6 +278,23 @@ def test_every_occurrence_of_a_license(spark):
     assert len(set(spans[3])) == 3 and all(r["coverage"] == 1 for r in rows)
 
 
+def test_neighbouring_licenses_are_told_apart(spark):
+    lines = {
+        "Licensed under CC BY-SA 4.0.": [], "Licensed under CC BY-NC-SA 4.0.": [], "Licensed under CC BY-NC 3.0.": [],
+        "This work is licensed under the GNU General Public License, version 2.": [],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": [],
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": [],
+        "Released under the BSD License.": [], "Licensed under the Apache License, Version 1.1.": [],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["CC-BY-SA-4.0-statement"],
+        "This work is licensed under the terms of the GNU General Public License, version 3.": ["GPL-3.0-statement"],
+        "Released under the MIT Licence.": ["MIT-statement"],
+        "Licensed under the Apache License, Version 2.": ["Apache-2.0-statement"],
+        **{licenses.TEMPLATES[k]: [k] for k in licenses.TEMPLATES if k != "Apache-2.0-header" and k.endswith(("statement", "header"))},
+    }
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {text: [r["license"] for r in rows if r["doc_id"] == i] for i, text in enumerate(lines)} == lines
+
+
 # Passages
 
 def test_shared_passages(docs, empty):
