@@ -237,6 +237,25 @@ def test_differencing_without_a_marked_article(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, expected", [
+    ('<body><div class="site no-sidebar"><article><p>text</p></article></div>', "text"),
+    ('<div class="layout has-sidebar"><main><p>text</p></main><div class="sidebar">side</div></div>', "text"),
+    ('<div id="page-with_sidebar"><p>open</p><div class="menu">m</div></div>', "open"),
+    ('<div class="sidebar-layout"><p>outside</p><article><p>text</p><div class="share">s</div></article></div>', "text"),
+    ('<article><div class="entry-header"><h1>Title</h1></div><p>text</p><div class="entry-footer">f</div></article>', "Title\ntext"),
+    ('<html><head><title>t</title><meta name="a"><body><p>text</p>', "text"),
+    ("<html><head><title>t</title><script>x</script><p>text</p>", "text"),
+    ("<head><link rel=x>\n text", "text"),
+    ('<article><p>text</p></article><div class="related"><article>teaser</article></div>', "text"),
+    ('<p>open</p><div id="comments"><article>reply</article></div>', "open"),
+    ('<div class="widget"><article>text</article></div>', "text"),
+    ('<div class="header footer">f</div><nav class="no-menu"><article>n</article></nav><p>open', "open"),
+])
+def test_names_do_not_hide_articles(page, expected):
+    article, rest, marked = html_text.lines_of(page)
+    assert "\n".join(article if marked else rest) == expected
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     own = np.random.default_rng(2)
     for _ in range(300):
