@@ -338,6 +338,21 @@ def test_runs_of_one_word_are_linked(spark):
     assert max(with_each.values(), key=len) == set().union(*with_each.values()) == {n for n in lengths if n >= 50}
 
 
+def test_parts_of_a_chain_are_judged_alone(spark):
+    """300 words put into the middle of a copy, and two passages with other words between them."""
+    text, middle = prose(1000, 50).split(), prose(300, 51).split()
+    copy = text[:500] + middle + text[500:]
+    one, two = prose(80, 52).split(), prose(80, 53).split()
+    texts = {1: text, 2: copy, 3: [*one, *prose(60, 54).split(), *two], 4: [*one, *prose(60, 55).split(), *two]}
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id long, text string")
+    found = defaultdict(list)
+    for r in passages.shared_passages(docs).collect():
+        found[frozenset((r["doc_id"], r["other_doc_id"]))].append((r["n_matched"], r["similarity"]))
+    assert set(found) == {frozenset((1, 2)), frozenset((3, 4))}
+    assert all(len(rows) == 2 and all(s >= 0.8 for _, s in rows) for rows in found.values())
+    assert sum(n for n, _ in found[frozenset((1, 2))]) >= 990 and sum(n for n, _ in found[frozenset((3, 4))]) >= 155
+
+
 def test_chains_are_best():
     own = np.random.default_rng(4)
     for _ in range(200):
