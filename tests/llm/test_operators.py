@@ -353,6 +353,19 @@ def test_parts_of_a_chain_are_judged_alone(spark):
     assert sum(n for n, _ in found[frozenset((1, 2))]) >= 990 and sum(n for n, _ in found[frozenset((3, 4))]) >= 155
 
 
+@pytest.mark.parametrize("every, least", [(10, 40), (8, 40), (6, 38)])
+def test_passages_with_changed_words(spark, every, least):
+    """40 passages of 66 words, one word in ``every`` changed: similarity 0.83 to 0.9."""
+    rows = []
+    for k in range(40):
+        passage = np.random.default_rng(5000 + k).integers(0, 1 << 40, 66).astype(str).tolist()
+        edited = [f"new{k}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+        rows += [(2 * k, f"{prose(20, k)} {' '.join(passage)} {prose(20, k + 100)}"), (2 * k + 1, f"{prose(15, k + 200)} {' '.join(edited)} {prose(9, k + 300)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = {frozenset((r["doc_id"], r["other_doc_id"])) for r in passages.shared_passages(docs).collect()}
+    assert len(found & {frozenset((2 * k, 2 * k + 1)) for k in range(40)}) >= least
+
+
 def test_chains_are_best():
     own = np.random.default_rng(4)
     for _ in range(200):
