@@ -1,5 +1,10 @@
 """Everything promised is registered, and a sample agrees with its SQL."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -65,3 +70,19 @@ def test_entry(spark):
     assert entry(spark).count() > 0
     # Every query of the results engine has its SQL; the training-data queries have it where SQL can express them.
     assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("without_pipeline", [False, True])
+def test_entry_without_the_training_data_operators(tmp_path, without_pipeline):
+    """A copy without ``apexlake/llm`` still registers every other query."""
+    root = Path(__file__).resolve().parents[1]
+    ignored = shutil.ignore_patterns("llm", "__pycache__")
+    shutil.copytree(root / "apexlake", tmp_path / "apexlake", ignore=ignored)
+    files = ["__spark_entry__.py"] + ([] if without_pipeline else ["corpus_pipeline.py"])
+    for name in files:
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path / name)
+    script = "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path), "PATH": ""}, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert [line.split() for line in run.stdout.splitlines()] == [sorted(QUERIES)] * 2
