@@ -31,6 +31,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A beginning for names of inner columns that no column of the table has, in whatever case."""
+    taken = [c.lower() for c in df.columns]
+    start = f"_{name}"
+    while any(c.startswith(start) for c in taken):
+        start = "_" + start
+    return start
+
+
 def row_key(doc_id: str, text: str) -> Column:
     """Tells rows of one id with different texts apart; repeated rows share a key, as they share results."""
     return F.xxhash64(F.col(text), F.col(doc_id))

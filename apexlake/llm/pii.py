@@ -29,13 +29,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from apexlake.llm.common import unused
 from apexlake.llm.quality import let
 
 ROUNDS = 8
 
-# The patterns, in the order in which they are tried at a place.
+# The patterns, in the order in which they are tried at a place. A group that may repeat without bound is
+# possessive: matched in a loop, where a greedy one recurses and ends the JVM on a long text.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[._%+-]*+[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[._%+-]*+[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "secret": r"(?i:(?<=(?:token|secret|key|password) ?[=:] ?[\"']?))[0-9a-fA-F]{16,}+(?![\p{L}\p{N}])",
     "date": r"(?<![\p{L}\p{N}])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
@@ -346,23 +348,24 @@ def pseudonymise(
     change: Callable[[Column, Column, str, bool], Column] = pseudonym,
 ) -> DataFrame:
     """Replace every checked find in ``text``; add the array of the kinds replaced, in order, as ``counts``."""
-    source = F.col(text)
+    source, own = F.col(text), unused(docs, "pii")
+    found, secrets, parted, changed = (f"{own}_{part}" for part in ("found", "secrets", "parts", "text"))
     finds = F.regexp_extract_all(source, F.lit(ANY), F.lit(0))
     empty = F.array().cast(f"array<{PARTS}>")
     # Where a secret could also be read as a run, the first group tells which it is.
-    unclear = F.when(F.exists("_pii_found", lambda f: f.rlike("^[0-9A-F]{16,}$")), F.regexp_extract_all(source, F.lit(ANY), F.lit(1)))
-    docs = docs.withColumn("_pii_found", F.when(source.rlike(HINT), finds)).withColumn("_pii_secrets", unclear)
-    parts = F.transform("_pii_found", lambda f, i: parts_of(f, F.coalesce(F.get("_pii_secrets", i) == f, F.lit(False))))
-    docs = docs.withColumn("_pii_finds", F.coalesce(parts, empty)).drop("_pii_found", "_pii_secrets")
-    kinds = F.filter(F.transform(F.flatten("_pii_finds"), lambda f: f["kind"]), lambda k: k.isNotNull())
+    unclear = F.when(F.exists(found, lambda f: f.rlike("^[0-9A-F]{16,}$")), F.regexp_extract_all(source, F.lit(ANY), F.lit(1)))
+    docs = docs.withColumn(found, F.when(source.rlike(HINT), finds)).withColumn(secrets, unclear)
+    parts = F.transform(found, lambda f, i: parts_of(f, F.coalesce(F.get(secrets, i) == f, F.lit(False))))
+    docs = docs.withColumn(parted, F.coalesce(parts, empty)).drop(found, secrets)
+    kinds = F.filter(F.transform(F.flatten(parted), lambda f: f["kind"]), lambda k: k.isNotNull())
     between = F.split(source, ANY, -1)
 
     def put(parts: Column) -> Column:
         return F.array_join(F.transform(parts, lambda f: F.when(f["kind"].isNull(), f["found"]).otherwise(change(f["found"], f["kind"], key, invert))), "")
 
     replaced = let(between, lambda rest: F.concat(rest[0], F.array_join(F.zip_with(
-        F.col("_pii_finds"), F.slice(rest, 2, F.size("_pii_finds")), lambda f, after: F.concat(put(f), after)), "")))
-    docs = docs.withColumn("_pii_text", F.when(F.exists(F.flatten("_pii_finds"), lambda f: f["kind"].isNotNull()), replaced).otherwise(source))
+        F.col(parted), F.slice(rest, 2, F.size(parted)), lambda f, after: F.concat(put(f), after)), "")))
+    docs = docs.withColumn(changed, F.when(F.exists(F.flatten(parted), lambda f: f["kind"].isNotNull()), replaced).otherwise(source))
     if counts:
         docs = docs.withColumn(counts, kinds)
-    return docs.withColumn(text, F.col("_pii_text")).drop("_pii_finds", "_pii_text")
+    return docs.withColumn(text, F.col(changed)).drop(parted, changed)

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from apexlake.llm.common import unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -82,16 +83,18 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             F.size(F.filter(h, lambda x, i: x == F.get(h, i - 1))).alias("n_adjacent"),
         ))
 
-    measured = docs.withColumn("_words", let(words, of_words)).withColumn("_lines", let(lines, lambda own: F.struct(
+    inner = unused(docs, "measured")
+    of_text, by_line = f"{inner}_words", f"{inner}_lines"
+    measured = docs.withColumn(of_text, let(words, of_words)).withColumn(by_line, let(lines, lambda own: F.struct(
         F.size(own).alias("n_lines"), (F.size(own) - F.size(F.array_distinct(own))).alias("n_dup_lines"))))
     found = {
-        **{name: F.col(f"_words.{name}") for name in ("n_words", "word_chars", "n_repeat_words", "n_distinct", "n_adjacent", "n_plain")},
-        **{name: F.col(f"_lines.{name}") for name in ("n_lines", "n_dup_lines")},
+        **{name: F.col(f"{of_text}.{name}") for name in ("n_words", "word_chars", "n_repeat_words", "n_distinct", "n_adjacent", "n_plain")},
+        **{name: F.col(f"{by_line}.{name}") for name in ("n_lines", "n_dup_lines")},
         "n_symbols": F.regexp_count(source, F.lit(SYMBOL)),
         "n_upper": F.regexp_count(source, F.lit(r"\p{Lu}")),
         "n_shouts": F.regexp_count(source, F.lit("!!")),
     }
-    return measured.withColumns({name: found[name].cast("bigint") for name in MEASURES}).drop("_words", "_lines")
+    return measured.withColumns({name: found[name].cast("bigint") for name in MEASURES}).drop(of_text, by_line)
 
 
 def _rules() -> dict[str, Column]:

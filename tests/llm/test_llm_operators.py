@@ -498,3 +498,28 @@ def test_cards_and_ibans_beside_other_groups(spark):
 def test_permutations_have_no_collisions(spark):
     numbers = spark.range(1000).select(F.lpad("id", 3, "0").alias("d"))
     assert numbers.select(pii.feistel_digits(F.col("d"), "k", "t").alias("p")).distinct().count() == 1000
+
+
+LONG_SHAPES = {
+    "labels": "write a@b" + ".c" * 500_000,
+    "local part": "a.b-" * 10_000 + "@example.com",
+    "leading marks": "._%+-" * 200_000 + "a@example.com",
+    "digit groups": "4111 " * 600,
+    "one number": "1" * 1_000_000,
+    "iban groups": "AB12 " * 600,
+    "secret": "token: " + "ab12" * 10_000,
+    "octets": "1.2.3.4." * 60_000,
+    "phones": "+1 " * 600 + "(020) " * 3_000,
+    "dates": "2019-02-28 " * 3_000,
+}
+
+
+def test_no_text_ends_the_jvm(spark):
+    """Long texts of every shape a pattern repeats over; columns named like inner ones pass through."""
+    rows = [(i, t, "own", "kept") for i, t in enumerate(LONG_SHAPES.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _pii_found string, _words string").repartition(4)
+    out = pii.pseudonymise(docs, "secret").select("doc_id", F.length("text").alias("n"), "_pii_found").collect()
+    assert sorted((r["doc_id"], r["n"], r["_pii_found"]) for r in out) == [(i, len(t), "own") for i, t, *_ in rows]
+    longer = spark.createDataFrame([(part * 200_000,) for part in ("4111 ", "AB12 ", "4111-", "+1 ", "A ")], "text string")
+    assert longer.where(F.size(F.regexp_extract_all("text", F.lit(pii.ANY), F.lit(0))) >= 0).count() == 5
+    assert {r["_words"] for r in quality.measure(docs).select("n_words", "_words").collect()} == {"kept"}
