@@ -64,11 +64,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def _on_store(spark: SparkSession, name: str):
+    """A path and the file system it lies on."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder on whatever file system it lies."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path, store = _on_store(spark, folder)
+    store.delete(path, True)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    path, store = _on_store(spark, folder)
+    return sorted(entry.getPath().getName() for entry in store.listStatus(path)) if store.exists(path) else []
+
+
+def read_if_there(spark: SparkSession, schema, folder: str) -> DataFrame | None:
+    """Parquet files under a folder; None if nothing has been written there yet."""
+    return spark.read.schema(schema).parquet(folder) if names_in(spark, folder) else None
+
+
+def claim(spark: SparkSession, name: str) -> bool:
+    """Create an empty file; False if it is there already. Of several writers one succeeds."""
+    path, store = _on_store(spark, name)
+    return not store.exists(path) and store.createNewFile(path)
 
 
 def write_once(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -12,16 +12,17 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from apexlake.operators.joins import measured_side
-from apexlake.session import remove
+from apexlake.session import read_if_there, remove
 from apexlake.sources.schemas import PAGING, RACE_PAGE, SEASON_PAGE
+from apexlake.sources.waiting import Delivery, WaitingArea
 
 MAX_PAGE_LIMIT = 100
 PLANNED_AT_ONCE = 10_000
@@ -99,6 +100,10 @@ class RawTable:
     def scope(self) -> list[str]:
         return ["season", "round"] if self.per_race else ["season"]
 
+    @property
+    def _scope_fields(self) -> list[T.StructField]:
+        return [self.schema[c] for c in self.scope]
+
     @property
     def schema(self) -> T.StructType:
         return RACE_PAGE if self.per_race else SEASON_PAGE
@@ -109,17 +114,25 @@ class RawTable:
 
     @property
     def _log(self) -> T.StructType:
-        keys = [self.schema[c] for c in self.scope]
-        return T.StructType([*keys, T.StructField("load_id", T.StringType()), T.StructField("at", T.TimestampType())])
-
-    def replace(self, pages: DataFrame, requested: DataFrame, load_id: str, ingested_at: Column | None = None) -> None:
+        return T.StructType([
+            *self._scope_fields, T.StructField("load_id", T.StringType()), T.StructField("at", T.TimestampType()),
+            T.StructField("upto", T.LongType()), T.StructField("delivery", T.StringType()),
+        ])
+
+    def replace(
+        self, pages: DataFrame, requested: DataFrame, load_id: str, ingested_at: Column | None = None,
+        delivery: Delivery | None = None,
+    ) -> None:
         """Make ``pages`` the content of every ``requested`` scope.
 
         Other scopes stay as they are. One timestamp is stamped on the whole
         load. Every attempt writes files of its own, whatever load it belongs
         to, and the newest attempt of a scope counts: a retried job or stream
-        batch neither duplicates pages nor brings old ones back.
+        batch neither duplicates pages nor brings old ones back. Of the pages that
+        wait for these scopes, those up to ``delivery`` are used up, or all that
+        have arrived if the load is not one of a stream.
         """
+        upto = delivery.number if delivery else self.waiting.newest()
         load_id = f"{load_id}-{uuid.uuid4().hex[:12]}"
         at = ingested_at if ingested_at is not None else F.lit(self._now())
         wanted = requested.select(*self.scope).distinct()
@@ -138,7 +151,9 @@ class RawTable:
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("load_id", *self.scope).parquet(f"{self.path}/pages")
         )
-        line = wanted.select(*self.scope, F.lit(load_id).alias("load_id"), F.lit(self._now()).alias("at"))
+        line = wanted.select(
+            *self.scope, F.lit(load_id).alias("load_id"), F.lit(self._now()).alias("at"), F.lit(upto).cast("bigint").alias("upto"),
+            F.lit(delivery.name if delivery else None).cast("string").alias("delivery"))
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/loads")
 
     def _now(self):
@@ -157,39 +172,61 @@ class RawTable:
 
     def failures(self) -> DataFrame:
         """Every scope that failed, by load: scope, reason, load_id, at."""
-        return self.spark.read.parquet(f"{self.path}/failures")
+        return self._kept("failures", [*self._scope_fields, T.StructField("reason", T.StringType())])
 
     def rejects(self) -> DataFrame:
         """Every page that could not be read, by load."""
-        return self.spark.read.parquet(f"{self.path}/rejects")
+        return self._kept("rejects", [f for f in self.schema.fields if f.name != "ingested_at"])
 
-    def arrive(self, pages: DataFrame, batch_id: int) -> DataFrame:
-        """Add a batch of delivered pages to those waiting; returns all that wait in the scopes it touches.
+    def _kept(self, folder: str, fields: list[T.StructField]) -> DataFrame:
+        by_load = [T.StructField("load_id", T.StringType()), T.StructField("at", T.TimestampType())]
+        schema = T.StructType([*fields, *by_load])
+        kept = read_if_there(self.spark, schema, f"{self.path}/{folder}")
+        return kept if kept is not None else self.spark.createDataFrame([], schema)
 
-        A scope's pages may come in several batches. They wait until the scope
-        lands; what came up to its landing is used up. Of two pages for one
-        place the later one counts. A repeated batch overwrites itself.
+    @property
+    def waiting(self) -> WaitingArea:
+        """Delivered pages of scopes that are not complete yet."""
+        columns = T.StructType([f for f in self.schema.fields if f.name != "ingested_at"])
+        return WaitingArea(self.spark, self.path, self.scope, columns)
+
+    def arrive(self, pages: DataFrame, delivery: Delivery) -> DataFrame:
+        """Add a delivery to the pages that wait; returns all open ones in the scopes it touches.
+
+        A scope's pages may come in several deliveries, of several streams. They
+        wait until the scope lands, by whatever kind of load; what came before
+        that landing is used up. A page without a scope or place waits for
+        nothing: it goes to the rejects.
         """
-        columns = [c for c in self.schema.names if c != "ingested_at"]
-        folder = f"{self.path}/waiting"
-        pages.select(*columns).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
-        stored = T.StructType([f for f in self.schema.fields if f.name in columns] + [T.StructField("batch", T.LongType())])
-        waiting = self.spark.read.schema(stored).parquet(folder)
-        touched = waiting.where(F.col("batch") == batch_id).select(*self.scope).distinct()
-        used = self.loads().select(*self.scope, F.regexp_extract("load_id", r"-batch-(\d+)", 1).try_cast("bigint").alias("used"))
-        open_ = waiting.join(measured_side(touched), self.scope, "left_semi").join(measured_side(used), self.scope, "left").where(
-            F.col("used").isNull() | (F.col("batch") > F.col("used")))
-        later = open_.groupBy(*self.scope, "page_offset").agg(F.max("batch").alias("batch"))
-        return open_.join(later, [*self.scope, "page_offset", "batch"], "left_semi").select(*columns)
+        placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*self.scope, "page_offset")])
+        seen = pages.select(*self.scope, placed.alias("placed")).distinct().collect()  # at most the races on the calendar
+        if any(not row["placed"] for row in seen):
+            self.keep_rejects(pages.where(~placed), delivery.name)
+        scopes = sorted(tuple(row)[:-1] for row in seen if row["placed"])
+        if scopes:
+            self.waiting.store(pages.where(placed), delivery)
+        return self.waiting.open_pages(scopes, self.used(delivery.name))
+
+    def used(self, but: str | None = None) -> DataFrame:
+        """Per scope, the number of the newest delivery that a landing used up, leaving out those one delivery led to.
+
+        A delivery that is repeated because its landing broke off must find its pages open.
+        """
+        log = self._lines()
+        own = F.lit(False) if but is None else F.col("delivery").eqNullSafe(F.lit(but))
+        return log.where(~own).groupBy(*self.scope).agg(F.max("upto").alias("upto"))
+
+    def remove_used(self, scopes: DataFrame) -> None:
+        """Delete waiting pages of some scopes that landings have used up."""
+        self.waiting.remove_used([tuple(row) for row in self.used().join(scopes.distinct(), self.scope).collect()])
 
     def _showing(self) -> list[str]:
         return [row["load_id"] for row in self.loads().select("load_id").distinct().collect()]
 
     def remove_superseded(self) -> None:
         """Delete the files of loads that no scope shows any more. Not while readers or loads are running."""
-        try:
-            stored = self.spark.read.schema(self._stored).parquet(f"{self.path}/pages")
-        except AnalysisException:
+        stored = read_if_there(self.spark, self._stored, f"{self.path}/pages")
+        if stored is None:
             return
         kept = set(self._showing())
         folders = {name[: name.index("/", name.index("load_id="))] for name in stored.inputFiles()}
@@ -197,19 +234,18 @@ class RawTable:
             if unquote(folder.rsplit("load_id=", 1)[1]) not in kept:
                 remove(self.spark, folder)
 
+    def _lines(self) -> DataFrame:
+        log = read_if_there(self.spark, self._log, f"{self.path}/loads")
+        return log if log is not None else self.spark.createDataFrame([], self._log)
+
     def loads(self) -> DataFrame:
         """The load each scope currently shows."""
-        try:
-            log = self.spark.read.schema(self._log).parquet(f"{self.path}/loads")
-        except AnalysisException:
-            return self.spark.createDataFrame([], self._log)
-        return log.groupBy(*self.scope).agg(F.max_by("load_id", F.struct("at", "load_id")).alias("load_id"))
+        return self._lines().groupBy(*self.scope).agg(F.max_by("load_id", F.struct("at", "load_id")).alias("load_id"))
 
     def read(self) -> DataFrame:
         """Current pages of every scope. Only folders of loads that still show a scope are read."""
-        try:
-            stored = self.spark.read.schema(self._stored).parquet(f"{self.path}/pages")
-        except AnalysisException:
+        stored = read_if_there(self.spark, self._stored, f"{self.path}/pages")
+        if stored is None:
             return self.spark.createDataFrame([], self.schema)
         current = measured_side(self.loads())
         showing = self._showing()  # at most one load per scope on the calendar

@@ -7,11 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from apexlake.sources.landing import highest_round
 from apexlake.sources.schemas import LOAD_STATE
-from apexlake.session import remove
+from apexlake.session import read_if_there, remove
 
 FIRST_SEASON = 1950
 
@@ -200,10 +199,7 @@ class LoadState:
     path: str
 
     def _lines(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOAD_STATE).parquet(f"{self.path}/write=*")
-        except AnalysisException:
-            return None
+        return read_if_there(self.spark, LOAD_STATE, self.path)
 
     def read(self, missing_ok: bool = False) -> DataFrame:
         """Current watermarks. A missing table counts as empty only where asked for (a dry run)."""

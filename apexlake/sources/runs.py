@@ -10,6 +10,7 @@ from apexlake.session import write_once
 from apexlake.sources.landing import RawTable, highest_round, missing_pages
 from apexlake.sources.planning import LoadState
 from apexlake.sources.schemas import PAGING
+from apexlake.sources.waiting import Delivery
 
 
 def checked(pages: DataFrame, scope: list[str]) -> DataFrame:
@@ -30,35 +31,42 @@ def failed_scopes(pages: DataFrame, scope: list[str]) -> DataFrame:
 
 def land(
     endpoint: str, table: RawTable, state: LoadState, pages: DataFrame, requested: DataFrame,
-    latest: DataFrame, load_id: str,
+    latest: DataFrame, load_id: str, delivery: Delivery | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Land one endpoint's fetched pages; returns (new watermarks, failures).
 
     A failing scope is reported, keeps its old pages and gets no watermark, so
     the next run plans it again. The others go through. Payloads are parsed
-    once; failures and rejected pages are kept with the table.
+    once; failures and rejected pages are kept with the table. What waits for the
+    landed scopes is used up; it is removed last, when nothing needs it for a
+    repeat any more.
     """
     scope = table.scope
     looked_at = write_once(checked(pages, scope), "checked-pages")
     failures = write_once(failed_scopes(looked_at, scope), "failures")
     good = write_once(requested.select(*scope).distinct().join(failures, scope, "left_anti"), "good-scopes")
     fit = pages.join(good, scope, "left_semi")
-    table.keep_failures(failures, load_id)
-    rejected = looked_at.where(~F.col("readable")).select(*scope, "page_offset").distinct()
-    table.keep_rejects(pages.join(rejected, [*scope, "page_offset"], "left_semi"), load_id)
+    if not failures.isEmpty():  # an unreadable page fails its scope
+        table.keep_failures(failures, load_id)
+        rejected = looked_at.where(~F.col("readable")).select(*scope, "page_offset").distinct()
+        table.keep_rejects(pages.join(rejected, [*scope, "page_offset"], "left_semi"), load_id)
     if table.per_race:
-        fresh = _land_races(endpoint, table, fit, good, failures, latest, load_id)
+        fresh = _land_races(endpoint, table, fit, good, failures, latest, load_id, delivery)
     else:
-        table.replace(fit, good, load_id)
+        table.replace(fit, good, load_id, delivery=delivery)
         fresh = planning.season_watermarks(endpoint, good, looked_at.join(good, scope, "left_semi"), latest)
     fresh = write_once(fresh.select("endpoint", "season", "last_round", "total_rows"), "fresh-watermarks")
     state.upsert(fresh)
+    if delivery:
+        table.waiting.settle(delivery)
+    table.remove_used(good)
     report = failures.select("season", F.lit(endpoint).alias("endpoint"), "reason").distinct()
     return fresh, report
 
 
 def _land_races(
-    endpoint: str, table: RawTable, pages: DataFrame, good: DataFrame, failures: DataFrame, latest: DataFrame, load_id: str
+    endpoint: str, table: RawTable, pages: DataFrame, good: DataFrame, failures: DataFrame, latest: DataFrame, load_id: str,
+    delivery: Delivery | None = None,
 ) -> DataFrame:
     """Replace the races fetched; returns progress and completion of their seasons.
 
@@ -67,7 +75,7 @@ def _land_races(
     scope = table.scope
     waiting = planning.round_outcomes(good, pages, latest).where(F.col("outcome") == "unpublished")
     settled = good.join(waiting, scope, "left_anti")
-    table.replace(pages, settled, load_id)
+    table.replace(pages, settled, load_id, delivery=delivery)
 
     landed = table.read().join(good.select("season").distinct(), "season", "left_semi")
     rounds = settled.unionByName(landed.select(*scope)).distinct().join(waiting, scope, "left_anti")

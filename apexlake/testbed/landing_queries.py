@@ -238,6 +238,47 @@ def _streamed(w: Warehouse, endpoint: str, columns: list[str]) -> tuple[DataFram
     return table.read().groupBy(*columns).agg(F.count("*").alias("pages")), state.read()
 
 
+class _Streams:
+    """Season pages of results fed by several streams, each with files and a checkpoint of its own, and by hand."""
+
+    def __init__(self, w: Warehouse):
+        self.w, self.root = w, f"{shared_folder(_spark(w))}/streams-{uuid.uuid4().hex}"
+        self.table, self.state = RawTable(_spark(w), f"{self.root}/raw"), LoadState(_spark(w), f"{self.root}/state")
+        self.state.create()
+
+    def pages(self, source: str) -> DataFrame:
+        names = [f.name for f in incoming_schema(self.table)]
+        return self.w.raw["results"].withColumn("request_url", F.lit(source)).select(*names)
+
+    def deliver(self, pages: DataFrame, stream: str) -> None:
+        pages.write.mode("append").json(f"{self.root}/{stream}/incoming")
+        land_new_files(
+            _spark(self.w), "results", f"{self.root}/{stream}/incoming", self.table, self.state, _latest(self.w),
+            f"{self.root}/{stream}/checkpoint").awaitTermination()
+
+    def shown(self, *sources: str) -> DataFrame:
+        return self.table.read().groupBy("season").agg(
+            F.count("*").alias("pages"), *[F.count_if(F.col("request_url") == x).alias(x) for x in sources])
+
+
+def stream_new_checkpoint(w: Warehouse) -> DataFrame:
+    """A second stream, whose batches count from 0 again, brings newer pages of even seasons."""
+    streams = _Streams(w)
+    streams.deliver(streams.pages("first"), "first")
+    streams.deliver(streams.pages("second").where("season % 2 = 0"), "second")
+    return streams.shown("first", "second")
+
+
+def stream_after_load(w: Warehouse) -> DataFrame:
+    """After a load by hand a stream's part of a scope changes nothing; a whole one does."""
+    streams = _Streams(w)
+    streams.deliver(streams.pages("stream"), "first")
+    by_hand = streams.pages("hand").where("season % 2 = 1")
+    land("results", streams.table, streams.state, by_hand, by_hand, _latest(w), "hand")
+    streams.deliver(streams.pages("late").where("page_offset = 0"), "first")
+    return streams.shown("stream", "hand", "late")
+
+
 def stream(w: Warehouse) -> DataFrame:
     """L27 for an endpoint loaded by season."""
     landed, marks = _streamed(w, "results", ["season"])
@@ -375,6 +416,13 @@ FROM land_pages JOIN (
   SELECT season, max(round) AS last_round, sum(total_rows)::INT AS season_rows FROM land_totals
   WHERE endpoint = 'pit_stops' GROUP BY season) USING (season)
 WHERE endpoint = 'pit_stops' GROUP BY ALL"""),
+    "land_stream_new_checkpoint": (stream_new_checkpoint, f"""
+SELECT season, n AS pages, CASE WHEN season % 2 = 1 THEN n ELSE 0 END AS first, CASE WHEN season % 2 = 0 THEN n ELSE 0 END AS second
+FROM {_RESULT_PAGES}"""),
+    "land_stream_after_load": (stream_after_load, f"""
+SELECT season, n AS pages, CASE WHEN season % 2 = 0 AND n > 1 THEN n ELSE 0 END AS stream,
+       CASE WHEN season % 2 = 1 AND n > 1 THEN n ELSE 0 END AS hand, CASE WHEN n = 1 THEN 1 ELSE 0 END::BIGINT AS late
+FROM {_RESULT_PAGES}"""),
     "land_stream": (stream, f"""
 SELECT season, n AS pages, last_round, total_rows
 FROM {_RESULT_PAGES} JOIN (FROM land_marks WHERE endpoint = 'results') USING (season)"""),

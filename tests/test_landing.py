@@ -316,3 +316,137 @@ def test_a_scope_split_over_two_stream_runs_lands(spark, tmp_path):
     assert table.read().count() == 3
     assert rows(state.read().select("season", "total_rows")) == {(2020, 250)}
     assert rows(table.failures().select("reason")) == {("missing page",)}
+
+
+class Landing:
+    """A table with its state, fed by streams and by hand."""
+
+    def __init__(self, spark, folder, per_race=False):
+        self.spark, self.folder = spark, folder
+        self.endpoint = "pit_stops" if per_race else "results"
+        self.table, self.state = RawTable(spark, str(folder / "r"), per_race), LoadState(spark, str(folder / "s"))
+        self.state.create()
+
+    def pages(self, text, *offsets, season=1990, total=250):
+        made = season_pages(self.spark, *[(season, offset, total, payload(total, 7, text)) for offset in offsets])
+        return made.select(*[f.name for f in incoming_schema(self.table)])
+
+    def deliver(self, pages, stream="a"):
+        pages.coalesce(1).write.mode("append").json(str(self.folder / f"in-{stream}"))
+        self.run(stream)
+
+    def run(self, stream="a", checkpoint=None):
+        land_new_files(
+            self.spark, self.endpoint, str(self.folder / f"in-{stream}"), self.table, self.state, latest(self.spark),
+            str(self.folder / (checkpoint or f"c-{stream}"))).awaitTermination()
+
+    def shown(self):
+        return rows(self.table.read().select("page_offset", F.regexp_extract("payload", "(old|new|hand)", 1)))
+
+    def waiting(self):
+        return sorted(str(p.relative_to(self.folder / "r" / "waiting").parent) for p in (self.folder / "r").glob("waiting/**/*.parquet"))
+
+
+def test_a_new_checkpoint_lands_its_pages(spark, tmp_path):
+    at = Landing(spark, tmp_path)
+    at.deliver(at.pages("old", 0, 100, 200), "a")
+    at.deliver(at.pages("new", 0, 100, 200), "b")  # its batch 0 too
+    assert at.shown() == {(0, "new"), (100, "new"), (200, "new")}
+    at.run("a", "c-third")  # a third checkpoint reads the first stream's files once more
+    assert at.shown() == {(0, "old"), (100, "old"), (200, "old")}
+    assert at.waiting() == []
+
+
+def test_a_scope_spread_over_two_streams_lands(spark, tmp_path):
+    at = Landing(spark, tmp_path)
+    at.deliver(at.pages("old", 0, 100), "a")
+    assert at.shown() == set() and len(at.waiting()) == 1
+    at.deliver(at.pages("new", 100, 200), "b")
+    assert at.shown() == {(0, "old"), (100, "new"), (200, "new")}
+    assert at.waiting() == []
+
+
+def test_part_of_a_scope_after_a_load_by_hand_changes_nothing(spark, tmp_path):
+    at = Landing(spark, tmp_path)
+    at.deliver(at.pages("old", 0, 100, 200))
+    at.deliver(at.pages("old", 100))
+    by_hand = at.pages("hand", 0, 100, 200)
+    land("results", at.table, at.state, by_hand, by_hand, latest(spark), "hand")
+    assert at.waiting() == []  # what waited is used up
+    at.deliver(at.pages("new", 0))
+    assert at.shown() == {(0, "hand"), (100, "hand"), (200, "hand")}
+    at.deliver(at.pages("new", 100, 200))
+    assert at.shown() == {(0, "new"), (100, "new"), (200, "new")}
+
+
+def test_a_batch_reads_only_the_scopes_it_touches(spark, tmp_path):
+    at = Landing(spark, tmp_path)
+    at.deliver(at.pages("old", 0))
+    for season in (1991, 1992):
+        at.deliver(at.pages("old", 0, season=season))
+    area = at.table.waiting
+    area.in_scopes([(1991,)]).select("payload").count()
+    assert all("season=1991" in name for name in area.in_scopes([(1991,)]).inputFiles())
+    again = area.begin("other", 0)
+    opened = at.table.arrive(_arrived(at.pages("new", 100, season=1992)), again)
+    assert rows(opened.select("season", "page_offset")) == {(1992, 0), (1992, 100)}
+    assert all("season=1992" in name for name in opened.inputFiles() if "/waiting/" in name)
+
+
+def _arrived(pages):
+    return pages.withColumn("file_time", F.lit(None).cast("timestamp")).withColumn("file_name", F.lit("f"))
+
+
+@pytest.mark.parametrize("broken", ["upsert", "settle", "remove_used"])
+def test_a_repeated_batch_finishes_what_broke_off(spark, tmp_path, monkeypatch, broken):
+    """A batch fails at any step of its landing and is replayed: pages and watermark are there once."""
+    from apexlake.sources.waiting import WaitingArea
+
+    at = Landing(spark, tmp_path)
+    at.deliver(at.pages("old", 0, 100))
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    where = {"upsert": (LoadState, "upsert"), "settle": (WaitingArea, "settle"), "remove_used": (WaitingArea, "remove_used")}
+    with monkeypatch.context() as patched:
+        patched.setattr(*where[broken], fail)
+        with pytest.raises(Exception, match="lost"):
+            at.deliver(at.pages("new", 200))
+    at.run()
+    assert sorted(tuple(r) for r in at.table.read().select("page_offset").collect()) == [(0,), (100,), (200,)]
+    assert rows(at.state.read().select("season", "total_rows")) == {(1990, 250)}
+    at.deliver(at.pages("old", 0))
+    assert at.shown() == {(0, "old"), (100, "old"), (200, "new")} and len(at.waiting()) == 1
+
+
+def test_one_place_twice_in_a_delivery_lands_once(spark, tmp_path):
+    at = Landing(spark, tmp_path)
+    at.deliver(at.pages("old", 0, 0, 100, 200).unionByName(at.pages("old", 100)))
+    assert at.table.read().count() == 3
+
+
+def test_lines_that_are_no_page_are_rejected(spark, tmp_path):
+    at = Landing(spark, tmp_path)
+    (tmp_path / "in-a").mkdir()
+    (tmp_path / "in-a" / "odd.json").write_text('not json at all\n{"season": null, "page_offset": 0, "payload": "x"}\n')
+    at.run()
+    assert rows(at.table.rejects().select("season", "payload")) == {(None, "not json at all"), (None, "x")}
+    assert at.table.read().count() == 0 and at.waiting() == []
+
+
+def test_the_delivery_log_is_folded(spark, tmp_path, monkeypatch):
+    from apexlake.sources import waiting
+
+    monkeypatch.setattr(waiting, "FOLD_AFTER", 4)
+    area = Landing(spark, tmp_path).table.waiting
+    numbers = []
+    for batch in range(4):
+        for source in ("a", "b"):
+            delivery = area.begin(source, batch)
+            numbers.append(delivery.number)
+            area.settle(delivery)
+    assert numbers == sorted(set(numbers))
+    assert len(list((tmp_path / "r" / "deliveries").glob("write=*"))) <= 5
+    assert area.begin("a", 3).landed and area.begin("a", 3).number == numbers[-2]
+    assert area.begin("c", 0).number == numbers[-1] + 1
