@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -59,30 +60,90 @@ class Declared:
 
 
 @dataclass(frozen=True)
-class Check:
-    """One line of a report and the frame its violations are in."""
+class Line:
+    """One line of a report."""
 
     table: str
     check_name: str
     target: str
-    severity: str
-    violations: DataFrame
+    severity: str = "error"
 
 
-def _null_checks(df: DataFrame, table: str, columns: dict[str, str]) -> tuple[list[Check], DataFrame]:
-    """Checks of all columns and the frame that finds them in one pass, tagged with the column."""
+# Figures taken while a table is written ------------------------------------------
+def _nulls(column: str) -> str:
+    return f"nulls: {column}"
+
+
+def _unaccepted(column: str) -> str:
+    return f"unaccepted: {column}"
+
+
+def measures(table: str, declared: Declared) -> dict[str, Column]:
+    """Counts that the declared checks of a table need of its rows: nulls, and values outside their list.
+
+    Observed while the table is written, they cost no scan later.
+    """
+    counts = {_nulls(c): F.count_if(F.col(c).isNull()) for c in declared.not_null.get(table, {})}
+    for name, column, values in declared.accepted:
+        if name == table:
+            counts[_unaccepted(column)] = F.count_if(~F.col(column).isin(values))
+    return counts
+
+
+def orphans(tables, keys: list[tuple[str, str, str]]) -> DataFrame:
+    """Rows per foreign key (``table``, ``target``, ``n``) that hold a value without a parent; a null key passes.
+
+    One scan per table and one shuffle for all keys: child and parent rows
+    are turned into (parent table, key) and counted together, a column per
+    foreign key. Counting starts before the shuffle, so a key that a third of
+    the rows share travels as one row per task, and nothing is joined.
+    """
+    slots: dict[str, list[tuple[str, str]]] = {}
+    for child, column, parent in keys:
+        slots.setdefault(parent, []).append((child, column))
+    own = {parent: next(c for _, c, p in keys if p == parent) for parent in slots}
+
+    def held(entries: list[tuple[str, str, int]], df: DataFrame) -> DataFrame:
+        found = [
+            F.struct(F.lit(parent).alias("parent"), F.col(column).cast("string").alias("key"), F.lit(slot).alias("slot"))
+            for parent, column, slot in entries
+        ]
+        return df.select(F.explode(F.array(*found)).alias("held")).select("held.*").where(F.col("key").isNotNull())
+
+    scans: dict[str, list[tuple[str, str, int]]] = {parent: [(parent, column, -1)] for parent, column in own.items()}
+    for parent, children in slots.items():
+        for slot, (child, column) in enumerate(children):
+            scans.setdefault(child, []).append((parent, column, slot))
+    rows = reduce(DataFrame.unionByName, [held(entries, tables(name)) for name, entries in scans.items()])
+    width = range(max(len(children) for children in slots.values()))
+    counted = rows.groupBy("parent", "key").agg(
+        F.bool_or(F.col("slot") == -1).alias("known"), *[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in width])
+    lost = counted.where(~F.col("known")).groupBy("parent").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in width])
+    line = F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"n{i}").alias("n")) for i in width])).alias("line")
+    names = [
+        x for parent, children in slots.items() for slot, (child, column) in enumerate(children)
+        for x in (F.lit(f"{parent}/{slot}"), F.struct(F.lit(child).alias("table"), F.lit(f"{column} in {parent}").alias("target")))
+    ]
+    named = F.create_map(*names)[F.concat_ws("/", "parent", "line.slot")]
+    return lost.select("parent", line).where(F.col("line.n") > 0).select(
+        named["table"].alias("table"), named["target"].alias("target"), F.col("line.n").alias("n"))
+
+
+def _null_checks(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    """Nulls of all columns in one pass, tagged with the column."""
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
-    found = not_null(df, *columns).select(F.explode(missing).alias("target"))
-    return [Check(table, "not_null", c, s, found) for c, s in columns.items()], found
+    return not_null(df, *columns).select(F.explode(missing).alias("target"))
 
 
-def _report(spark: SparkSession, catalogue: list[Check], parts: list[DataFrame]) -> DataFrame:
+def _report(spark: SparkSession, catalogue: list[Line], parts: list[DataFrame]) -> DataFrame:
     """Every check with its violations.
 
     All violations are counted in one aggregation, and usually there are few
     of them; the list of checks, a line each, fills in the zeros.
     """
     keys = ["table", "check_name", "target"]
+    if not parts:
+        parts = [spark.createDataFrame([], "table string, check_name string, target string, n bigint")]
     counted = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum("n").alias("violations"))
     lines = spark.createDataFrame(
         [(c.table, c.check_name, c.target, c.severity) for c in catalogue],
@@ -100,40 +161,51 @@ def _tagged(df: DataFrame, table: str, check_name: str, target: Column, weight:
     )
 
 
-def report(tables, declared: Declared) -> DataFrame:
+def report(tables, declared: Declared, figures: Callable[[str], dict[str, int] | None] = lambda table: None) -> DataFrame:
     """Every declared check as one line with its number of violations.
 
     Nulls and orphans count rows; duplicates count keys; unaccepted values
-    count values.
+    count values. ``figures`` knows the ``measures`` of tables that were counted
+    while they were written; only others are scanned for nulls and unaccepted
+    values, and a table that has some unaccepted value, to tell how many.
     """
-    catalogue: list[Check] = []
+    catalogue: list[Line] = []
     parts: list[DataFrame] = []
-
-    def add(table: str, check_name: str, target: str, violations: DataFrame, weight: Column) -> None:
-        catalogue.append(Check(table, check_name, target, "error", violations))
-        parts.append(_tagged(violations, table, check_name, F.lit(target), weight))
+    known: list[tuple] = []
+    counted = {table: figures(table) for table in {*declared.not_null, *[t for t, _, _ in declared.accepted]}}
 
     for table, columns in declared.not_null.items():
-        checks, found = _null_checks(tables(table), table, columns)
-        catalogue += checks
-        parts.append(_tagged(found, table, "not_null", F.col("target"), F.lit(1)))
+        catalogue += [Line(table, "not_null", c, s) for c, s in columns.items()]
+        if counted[table] is None:
+            found = _null_checks(tables(table), table, columns)
+            parts.append(_tagged(found, table, "not_null", F.col("target"), F.lit(1)))
+        else:
+            known += [(table, "not_null", c, counted[table][_nulls(c)]) for c in columns]
     for table, column in declared.unique:
-        known = tables(table).where(F.col(column).isNotNull())
-        add(table, "unique", column, unique(known, column), F.lit(1))
+        catalogue.append(Line(table, "unique", column))
+        lone = unique(tables(table).where(F.col(column).isNotNull()), column)
+        parts.append(_tagged(lone, table, "unique", F.lit(column), F.lit(1)))
     for table, keys in declared.combinations.items():
-        add(table, "unique_combination", ", ".join(keys), unique(tables(table), *keys), F.lit(1))
-    for table, column, parent in declared.relationships:
-        add(table, "relationships", f"{column} in {parent}",
-            relationships(tables(table), column, tables(parent), column), F.col("n"))
+        catalogue.append(Line(table, "unique_combination", ", ".join(keys)))
+        parts.append(_tagged(unique(tables(table), *keys), table, "unique_combination", F.lit(", ".join(keys)), F.lit(1)))
+    if declared.relationships:
+        catalogue += [Line(table, "relationships", f"{column} in {parent}") for table, column, parent in declared.relationships]
+        lost = orphans(tables, declared.relationships)
+        parts.append(lost.select("table", F.lit("relationships").alias("check_name"), "target", F.col("n").cast("bigint").alias("n")))
     for table, column, values in declared.accepted:
-        add(table, "accepted_values", column, accepted_values(tables(table), column, values), F.lit(1))
-    return _report(parts[0].sparkSession, catalogue, parts)
+        catalogue.append(Line(table, "accepted_values", column))
+        if counted[table] is None or counted[table][_unaccepted(column)]:
+            parts.append(_tagged(accepted_values(tables(table), column, values), table, "accepted_values", F.lit(column), F.lit(1)))
+    spark = tables(catalogue[0].table).sparkSession
+    if known:
+        parts.append(spark.createDataFrame(known, "table string, check_name string, target string, n bigint"))
+    return _report(spark, catalogue, parts)
 
 
 def assertion_report(tables, assertions) -> DataFrame:
     """One line per assertion with its violations, in the same form."""
-    catalogue = [Check("all", "assertion", name, severity, check(tables)) for name, (check, severity) in assertions.items()]
-    parts = [_tagged(c.violations, c.table, c.check_name, F.lit(c.target), F.lit(1)) for c in catalogue]
+    catalogue = [Line("all", "assertion", name, severity) for name, (_, severity) in assertions.items()]
+    parts = [_tagged(check(tables), "all", "assertion", F.lit(name), F.lit(1)) for name, (check, _) in assertions.items()]
     return _report(parts[0].sparkSession, catalogue, parts)
 
 

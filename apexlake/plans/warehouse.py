@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from apexlake.plans import checks
 from apexlake.plans import intermediate as I
 from apexlake.plans import marts as M
+from apexlake.plans.quality import DECLARED
 from apexlake.session import write_once
 from apexlake.sources import staging
 
@@ -36,6 +39,7 @@ class Warehouse:
     colours: DataFrame
     rules: Rules = field(default_factory=Rules)
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    counted: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def model(self, name: str) -> DataFrame:
         return MODELS[name](self)
@@ -49,9 +53,25 @@ class Warehouse:
             partitions = ("season",) if name.startswith("stg_") else ()
             # Staging needs no shuffle before the write: raw pages lie in season folders, so a
             # task reads few seasons, and a large season is read by many tasks.
-            self.tables[name] = write_once(self.model(name), name, partitions)
+            self.tables[name] = self._write(name, partitions)
         return self.tables[name]
 
+    def _write(self, name: str, partitions: tuple[str, ...]) -> DataFrame:
+        """The model as a written table; what its checks need of the rows is counted as they are written."""
+        model, counts = self.model(name), checks.measures(name, DECLARED)
+        if not counts:
+            return write_once(model, name, partitions)
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        written = write_once(model.observe(seen, *[count.alias(label) for label, count in counts.items()]), name, partitions)
+        self.counted[name] = seen.get
+        return written
+
+    def figures(self, name: str) -> dict[str, int] | None:
+        """What was counted while a table was written; None for a table that came from elsewhere."""
+        if name in MODELS:
+            self.table(name)
+        return self.counted.get(name)
+
     def staged(self) -> list[str]:
         return [table for table, _ in staging.MODELS.values()]
 
@@ -59,7 +79,8 @@ class Warehouse:
         """The same warehouse with some tables exchanged; what depends on them is planned anew."""
         stale = {n for t in tables for n in _consumers(t)}
         kept = {n: df for n, df in self.tables.items() if n not in stale}
-        return Warehouse(self.raw, tables.get("team_colours", self.colours), self.rules, {**kept, **tables})
+        counted = {n: c for n, c in self.counted.items() if n in kept and n not in tables}
+        return Warehouse(self.raw, tables.get("team_colours", self.colours), self.rules, {**kept, **tables}, counted)
 
     def register_views(self, names: list[str] | None = None) -> None:
         """Expose models as temporary views."""

@@ -69,11 +69,11 @@ _DECLARED = {
     "dq_accepted": (replace(_NONE, accepted=DECLARED.accepted), accepted_sql),
 }
 for _name, (_part, _sql) in _DECLARED.items():
-    register(_name, lambda w, d=_part: checks.report(w.table, d), union(_sql()))
-register("dq_suite", lambda w: checks.report(w.table, DECLARED), union([
+    register(_name, lambda w, d=_part: checks.report(w.table, d, w.figures), union(_sql()))
+register("dq_suite", lambda w: checks.report(w.table, DECLARED, w.figures), union([
     line for _, sql in _DECLARED.values() for line in sql()]))
 register(
-    "dq_build_fails", lambda w: checks.build_fails(checks.report(w.table, DECLARED)),
+    "dq_build_fails", lambda w: checks.build_fails(checks.report(w.table, DECLARED, w.figures)),
     "SELECT * FROM (" + union([line for _, sql in _DECLARED.values() for line in sql()])
     + ") WHERE severity = 'error' AND violations > 0",
 )

@@ -39,6 +39,33 @@ def test_relationships_let_null_pass_and_count_rows(spark, facts):
     assert rows(checks.relationships(facts, "driver", drivers, "driver")) == {("a", 2), ("ghost", 1)}
 
 
+def test_orphans_of_all_keys_in_one_shuffle(spark, facts):
+    """Two keys into one parent, one key from two children, numbers and text, null keys and keys without any child."""
+    tables = {
+        "facts": facts, "more": spark.createDataFrame([(1, "a"), (9, "z"), (9, None)], "race int, driver string"),
+        "races": spark.createDataFrame([(1,), (2,), (None,), (7,)], "race int"),
+        "drivers": spark.createDataFrame([("b",), ("9",)], "driver string"),
+    }
+    keys = [("facts", "race", "races"), ("more", "race", "races"), ("facts", "driver", "drivers"), ("more", "driver", "drivers")]
+    lost = checks.orphans(tables.__getitem__, keys)
+    assert rows(lost) == {
+        ("facts", "race in races", 1), ("more", "race in races", 2), ("facts", "driver in drivers", 3), ("more", "driver in drivers", 2)}
+    for child, column, parent in keys:
+        single = checks.relationships(tables[child], column, tables[parent], column)
+        assert single.agg(F.sum("n")).first()[0] == {(t, k): n for t, k, n in lost.collect()}[child, f"{column} in {parent}"]
+    assert checks.orphans(tables.__getitem__, [("races", "race", "races")]).isEmpty()
+
+
+def test_figures_taken_while_writing_spare_the_scan(spark, facts):
+    declared = checks.Declared({"facts": {"race": "error", "driver": "warn"}}, [], {}, [], [("facts", "kind", ["win", "podium"])])
+    counts = checks.measures("facts", declared)
+    figures = facts.agg(*[c.alias(n) for n, c in counts.items()]).first().asDict()
+    assert sorted(figures.values()) == [1, 1, 1]
+    by_scan, known = checks.report(lambda name: facts, declared), checks.report(lambda name: facts, declared, lambda name: figures)
+    assert rows(by_scan) == rows(known) and known.count() == 3
+    assert checks.measures("other", declared) == {}
+
+
 def test_accepted_values_let_null_pass(facts):
     assert rows(checks.accepted_values(facts, "kind", ["win", "podium"])) == {("draw", 1)}
 
@@ -95,6 +122,20 @@ def test_views_and_marts_can_be_published(spark, tmp_path):
     spark.sql("DROP DATABASE marts CASCADE")
 
 
+def test_rows_are_counted_as_tables_are_written(spark):
+    from apexlake.plans.quality import DECLARED
+    from apexlake.testbed.build import warehouse
+
+    lake = warehouse(spark, "/root/testdata/sf0.001")
+    for name in ("stg_laps", "fct_driver_streaks"):
+        expected = lake.table(name).agg(*[c.alias(n) for n, c in checks.measures(name, DECLARED).items()]).first().asDict()
+        assert lake.figures(name) == expected
+    changed = lake.replaced(stg_laps=lake.table("stg_laps").withColumn("lap", F.lit(None).cast("int")))
+    assert changed.figures("stg_laps") is None  # it came from elsewhere: scanned
+    line = checks.report(changed.table, checks.Declared({"stg_laps": {"lap": "error"}}, [], {}, [], []), changed.figures).first()
+    assert line.violations == lake.table("stg_laps").count()
+
+
 def test_exchanging_a_table_plans_its_consumers_anew(spark):
     from apexlake.testbed.build import warehouse
 

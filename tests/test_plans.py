@@ -1,6 +1,7 @@
 """The physical plans keep the properties that matter on large data."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,19 @@ def test_assertions_have_no_cartesian_products(lake, shuffled):
     for name, (check, _) in ASSERTIONS.items():
         plan = physical(check(lake.table))
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+
+
+def test_declared_checks_scan_little(lake):
+    """Nulls and unaccepted values were counted on writing; foreign keys take one scan a table and one shuffle."""
+    from apexlake.plans import checks
+    from apexlake.plans.quality import DECLARED
+
+    none = checks.Declared({}, [], {}, [], [])
+    counted = checks.report(lake.table, replace(none, not_null={t: c for t, c in DECLARED.not_null.items() if t != "team_colours"}), lake.figures)
+    assert "FileScan" not in physical(counted)
+    accepted = [a for a in DECLARED.accepted if a[0] != "team_colours"]
+    assert "FileScan" not in physical(checks.report(lake.table, replace(none, accepted=accepted), lake.figures))
+    plan = physical(checks.orphans(lake.table, DECLARED.relationships))
+    tables = {t for child, _, parent in DECLARED.relationships for t in (child, parent)} - {"team_colours"}
+    assert plan.count("FileScan") == len(tables)
+    assert [e.rsplit(", ", 1)[0] for e in exchanges(plan)] == ["parent", "parent, key"]
