@@ -10,6 +10,8 @@ from apexlake.session import write_once
 
 # monotonically_increasing_id keeps the partition in the bits above this one.
 PARTITION_SHIFT = 33
+# Neighbouring whole numbers whose distinct values are held in one array.
+BLOCK = 1_000
 
 
 def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str) -> DataFrame:
@@ -56,6 +58,23 @@ def dense_rank_rows(df: DataFrame, group: list[str], value: str, out: str) -> Da
     return df.join(numbered, [*group, value], "left")
 
 
+def dense_rank_integers(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
+    """``dense_rank()`` ascending per group of a whole number, without sorting or writing rows.
+
+    The distinct values of a group are gathered in blocks of ``BLOCK`` neighbouring
+    numbers, so an array is bounded whatever the group holds, and a block
+    starts where the counts of the blocks below it end. Distinct values are found
+    before the shuffle. A null value has no rank.
+    """
+    block = F.floor(F.col(value) / BLOCK).alias("_block")
+    blocks = df.where(F.col(value).isNotNull()).groupBy(*group, block).agg(F.sort_array(F.collect_set(value)).alias("_values"))
+    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.size("_values")).over(earlier), F.lit(0))
+    placed = blocks.withColumn("_start", start).select(*group, "_start", F.posexplode("_values").alias("_place", value))
+    numbered = placed.select(*group, value, (F.col("_start") + F.col("_place") + 1).cast("int").alias(out))
+    return df.join(numbered, [*group, value], "left")
+
+
 def rank_by_histogram(df: DataFrame, by: str, value: str, out: str, distinct_values: int) -> DataFrame:
     """``rank()`` by descending value where few distinct values occur.
 

@@ -40,11 +40,15 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     return df.where(~F.col(column).isin(values)).groupBy(column).agg(F.count("*").alias("n"))
 
 
-def freshness(pages: DataFrame, now: Column, warn_days: int = 10, error_days: int = 30) -> DataFrame:
-    """One row: newest landing time and whether it is too old."""
+def freshness(landings: DataFrame, now: Column, warn_days: int = 10, error_days: int = 30) -> DataFrame:
+    """One row: newest landing time and whether it is too old.
+
+    Takes the log of landings (``RawTable.landings``), a line per scope and load;
+    pages, which carry the same time, would do as well but are scanned for it.
+    """
     age = (F.unix_timestamp(now) - F.unix_timestamp("newest")) / 86400
     status = F.when(F.col("newest").isNull() | (age > error_days), "error").when(age > warn_days, "warn").otherwise("pass")
-    return pages.agg(F.max("ingested_at").alias("newest")).select("newest", status.alias("status"))
+    return landings.agg(F.max("ingested_at").alias("newest")).select("newest", status.alias("status"))
 
 
 # Reports ---------------------------------------------------------------------

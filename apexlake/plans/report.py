@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from apexlake.functions import exprs as X
 from apexlake.operators.grouping import collapse
 from apexlake.operators.joins import calendar_rows, small_side
-from apexlake.operators.ranking import dense_rank_rows, extreme_rows, top_ranked
+from apexlake.operators.ranking import dense_rank_integers, top_ranked
 
 Tables = Callable[[str], DataFrame]
 
@@ -28,6 +28,7 @@ DRIVERS_SHOWN = 5
 MINIMUM_STARTS = 50
 MINIMUM_RACES = 5
 STREAK_PLACES = 10
+NAMES_IN_A_CELL = 1_000
 PAIR = ("season", "driver_id", "teammate_id", "teammate_name", "constructor_id")
 
 
@@ -118,13 +119,28 @@ def _best_of_season(t: Tables, places: int) -> DataFrame:
     )
 
 
+def joined_names(holders: DataFrame, group: list[str], text: Column | str, out: str) -> DataFrame:
+    """The texts of a group in one cell, in order.
+
+    A cell is for reading: it holds at most ``NAMES_IN_A_CELL`` texts. Holders are
+    counted before any are gathered, and a group beyond that ends the job with
+    an error instead of dropping names; the rows themselves are ``holders``.
+    """
+    short = F.when(F.col("_n") <= NAMES_IN_A_CELL, True).otherwise(
+        F.raise_error(F.lit(f"more than {NAMES_IN_A_CELL} names in a cell of {out}: take the rows of the holders")))
+    counted = holders.groupBy(*group).agg(F.count("*").alias("_n")).where(short).select(*group)
+    return collapse(
+        holders.join(counted, group), group, **{out: F.array_join(F.sort_array(F.collect_list(text)), ", ")})
+
+
+def season_leaders(t: Tables) -> DataFrame:
+    """Whoever leads a season, a row each: several where drivers are level at the top."""
+    return _best_of_season(t, 1).join(names(t), "driver_id", "left").select("season", "driver_id", "driver_name", "championship_points")
+
+
 def championship_leader(t: Tables) -> DataFrame:
     """Whoever leads; drivers level at the top share the cell."""
-    leaders = _best_of_season(t, 1)
-    return collapse(
-        leaders.join(names(t), "driver_id", "left"), ["season"],
-        championship_leader=F.array_join(F.sort_array(F.collect_list("driver_name")), ", "),
-    )
+    return joined_names(season_leaders(t), ["season"], "driver_name", "championship_leader")
 
 
 def leader_margin(t: Tables) -> DataFrame:
@@ -212,15 +228,6 @@ def season_points_per_start(t: Tables, by=("season", "driver_id")) -> DataFrame:
     return collapse(t("fct_driver_standings"), list(by), season_modern_points_per_start=rate)
 
 
-def age_record(t: Tables, milestone: str, youngest: bool) -> DataFrame:
-    """``name – 18y 228d`` of the record holder; equal ages share the cell."""
-    holders = extreme_rows(t("fct_driver_careers"), f"age_{milestone}_days", smallest=youngest)
-    text = F.concat("driver_name", F.lit(" – "), f"age_{milestone}")
-    return holders.join(names(t), "driver_id", "left").agg(
-        F.array_join(F.sort_array(F.collect_list(text)), ", ").alias("holder")
-    )
-
-
 AGE_RECORDS = {
     "Youngest Winner": ("first_win", True),
     "Oldest Winner": ("last_win", False),
@@ -231,6 +238,41 @@ AGE_RECORDS = {
 }
 
 
+def record_holders(t: Tables, cards=tuple(AGE_RECORDS)) -> DataFrame:
+    """Holders of the age records, a row each: ``card, days, age, driver_id, driver_name``; equal ages all hold it.
+
+    All records in one scan of the careers. Each task keeps what is best in it
+    before rows are compared across tasks, so only holders travel.
+    """
+    def entry(card: str) -> Column:
+        milestone, youngest = AGE_RECORDS[card]
+        days = F.col(f"age_{milestone}_days")
+        return F.struct(
+            F.lit(card).alias("card"), days.alias("days"), F.col(f"age_{milestone}").alias("age"),
+            (days if youngest else -days).alias("_order"))
+
+    entries = t("fct_driver_careers").select("driver_id", F.explode(F.array(*map(entry, cards))).alias("entry"))
+    best = Window.partitionBy("card").orderBy("_order")
+    first = entries.select("driver_id", "entry.*").where(F.col("days").isNotNull()).withColumn("_place", F.rank().over(best))
+    holders = first.where(F.col("_place") == 1).join(names(t), "driver_id", "left")
+    return holders.select("card", "days", "age", "driver_id", "driver_name")
+
+
+def age_records(t: Tables, cards=tuple(AGE_RECORDS)) -> DataFrame:
+    """Six cards, ``name – 18y 228d`` of the record holder; equal ages share the cell, nobody leaves it empty."""
+    holders = record_holders(t, cards)
+    text = F.concat("driver_name", F.lit(" – "), "age")
+    cells = joined_names(holders, ["card"], text, "holder")
+    listed = holders.sparkSession.createDataFrame([(card,) for card in cards], "card string")
+    return listed.join(cells, "card", "left").select("card", F.coalesce("holder", F.lit("")).alias("holder"))
+
+
+def age_record(t: Tables, milestone: str, youngest: bool) -> DataFrame:
+    """One of the cards."""
+    card = next(c for c, record in AGE_RECORDS.items() if record == (milestone, youngest))
+    return age_records(t, (card,)).select("holder")
+
+
 # Race weekend ------------------------------------------------------------------------
 def lap_position(t: Tables) -> DataFrame:
     """R31."""
@@ -244,15 +286,17 @@ def finish_position(t: Tables) -> DataFrame:
 
 def finish_rank(t: Tables) -> DataFrame:
     """Dense rank among the drivers of the race."""
-    return dense_rank_rows(finish_position(t), ["race_id"], "finish_position", "finish_rank").select(
+    return dense_rank_integers(finish_position(t), ["race_id"], "finish_position", "finish_rank").select(
         "race_id", "driver_id", "finish_rank"
     )
 
 
 def show_driver(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
     """1 for the first ``shown`` finishing ranks. An unknown rank counts as first, as a blank does."""
-    rank = F.coalesce("finish_rank", F.lit(0))
-    return finish_rank(t).select("race_id", "driver_id", F.when(rank <= shown, 1).otherwise(0).alias("show_driver"))
+    leading = leading_drivers(t, shown).select("race_id", "driver_id", F.lit(True).alias("_leading"))
+    show = F.col("_leading").isNotNull() | F.col("finish_position").isNull()
+    return finish_position(t).join(leading, ["race_id", "driver_id"], "left").select(
+        "race_id", "driver_id", show.cast("int").alias("show_driver"))
 
 
 def leading_drivers(t: Tables, shown: int = DRIVERS_SHOWN) -> DataFrame:
@@ -470,15 +514,3 @@ def streak_records(t: Tables, places: int = STREAK_PLACES) -> DataFrame:
         )
         .orderBy("streak_type", "streak_rank", "driver_name")
     )
-
-
-def age_records(t: Tables) -> DataFrame:
-    """Six cards."""
-    cards = [
-        age_record(t, milestone, youngest).select(F.lit(card).alias("card"), "holder")
-        for card, (milestone, youngest) in AGE_RECORDS.items()
-    ]
-    stacked = cards[0]
-    for card in cards[1:]:
-        stacked = stacked.unionByName(card)
-    return stacked

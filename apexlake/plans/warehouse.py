@@ -6,14 +6,16 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from apexlake.functions.exprs import season_of
+from apexlake.operators.joins import measured_side
 from apexlake.plans import checks
 from apexlake.plans import intermediate as I
 from apexlake.plans import marts as M
 from apexlake.plans.quality import DECLARED
-from apexlake.session import write_once
+from apexlake.session import new_folder, write_at, write_once
 from apexlake.sources import staging
 
 
@@ -28,7 +30,7 @@ class Rules:
 
 @dataclass
 class Warehouse:
-    """``raw`` maps endpoints to landed pages; ``colours`` is the team colour seed.
+    """``raw`` maps endpoints to landed pages, ``logs`` to their landings; ``colours`` is the team colour seed.
 
     ``model`` plans a table over its written inputs, ``table`` writes it on
     first use and reads it from then on. The result joins have several
@@ -40,6 +42,9 @@ class Warehouse:
     rules: Rules = field(default_factory=Rules)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     counted: dict[str, dict[str, int]] = field(default_factory=dict)
+    stored: dict[str, DataFrame] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
+    logs: dict[str, DataFrame] = field(default_factory=dict)
 
     def model(self, name: str) -> DataFrame:
         return MODELS[name](self)
@@ -50,21 +55,56 @@ class Warehouse:
         if name.startswith("raw_"):
             return self.raw[name.removeprefix("raw_")]
         if name not in self.tables:
-            partitions = ("season",) if name.startswith("stg_") else ()
-            # Staging needs no shuffle before the write: raw pages lie in season folders, so a
-            # task reads few seasons, and a large season is read by many tasks.
-            self.tables[name] = self._write(name, partitions)
+            self._write(name)
         return self.tables[name]
 
-    def _write(self, name: str, partitions: tuple[str, ...]) -> DataFrame:
-        """The model as a written table; what its checks need of the rows is counted as they are written."""
+    def _write(self, name: str) -> None:
+        """Write a model, staging and race facts by season; what its checks need of the rows is counted meanwhile.
+
+        Staging needs no shuffle before the write: raw pages lie in season folders, so a
+        task reads few seasons, and a large season is read by many tasks.
+        """
         model, counts = self.model(name), checks.measures(name, DECLARED)
-        if not counts:
-            return write_once(model, name, partitions)
         seen = Observation(f"{name}-{uuid.uuid4().hex}")
-        written = write_once(model.observe(seen, *[count.alias(label) for label, count in counts.items()]), name, partitions)
-        self.counted[name] = seen.get
-        return written
+        rows = model.observe(seen, *[count.alias(label) for label, count in counts.items()]) if counts else model
+        if name in RACE_FACTS:
+            rows = rows.withColumn("season", season_of())
+        by_season = name.startswith("stg_") or name in RACE_FACTS
+        self.paths[name] = new_folder(rows.sparkSession, name)
+        self.stored[name] = write_at(rows, self.paths[name], ("season",) if by_season else ())
+        if counts:
+            self.counted[name] = seen.get
+        self.tables[name] = self.stored[name].select(*model.columns)
+
+    def chosen(
+        self, season: int | None = None, race_id: int | None = None, races: DataFrame | None = None,
+    ) -> Callable[[str], DataFrame]:
+        """Tables of a season, of a race, or of the ``race_id`` rows of a frame: what a report page shows.
+
+        Race facts are stored by season, so only files of the seasons chosen are
+        read. Tables by season keep the seasons of the races; the others stay whole.
+        """
+        if races is not None:
+            picked = write_once(races.select("race_id").distinct(), "chosen-races")
+            seasons = [row["season"] for row in picked.select(season_of().alias("season")).distinct().collect()]  # years
+        else:
+            seasons = [season if race_id is None else race_id // 100]
+
+        def of(name: str) -> DataFrame:
+            rows, columns = self.table(name), self.table(name).columns
+            if name in RACE_FACTS:
+                rows = self.stored[name] if self.stored.get(name) is not None else rows.withColumn("season", season_of())
+            by_race = name in RACE_FACTS or name == "dim_race"
+            if not by_race and name not in SEASON_TABLES:
+                return rows
+            found = rows.where(F.col("season").isin(seasons))
+            if by_race and races is not None:
+                found = found.join(measured_side(picked), "race_id", "left_semi")
+            elif by_race and race_id is not None:
+                found = found.where(F.col("race_id") == race_id)
+            return found.select(*columns)
+
+        return of
 
     def figures(self, name: str) -> dict[str, int] | None:
         """What was counted while a table was written; None for a table that came from elsewhere."""
@@ -79,8 +119,32 @@ class Warehouse:
         """The same warehouse with some tables exchanged; what depends on them is planned anew."""
         stale = {n for t in tables for n in _consumers(t)}
         kept = {n: df for n, df in self.tables.items() if n not in stale}
-        counted = {n: c for n, c in self.counted.items() if n in kept and n not in tables}
-        return Warehouse(self.raw, tables.get("team_colours", self.colours), self.rules, {**kept, **tables}, counted)
+
+        def own(facts: dict) -> dict:
+            return {n: fact for n, fact in facts.items() if n in kept and n not in tables}
+
+        return Warehouse(
+            self.raw, tables.get("team_colours", self.colours), self.rules, {**kept, **tables}, own(self.counted),
+            own(self.stored), own(self.paths), self.logs)
+
+    def publish(self, database: str, names: list[str] | None = None) -> None:
+        """Enter written models in the catalogue where they lie, relations and columns with their descriptions.
+
+        Staging and intermediate tables are read in place; nothing is copied.
+        """
+        for name in names or MODELS:
+            self.table(name)
+            rows = self.stored[name]
+            columns = ", ".join(
+                f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{_quoted(COLUMN_DESCRIPTIONS[f.name])}'" if f.name in COLUMN_DESCRIPTIONS else "")
+                for f in rows.schema)
+            by_season = name.startswith("stg_") or name in RACE_FACTS
+            spark = rows.sparkSession
+            spark.sql(
+                f"CREATE TABLE {database}.{name} ({columns}) USING parquet {'PARTITIONED BY (season)' if by_season else ''} "
+                f"COMMENT '{_quoted(DESCRIPTIONS[name])}' LOCATION '{self.paths[name]}'")
+            if by_season:
+                spark.catalog.recoverPartitions(f"{database}.{name}")
 
     def register_views(self, names: list[str] | None = None) -> None:
         """Expose models as temporary views."""
@@ -92,8 +156,21 @@ class Warehouse:
         for name in MARTS:
             df = described(self.table(name), COLUMN_DESCRIPTIONS)
             df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-            described_as = DESCRIPTIONS[name].replace("\\", "\\\\").replace("'", "\\'")
-            df.sparkSession.sql(f"COMMENT ON TABLE {database}.{name} IS '{described_as}'")
+            df.sparkSession.sql(f"COMMENT ON TABLE {database}.{name} IS '{_quoted(DESCRIPTIONS[name])}'")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def catalogued(spark: SparkSession, database: str) -> list[tuple[str, str, str | None, str | None]]:
+    """Every column in a database as the catalogue has it: relation, its comment, column, its comment."""
+    found = []
+    for table in spark.catalog.listTables(database):
+        if not table.isTemporary:
+            columns = spark.catalog.listColumns(f"{database}.{table.name}")
+            found += [(table.name, table.description, c.name, c.description) for c in columns]
+    return found
 
 
 def described(df: DataFrame, comments: dict[str, str]) -> DataFrame:
@@ -138,6 +215,11 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fct_teammate_qualifying": lambda w: M.fct_teammate_qualifying(
         w.table("int_teammate_qualifying"), w.table("dim_driver")),
 }
+# Tables with a race key, stored by its season, and tables with one row or more a season.
+RACE_FACTS = (
+    "fct_race_results", "fct_points_by_round", "fct_qualifying", "fct_lap_positions", "fct_pit_stops", "fct_teammate_qualifying",
+)
+SEASON_TABLES = ("dim_season", "fct_driver_standings")
 MARTS = [name for name in MODELS if name.startswith(("dim_", "fct_"))]
 
 # Direct inputs of each model, used to know what to plan anew when one is exchanged.
@@ -169,6 +251,19 @@ def _consumers(name: str) -> set[str]:
 
 
 DESCRIPTIONS = {
+    "stg_races": "One row per race on the calendar, as published.",
+    "stg_results": "One row per driver, car and race, as published.",
+    "stg_qualifying": "One row per driver and qualifying session.",
+    "stg_drivers": "One row per driver and season entered.",
+    "stg_driver_standings": "One row per driver in the final standings of a season.",
+    "stg_constructor_standings": "One row per team in the final standings of a season.",
+    "stg_laps": "One row per driver and lap.",
+    "stg_pit_stops": "One row per pit stop, as published.",
+    "stg_sprint_results": "One row per driver and sprint.",
+    "int_results_qualifying": "Race results beside qualifying: one row per driver, car and race.",
+    "int_driver_form": "One row per driver and race with points to date and over five races.",
+    "int_driver_race": "One row per driver and race, cars taken together, with era-neutral points.",
+    "int_teammate_qualifying": "One row per driver, race and teammate in teams of two.",
     "dim_season": "One row per season: races and sprints scheduled and run, title margin.",
     "dim_race": "One row per race on the calendar, run or not.",
     "dim_driver": "One row per driver with the latest known attributes.",
@@ -185,6 +280,19 @@ DESCRIPTIONS = {
 }
 
 COLUMN_DESCRIPTIONS = {
+    "stg_races": "One row per race on the calendar, as published.",
+    "stg_results": "One row per driver, car and race, as published.",
+    "stg_qualifying": "One row per driver and qualifying session.",
+    "stg_drivers": "One row per driver and season entered.",
+    "stg_driver_standings": "One row per driver in the final standings of a season.",
+    "stg_constructor_standings": "One row per team in the final standings of a season.",
+    "stg_laps": "One row per driver and lap.",
+    "stg_pit_stops": "One row per pit stop, as published.",
+    "stg_sprint_results": "One row per driver and sprint.",
+    "int_results_qualifying": "Race results beside qualifying: one row per driver, car and race.",
+    "int_driver_form": "One row per driver and race with points to date and over five races.",
+    "int_driver_race": "One row per driver and race, cars taken together, with era-neutral points.",
+    "int_teammate_qualifying": "One row per driver, race and teammate in teams of two.",
     "race_id": "season * 100 + round",
     "car_number": "Number the car raced under; a driver can have two in one race.",
     "was_classified": "The result text is a number; a retirement keeps a numeric finish position.",

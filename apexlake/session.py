@@ -93,16 +93,24 @@ def claim(spark: SparkSession, name: str) -> bool:
     return not store.exists(path) and store.createNewFile(path)
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own under the shared one."""
+    return f"{shared_folder(spark)}/written/{label}-{uuid.uuid4().hex}"
+
+
+def write_at(df: DataFrame, folder: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to a folder and read it back."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)
+
+
 def write_once(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
     Cuts the lineage with files that outlive an executor, and gives the reader
     real file sizes, which is what Spark's broadcast threshold checks.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/written/{label}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return write_at(df, new_folder(df.sparkSession, label), partition_by)

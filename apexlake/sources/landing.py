@@ -117,6 +117,7 @@ class RawTable:
         return T.StructType([
             *self._scope_fields, T.StructField("load_id", T.StringType()), T.StructField("at", T.TimestampType()),
             T.StructField("upto", T.LongType()), T.StructField("delivery", T.StringType()),
+            T.StructField("ingested_at", T.TimestampType()),
         ])
 
     def replace(
@@ -153,7 +154,7 @@ class RawTable:
         )
         line = wanted.select(
             *self.scope, F.lit(load_id).alias("load_id"), F.lit(self._now()).alias("at"), F.lit(upto).cast("bigint").alias("upto"),
-            F.lit(delivery.name if delivery else None).cast("string").alias("delivery"))
+            F.lit(delivery.name if delivery else None).cast("string").alias("delivery"), at.alias("ingested_at"))
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/loads")
 
     def _now(self):
@@ -238,6 +239,10 @@ class RawTable:
         log = read_if_there(self.spark, self._log, f"{self.path}/loads")
         return log if log is not None else self.spark.createDataFrame([], self._log)
 
+    def landings(self) -> DataFrame:
+        """When which scopes were landed: a line per scope and load, without touching a page."""
+        return self._lines().select(*self.scope, "load_id", "ingested_at")
+
     def loads(self) -> DataFrame:
         """The load each scope currently shows."""
         return self._lines().groupBy(*self.scope).agg(F.max_by("load_id", F.struct("at", "load_id")).alias("load_id"))

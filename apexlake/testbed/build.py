@@ -22,6 +22,8 @@ RULES = Rules(
     projection.FIRST_KNOCKOUT_SEASON,
 )
 LANDED_AT = "2001-09-01 06:00:00"
+# Endpoints landed at another time.
+LANDED_ALSO = {"sprint": "2001-09-15 06:00:00", "qualifying": "2001-09-12 18:30:00", "laps": "2001-08-10 06:00:00", "pit_stops": "2001-08-05 12:00:00"}
 _built: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -34,7 +36,8 @@ def land_pages(spark: SparkSession, folder: str) -> dict[str, RawTable]:
     def land(endpoint: str, rows: Callable[[], DataFrame]) -> RawTable:
         table = RawTable(spark, f"{root}/{endpoint}", per_race=endpoint in PER_RACE)
         fetched = pages(rows(), endpoint)
-        table.replace(fetched, requested, load_id="first", ingested_at=F.lit(LANDED_AT).cast("timestamp"))
+        at = F.lit(LANDED_ALSO.get(endpoint, LANDED_AT)).cast("timestamp")
+        table.replace(fetched, requested, load_id="first", ingested_at=at)
         return table
 
     # The endpoints are independent, so their jobs are submitted side by side.
@@ -48,6 +51,8 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     configure(spark)
     key = (spark.sparkContext.applicationId, folder)
     if key not in _built:
-        raw = {endpoint: table.read() for endpoint, table in land_pages(spark, folder).items()}
-        _built[key] = Warehouse(raw, packaged_team_colours(spark), RULES)
+        landed = land_pages(spark, folder)
+        raw = {endpoint: table.read() for endpoint, table in landed.items()}
+        logs = {endpoint: table.landings() for endpoint, table in landed.items()}
+        _built[key] = Warehouse(raw, packaged_team_colours(spark), RULES, logs=logs)
     return _built[key]

@@ -157,7 +157,7 @@ LEFT JOIN (SELECT season, driver_id, count(*) FILTER (pole) AS p, sum(modern_poi
            GROUP BY ALL) USING (season, driver_id)
 WHERE s.poles <> ifnull(p, 0) OR s.modern_points <> ifnull(m, 0)""",
     "A23": """
-SELECT constructor_id, team_colour FROM dim_constructor WHERE NOT regexp_full_match(team_colour, '#[0-9A-F]{6}')""",
+SELECT constructor_id, team_colour FROM seed_rows WHERE NOT regexp_full_match(team_colour, '#[0-9A-F]{6}')""",
     "A24": """
 SELECT p.season, p.round, p.driver_id, p.teammate_id, session_compared,
        a.q1_seconds + b.q1_seconds IS NOT NULL AS both_q1, a.q2_seconds + b.q2_seconds IS NOT NULL AS both_q2,
@@ -234,7 +234,7 @@ DAMAGE = {
     "A20": Damage("fct_qualifying", {"gap_seconds": "gap_seconds - 1"}),
     "A21": Damage("fct_qualifying", where="qualifying_position > 1 OR race_id % 3 = 0"),
     "A22": Damage("fct_driver_standings", {"poles": "CASE WHEN poles > 0 THEN poles + 1 ELSE poles END"}),
-    "A23": Damage("dim_constructor", {"team_colour": "lower(team_colour)"}),
+    "A23": Damage("seed_rows", {"team_colour": "lower(team_colour)"}),
     "A24": Damage("int_teammate_qualifying", {"session_compared": "'Q1'"}),
     "A25": Damage("int_teammate_qualifying", where="qualifying_position > 20"),
     "A26": Damage("int_teammate_qualifying",

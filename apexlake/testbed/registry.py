@@ -9,13 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apexlake.functions.exprs import DEFAULT_TEAM_COLOUR, DEFAULT_TEXT_COLOUR
+from apexlake.functions.exprs import DEFAULT_TEAM_COLOUR, DEFAULT_TEXT_COLOUR, season_of
 from apexlake.plans import checks, report
 from apexlake.plans.assertions import ASSERTIONS, colours_are_hex
 from apexlake.plans.quality import DECLARED
 from apexlake.plans.warehouse import MODELS, Warehouse
-from apexlake.testbed import landing_queries, oracle
-from apexlake.testbed.build import LANDED_AT, warehouse
+from apexlake.testbed import catalogue, landing_queries, oracle, seeds
+from apexlake.testbed.build import LANDED_ALSO, LANDED_AT, warehouse
 from apexlake.testbed.oracle_checks import (
     ASSERTION_SQL, DAMAGE, accepted_sql, combination_sql, damaged_sql, not_null_sql, relationship_sql, union, unique_sql,
 )
@@ -39,12 +39,17 @@ def register(name: str, plan: Callable[[Warehouse], DataFrame], sql: str | None)
 for _model in MODELS:
     register(_model, lambda w, m=_model: w.model(m), f"SELECT * FROM {_model}")
 
+def _table(w: Warehouse) -> Callable[[str], DataFrame]:
+    """Tables by name; the seed of colours is the file made from the teams of the test tables."""
+    return lambda name: seeds.seed(w)[0] if name == "seed_rows" else w.table(name)
+
+
 # Assertions: on the tables as they are, and on a damaged table, where each must report rows.
 def _damaged(name: str) -> Callable[[Warehouse], DataFrame]:
     damage, (check, _) = DAMAGE[name], ASSERTIONS[name]
 
     def plan(w: Warehouse) -> DataFrame:
-        broken = damage.spark(w.table(damage.table))
+        broken = damage.spark(_table(w)(damage.table))
         if name == "A23":
             return colours_are_hex(broken)
         return check(lambda table: broken if table == damage.table else w.table(table))
@@ -53,8 +58,7 @@ def _damaged(name: str) -> Callable[[Warehouse], DataFrame]:
 
 
 for _name, (_check, _severity) in ASSERTIONS.items():
-    # The seed is a fixed list; over the test tables its check reads the colours of the teams in them.
-    _clean = (lambda w: colours_are_hex(w.table("dim_constructor"))) if _name == "A23" else (
+    _clean = (lambda w: colours_are_hex(_table(w)("seed_rows"))) if _name == "A23" else (
         lambda w, c=_check: c(w.table))
     register(f"check_{_name}", _clean, ASSERTION_SQL[_name])
     register(f"check_{_name}_damaged", _damaged(_name), damaged_sql(_name))
@@ -77,9 +81,8 @@ register(
     "SELECT * FROM (" + union([line for _, sql in _DECLARED.values() for line in sql()])
     + ") WHERE severity = 'error' AND violations > 0",
 )
-# A23 reads the colours of the teams in the test tables, as above.
-_OVER_TABLES = {**ASSERTIONS, "A23": (lambda table: colours_are_hex(table("dim_constructor")), ASSERTIONS["A23"][1])}
-register("dq_assertions", lambda w: checks.assertion_report(w.table, _OVER_TABLES), union([
+_OVER_TABLES = {**ASSERTIONS, "A23": (lambda table: colours_are_hex(table("seed_rows")), ASSERTIONS["A23"][1])}
+register("dq_assertions", lambda w: checks.assertion_report(_table(w), _OVER_TABLES), union([
     f"SELECT 'all' AS \"table\", 'assertion' AS check_name, '{name}' AS target, '{severity}' AS severity, "
     f"(SELECT count(*) FROM ({ASSERTION_SQL[name]})) AS violations" for name, (_, severity) in _OVER_TABLES.items()
 ]))
@@ -88,17 +91,18 @@ register("dq_assertions", lambda w: checks.assertion_report(w.table, _OVER_TABLE
 def _freshness(w: Warehouse) -> DataFrame:
     now = F.lit(CHECKED_AT).cast("timestamp")
     return reduce(DataFrame.unionByName, [
-        checks.freshness(pages, now).select(F.lit(endpoint).alias("endpoint"), "newest", "status")
-        for endpoint, pages in w.raw.items()
+        checks.freshness(landings, now).select(F.lit(endpoint).alias("endpoint"), "newest", "status")
+        for endpoint, landings in w.logs.items()
     ])
 
 
 CHECKED_AT = "2001-09-20 06:00:00"
+_STAMPS = ", ".join(f"('{endpoint}', TIMESTAMP '{at}')" for endpoint, at in LANDED_ALSO.items())
 register("dq_freshness", _freshness, f"""
-SELECT unnest(['races', 'results', 'qualifying', 'drivers', 'driver_standings', 'constructor_standings', 'sprint',
-               'laps', 'pit_stops']) AS endpoint, TIMESTAMP '{LANDED_AT}' AS newest,
-       CASE WHEN TIMESTAMP '{CHECKED_AT}' - TIMESTAMP '{LANDED_AT}' > INTERVAL 30 DAY THEN 'error'
-            WHEN TIMESTAMP '{CHECKED_AT}' - TIMESTAMP '{LANDED_AT}' > INTERVAL 10 DAY THEN 'warn' ELSE 'pass' END AS status""")
+SELECT endpoint, newest, CASE WHEN TIMESTAMP '{CHECKED_AT}' - newest > INTERVAL 30 DAY THEN 'error'
+                              WHEN TIMESTAMP '{CHECKED_AT}' - newest > INTERVAL 10 DAY THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT endpoint, max(coalesce(stamp, TIMESTAMP '{LANDED_AT}')) AS newest
+      FROM land_pages LEFT JOIN (VALUES {_STAMPS}) AS s(endpoint, stamp) USING (endpoint) GROUP BY endpoint)""")
 
 # Report measures and pages.
 _MEASURES: dict[str, Callable[..., DataFrame]] = {
@@ -162,6 +166,31 @@ for _name, _measure in _MEASURES.items():
 for _name, _view in _VIEWS.items():
     register(f"view_{_name}", lambda w, f=_view: f(w.table), VIEW_SQL[_name])
 
-# Landing.
-for _name, (_plan, _statement) in landing_queries.QUERIES.items():
+# Pages of what a reader has chosen: the last race run, and its season. Facts are pruned to the files of its season.
+def _last_race(w: Warehouse) -> DataFrame:
+    return w.table("dim_race").where("has_results").agg(F.max("race_id").alias("race_id"))
+
+
+def _last_season(w: Warehouse) -> DataFrame:
+    return w.table("dim_race").join(_last_race(w).select(season_of().alias("season")), "season", "left_semi").select("race_id")
+
+
+_LAST = "(SELECT max(race_id) FROM dim_race WHERE has_results)"
+for _name in ("V04", "V05", "V06", "V07", "V08", "V09"):
+    register(f"race_page_{_name}", lambda w, f=_VIEWS[_name]: f(w.chosen(races=_last_race(w))),
+             f"SELECT * FROM ({VIEW_SQL[_name]}) WHERE race_id = {_LAST}")
+for _name in ("V01", "V02", "V03", "V10", "V13"):
+    register(f"season_page_{_name}", lambda w, f=_VIEWS[_name]: f(w.chosen(races=_last_season(w))),
+             f"SELECT * FROM ({VIEW_SQL[_name]}) WHERE season = {_LAST} // 100")
+# The rows behind cells that several may share.
+register("rows_season_leaders", lambda w: report.season_leaders(w.table),
+         "SELECT season, driver_id, driver_name, pts AS championship_points FROM rep_season_points WHERE place = 1")
+register("rows_record_holders", lambda w: report.record_holders(w.table), " UNION ALL ".join(f"""
+SELECT '{card}' AS card, age_{m}_days AS days, age_{m} AS age, driver_id, driver_name
+FROM fct_driver_careers LEFT JOIN rep_named USING (driver_id)
+WHERE age_{m}_days = (SELECT {'min' if youngest else 'max'}(age_{m}_days) FROM fct_driver_careers)"""
+    for card, (m, youngest) in report.AGE_RECORDS.items()))
+
+# Landing, the seed and the catalogue.
+for _name, (_plan, _statement) in {**landing_queries.QUERIES, **seeds.QUERIES, **catalogue.QUERIES}.items():
     register(_name, _plan, _statement)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from apexlake.plans import checks
 from apexlake.plans.assertions import colours_are_hex, durations_read_back
-from apexlake.plans.warehouse import COLUMN_DESCRIPTIONS, DESCRIPTIONS, MARTS, described
+from apexlake.plans.warehouse import COLUMN_DESCRIPTIONS, DESCRIPTIONS, MARTS, MODELS, catalogued, described
 from apexlake.sources.seed import packaged_team_colours
 
 from conftest import rows
@@ -98,7 +98,7 @@ def test_durations_read_back(spark):
 
 
 def test_descriptions_travel_with_saved_tables(spark, tmp_path):
-    assert set(DESCRIPTIONS) == set(MARTS)
+    assert set(DESCRIPTIONS) == set(MODELS)
     assert not any("'" in text for text in [*DESCRIPTIONS.values(), *COLUMN_DESCRIPTIONS.values()])
     frame = described(spark.createDataFrame([(202401, "x")], "race_id int, other string"), COLUMN_DESCRIPTIONS)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS saved LOCATION '{tmp_path}/saved.db'")
@@ -122,6 +122,21 @@ def test_views_and_marts_can_be_published(spark, tmp_path):
     spark.sql("DROP DATABASE marts CASCADE")
 
 
+def test_staging_is_published_where_it_lies(spark, tmp_path):
+    from apexlake.testbed.build import warehouse
+
+    lake = warehouse(spark, "/root/testdata/sf0.001")
+    spark.sql(f"CREATE DATABASE staged LOCATION '{tmp_path}/staged.db'")
+    lake.publish("staged", ["stg_laps", "int_driver_race", "fct_qualifying"])
+    for name in ("stg_laps", "int_driver_race", "fct_qualifying"):
+        assert spark.table(f"staged.{name}").count() == lake.table(name).count()
+        assert spark.table(f"staged.{name}").inputFiles()[0].split("file:")[-1].lstrip("/").startswith(lake.paths[name].split("file:")[-1].lstrip("/"))
+    listed = {(r, c): (about, text) for r, about, c, text in catalogued(spark, "staged")}
+    assert listed["fct_qualifying", "race_id"] == (DESCRIPTIONS["fct_qualifying"], COLUMN_DESCRIPTIONS["race_id"])
+    assert listed["stg_laps", "driver_id"] == (DESCRIPTIONS["stg_laps"], None)
+    spark.sql("DROP DATABASE staged CASCADE")
+
+
 def test_rows_are_counted_as_tables_are_written(spark):
     from apexlake.plans.quality import DECLARED
     from apexlake.testbed.build import warehouse

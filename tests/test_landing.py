@@ -9,8 +9,8 @@ from apexlake.sources import landing, planning
 from apexlake.sources.landing import RawTable
 from apexlake.sources.planning import LoadState
 from apexlake.sources.runs import land
-from apexlake.sources.schemas import LOAD_STATE
-from apexlake.sources.seed import packaged_team_colours, read_team_colours, team_colour_rows
+from apexlake.sources.schemas import LOAD_STATE, TEAM_COLOURS
+from apexlake.sources.seed import keep_odd_lines, packaged_team_colours, read_team_colours, seed_lines, team_colour_rows
 from apexlake.streaming.landing import incoming_schema, land_new_files
 
 from conftest import rows
@@ -236,6 +236,12 @@ def test_seed(spark, tmp_path):
     path = tmp_path / "colours.csv"
     path.write_text("constructor_id,team_colour,text_colour\nferrari,#E8002D,#FFFFFF\n", "utf-8")
     assert rows(read_team_colours(spark, str(path))) == {("ferrari", "#E8002D", "#FFFFFF")}
+    path.write_text("constructor_id,team_colour,text_colour\na,#000001,#FFFFFF\nb,#000002\nc,#000003,#FFFFFF,more\nd,,#FFFFFF\n", "utf-8")
+    good, odd = seed_lines(spark, str(path), TEAM_COLOURS)
+    assert rows(good) == {("a", "#000001", "#FFFFFF")}
+    assert rows(odd) == {("b,#000002",), ("c,#000003,#FFFFFF,more",), ("d,,#FFFFFF",)}
+    for kept in (1, 2):
+        assert keep_odd_lines(odd, str(tmp_path / "odd")).count() == 3 * kept
 
 
 def test_stream_lands_each_file_once(spark, tmp_path):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from apexlake.operators import joins
 from apexlake.operators.grouping import accumulate, directed_pairs, latest_attributes
-from apexlake.operators.ranking import dense_rank_rows, extreme_rows, number_rows, rank_by_histogram, top_ranked
+from apexlake.operators.ranking import dense_rank_integers, dense_rank_rows, extreme_rows, number_rows, rank_by_histogram, top_ranked
 from apexlake.operators.sequences import islands
 
 from conftest import rows
@@ -105,3 +105,20 @@ def test_islands_number_runs_per_flag(spark):
     runs = islands(frame, "driver", ["n"], {"win": "won", "none": "never"}, keep=["n"])
     lengths = runs.groupBy("run_type", "run").agg(F.count("*").alias("c"), F.max("is_newest").alias("open"))
     assert rows(lengths) == {("win", 0, 2, False), ("win", 1, 1, True)}
+
+
+def test_dense_rank_of_integers(spark, tmp_path, monkeypatch):
+    """As the window gives it, over several blocks, with nulls and negative numbers, and without a written copy."""
+    from apexlake import session
+    from apexlake.operators import ranking
+
+    monkeypatch.setattr(ranking, "BLOCK", 10)
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    frame = spark.range(400).select(
+        (F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 > 0, F.pmod(F.col("id") * 37, F.lit(91)) - 30).cast("int").alias("v"), "id")
+    order = Window.partitionBy("g").orderBy("v")
+    expected = frame.where("v IS NOT NULL").withColumn("r", F.dense_rank().over(order)).unionByName(
+        frame.where("v IS NULL").withColumn("r", F.lit(None).cast("int")))
+    columns = ["g", "v", "id", "r"]
+    assert rows(dense_rank_integers(frame, ["g"], "v", "r").select(*columns)) == rows(expected.select(*columns))
+    assert not list(tmp_path.iterdir())

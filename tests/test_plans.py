@@ -2,6 +2,7 @@
 
 import re
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from apexlake.operators import joins
 from apexlake.plans import report
 from apexlake.plans.assertions import ASSERTIONS
-from apexlake.plans.warehouse import MODELS
+from apexlake.plans.warehouse import MODELS, RACE_FACTS
+from apexlake.session import shared_folder
 from apexlake.testbed.build import warehouse
 
 
@@ -115,3 +117,34 @@ def test_declared_checks_scan_little(lake):
     tables = {t for child, _, parent in DECLARED.relationships for t in (child, parent)} - {"team_colours"}
     assert plan.count("FileScan") == len(tables)
     assert [e.rsplit(", ", 1)[0] for e in exchanges(plan)] == ["parent", "parent, key"]
+
+
+def test_a_page_of_one_race_reads_one_season(lake):
+    season, races = 1999, lake.table("dim_race").where("has_results").groupBy().agg(F.max("race_id").alias("race_id"))
+    last = races.first().race_id
+    for name in RACE_FACTS:
+        one = lake.chosen(race_id=season * 100 + 3)(name)
+        assert one.columns == lake.table(name).columns
+        for pruned, year in ((one, 1999), (lake.chosen(season=season)(name), 1999), (lake.chosen(races=races)(name), last // 100)):
+            assert re.search(rf"PartitionFilters: \[[^\]]*season#\d+ = {year}\)", physical(pruned)), physical(pruned)
+        assert one.isEmpty() or "season=1999" in one.select(F.input_file_name()).first()[0]
+        expected = lake.table(name).where(F.col("race_id") == season * 100 + 3)
+        assert one.exceptAll(expected).isEmpty() and expected.exceptAll(one).isEmpty()
+    assert lake.chosen(season=season)("dim_driver") is lake.table("dim_driver")
+    assert {r.season for r in lake.chosen(season=season)("fct_driver_standings").select("season").collect()} == {season}
+
+
+def test_records_take_one_scan_and_ranks_write_nothing(lake):
+    plan = physical(report.record_holders(lake.table))
+    assert plan.count("FileScan") == 2 and plan.count("WindowGroupLimit") == 2  # careers and names
+    before = set(Path(shared_folder(lake.colours.sparkSession), "written").iterdir())
+    report.finish_rank(lake.table).count()
+    assert set(Path(shared_folder(lake.colours.sparkSession), "written").iterdir()) == before
+
+
+def test_freshness_reads_the_log_only(lake):
+    from apexlake.plans.checks import freshness
+
+    for log in lake.logs.values():
+        read = freshness(log, F.current_timestamp())
+        assert all("/loads/" in f for f in read.inputFiles())
