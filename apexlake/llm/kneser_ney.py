@@ -56,6 +56,16 @@ END = np.uint64(0x9D5C0FB2E1A3C477)  # fixed value: the hash of the end token
 _K = np.uint64(0xD6E8FEB86659FD93)
 
 
+MOST_WORDS = (1 << 32) - 16  # distinct words: their ids, and some of the model's own, have 32 bits
+
+
+def checked_words(count: int) -> int:
+    """The number of distinct words, if ids can tell them apart: beyond that scores would be wrong without a sign."""
+    if count > MOST_WORDS:
+        raise OverflowError(f"{count} distinct words, but word ids have 32 bits: train on fewer texts or cut rare words first")
+    return count
+
+
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64))
 
@@ -482,7 +492,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     for shard in range(model.n_shards):
         row = found.get(shard)
         model.words.append(list(row["paths"]) if row else [save(folder, "words", np.zeros(0, np.uint64)), save(folder, "counts", np.zeros(0, np.uint8))])
-        model.first_id.append(model.first_id[-1] + (row["n"] if row else 0))
+        model.first_id.append(checked_words(model.first_id[-1] + (row["n"] if row else 0)))
         model.train_tokens += row["total"] if row else 0
 
     def merged(chunks: DataFrame, merge, label: str) -> tuple[DataFrame, dict, np.ndarray]:

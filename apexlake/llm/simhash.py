@@ -202,13 +202,14 @@ def link_fingerprints(prints: DataFrame, max_bits: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(rows, classes)``: every row's ``doc_id, text_hash, fp``, and ``fp, component_id`` for every fingerprint.
+    """``(rows, classes)``: every row's ``doc_id, text_hash, fp``, and ``fp, root, component_id`` for every fingerprint.
 
     Texts become fingerprints in one pass over the documents, without a
     shuffle; from then on only fingerprints move. ``component_id`` is the
     smallest id reachable over links, its own included; null if no row of the
     component has an id. Repeated rows have equal fingerprints and so share a
-    component. Null and wordless texts have fingerprint 0, linked like any
+    component; ``root`` is a fingerprint of the component and tells components
+    apart also where unrelated texts have one id. Null and wordless texts have fingerprint 0, linked like any
     other. Other columns of ``docs`` are not read. An empty table gives none.
     """
 
@@ -224,7 +225,7 @@ def near_duplicates(
         first.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed")
     # Written, so that both sides of the join come straight from a shuffle and AQE can split a large component.
     smallest = write_once(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
-    return rows, write_once(placed.join(smallest, "root").select("fp", "component_id"), "classes")
+    return rows, write_once(placed.join(smallest, "root").select("fp", "root", "component_id"), "classes")
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
@@ -237,8 +238,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows, classes = near_duplicates(docs, doc_id, text, shingle, max_bits)
     placed = rows.join(classes, "fp")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    kept = placed.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_part")).agg(
-        F.min(order).alias("_row")).select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text_hash").alias("text_hash"))
+    kept = placed.groupBy("root").agg(F.min(order).alias("_row")).select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text_hash").alias("text_hash"))
     counted = write_once(rows.join(kept, F.expr("true") & rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["text_hash"] == kept["text_hash"]))
                          .groupBy(kept["doc_id"], kept["text_hash"]).agg(F.count("*").alias("n")), "kept")
     same = F.xxhash64(docs[text]) == counted["text_hash"]

@@ -140,6 +140,12 @@ def test_representatives_with_clashing_names(spark):
     assert sorted(tuple(r) for r in simhash.representatives(clashing).collect()) == [(1, "a b c d e f", 5, 6, 7), (2, "u v w x y z", 8, 9, 9)]
 
 
+def test_unrelated_texts_under_one_id_are_both_kept(spark):
+    one, two = prose(60, 81), prose(60, 82)
+    docs = spark.createDataFrame([(1, one), (1, two), (2, one), (3, two), (3, two)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in simhash.representatives(docs).collect()) == sorted([(1, one), (1, two)])
+
+
 def test_one_row_of_each_group_stays(docs):
     rows, classes = simhash.near_duplicates(docs)
     kept = simhash.representatives(docs)
@@ -314,6 +320,14 @@ def test_neighbouring_licenses_are_told_apart(spark):
     assert {text: [r["license"] for r in rows if r["doc_id"] == i] for i, text in enumerate(lines)} == lines
 
 
+# Word ids of the language model
+
+def test_word_ids_that_would_overflow_raise():
+    assert kneser_ney.checked_words(4_000_000_000) == 4_000_000_000
+    with pytest.raises(OverflowError, match="32 bits"):
+        kneser_ney.checked_words(1 << 32)
+
+
 # Passages
 
 def test_shared_passages(docs, empty):
