@@ -35,7 +35,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], out: str)
     same = F.col("_part") == F.col("_p")
     for column in group:
         same = same & F.col(column).eqNullSafe(F.col(f"_g_{column}"))
-    return placed.join(starts, same).select(*df.columns, (F.col("_seq") + F.col("_shift")).cast("int").alias(out))
+    return placed.join(starts, same).select(*df.columns, (F.col("_seq") + F.col("_shift")).alias(out))
 
 
 def number_across(df: DataFrame, group: list[str], level: str, place: str, out: str) -> DataFrame:
@@ -48,7 +48,7 @@ def number_across(df: DataFrame, group: list[str], level: str, place: str, out:
     earlier = Window.partitionBy(*group).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*group, level, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     numbered = df.join(starts, [*group, level])
-    return numbered.withColumn(out, (F.col("_start") + F.col(place)).cast("int")).drop("_start")
+    return numbered.withColumn(out, F.col("_start") + F.col(place)).drop("_start")
 
 
 def dense_rank_rows(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:

@@ -82,7 +82,7 @@ SELECT season, round, 'Grand Prix of ' || n_name AS race_name, day AS race_date,
        'https://example.org/' || season || '/' || round AS wikipedia_url
 FROM places"""
 PARTS["stg_results"] = f"""
-WITH lines AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL)
+WITH lines AS (SELECT okey AS l_orderkey, max(lap) AS n FROM driven GROUP BY ALL)
 SELECT season, round, 'd' || ckey AS driver_id, {team_id()} AS constructor_id, {team_name()} AS constructor_name,
        {team_nation()} AS constructor_nationality, okey::INT AS car_number,
        CASE WHEN okey % 20 = 0 THEN 0 WHEN okey % 50 <> 7 THEN slot END::INT AS grid_position,
@@ -173,9 +173,9 @@ FROM placed JOIN finals USING (season)"""
 PARTS["driven"] = """
 SELECT *, row_number() OVER (PARTITION BY season, round, lap ORDER BY l_extendedprice DESC, okey)::INT AS place
 FROM (SELECT season, round, ckey, okey, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_returnflag,
-             row_number() OVER (PARTITION BY okey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-               l_quantity, l_returnflag)::INT AS lap
-      FROM lineitem JOIN first_cars ON l_orderkey = okey)"""
+             row_number() OVER (PARTITION BY season, round, ckey ORDER BY okey, l_linenumber, l_partkey, l_suppkey,
+               l_extendedprice, l_quantity, l_returnflag)::INT AS lap
+      FROM lineitem JOIN src ON l_orderkey = okey)"""
 LAP_MS = "80000 + (l_partkey * 31 + l_suppkey) % 20000"
 PARTS["stg_laps"] = f"""
 SELECT season, round, lap, 'd' || ckey AS driver_id, CASE WHEN l_partkey % 500 <> 0 THEN place END AS position,
@@ -183,7 +183,7 @@ SELECT season, round, lap, 'd' || ckey AS driver_id, CASE WHEN l_partkey % 500 <
        CASE WHEN l_partkey % 333 <> 0 THEN {clock_seconds(LAP_MS)} END AS lap_time_seconds
 FROM driven"""
 PARTS["stg_pit_stops"] = f"""
-SELECT season, round, 'd' || ckey AS driver_id, row_number() OVER (PARTITION BY okey ORDER BY lap)::INT AS stop_number,
+SELECT season, round, 'd' || ckey AS driver_id, row_number() OVER (PARTITION BY season, round, ckey ORDER BY lap)::INT AS stop_number,
        lap, printf('14:%02d:%02d', lap % 60, l_suppkey % 60) AS time_of_day,
        CASE WHEN ms >= 60000 THEN {clock('ms')} ELSE printf('%d.%03d', ms // 1000, ms % 1000) END AS duration,
        {clock_seconds('ms')} AS duration_seconds

@@ -2,7 +2,7 @@
 
 The provided tables hold orders, not races, so this maps them: an order is a
 car in a race (its month), the customer is the driver, twelve neighbouring
-customers form a team, the lines of a driver's first order are their laps. The
+customers form a team, the lines of a driver's orders in a race are their laps. The
 values are chosen so that every branch of the models has rows: shared drives,
 retirements, pit-lane starts, missing times, dropped scores, sprints without a
 race, seasons still running. ``oracle.py`` states the same mapping in SQL.
@@ -115,7 +115,7 @@ class Projection:
         cars, sprints, laps = [part.result() for part in shared]
         return {
             "races": self.race_rows,
-            "results": lambda: self.result_rows(cars),
+            "results": lambda: self.result_rows(cars, laps),
             "qualifying": self.qualifying_rows,
             "drivers": self.driver_rows,
             "driver_standings": lambda: self.driver_standing_rows(cars, sprints),
@@ -162,8 +162,8 @@ class Projection:
         )
         return calendar.join(nations, "nk").select("season", "round", item.alias("item"))
 
-    def result_rows(self, cars: DataFrame) -> DataFrame:
-        lines = self.source("lineitem").groupBy(F.col("l_orderkey").alias("okey")).agg(F.count("*").alias("lines"))
+    def result_rows(self, cars: DataFrame, laps: DataFrame) -> DataFrame:
+        lines = laps.groupBy("okey").agg(F.max("lap").alias("lines"))
         okey, finish, slot = F.col("okey"), F.col("finish"), F.col("slot")
         classified = F.col("st") != "P"
         grid = F.when(okey % 20 == 0, 0).when(okey % 50 != 7, slot)
@@ -311,7 +311,8 @@ class Projection:
             "l_quantity", "l_returnflag",
         )
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"]
-        driven = number_rows(lines.join(self.first_cars(), "okey"), ["okey"], [F.col(c) for c in order], "lap")
+        entered = lines.join(self.orders().select(*RACE, "ckey", "okey"), "okey")
+        driven = number_rows(entered, [*RACE, "ckey"], [F.col(c) for c in ("okey", *order)], "lap")
         placed = number_rows(
             driven, [*RACE, "lap"], [F.col("l_extendedprice").desc(), F.col("okey")], "place"
         )
@@ -328,7 +329,7 @@ class Projection:
         return laps.select(*RACE, "lap", "place", item.alias("item"))
 
     def pit_rows(self, laps: DataFrame) -> DataFrame:
-        stops = number_rows(laps.where(F.col("l_returnflag") == "R"), ["okey"], [F.col("lap")], "stop")
+        stops = number_rows(laps.where(F.col("l_returnflag") == "R"), [*RACE, "ckey"], [F.col("lap")], "stop")
         ms = 20000 + (F.col("l_quantity") * 1000).cast("long") + F.col("l_suppkey") % 1000
         bare = F.format_string("%d.%03d", _whole(ms, 1000), ms % 1000)
         item = F.struct(
