@@ -6,8 +6,10 @@ every text is looked up in it. Hits of a template on neighbouring diagonals are
 one candidate; the template's words are aligned with the words there inside a
 band around those diagonals. Reported are the share of the template's words
 found in order (of the text's words there, if these are more), and where they
-stand in the text. In a template under ``SHORT`` words the words that tell
-licenses apart (names, versions, NC, SA, ND) must be the text's, no other.
+stand in the text. Words that tell licenses apart must be the text's, no other:
+versions and words like lesser, affero, NC, SA and ND in every template, in one
+under ``SHORT`` words also names. A license that says more than another (three
+clauses, two clauses) is a template of its own and stands for both.
 
 Winnowing keeps the smallest of each ``SPAN`` consecutive fingerprints of a
 template, so ``GRAM + SPAN - 1`` consecutive unchanged words always yield a
@@ -31,7 +33,7 @@ from apexlake.llm.common import mix, pieces, text_bytes, word_hashes, word_spans
 GRAM, SPAN, BAND = 3, 2, 8
 SHORT = 20
 # Words that name a license, and words that make another one of it wherever they are put in.
-NAMES = "mit apache gnu gpl general mozilla mpl bsd isc cc by creative commons attribution"
+NAMES = "mit apache gnu gpl general mozilla mpl bsd isc cc by creative commons attribution only later unlicense clause"
 CHANGES = "nc sa nd noncommercial sharealike noderivatives noderivs lesser lgpl library affero agpl"
 NUMBERS = " ".join(map(str, range(1, 100)))  # 2 is 2.0
 
@@ -76,6 +78,63 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
         "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT-0": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+        "is furnished to do so. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE "
+        "SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission."),
+    "BSD-4-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. All advertising materials "
+        "mentioning features or use of this software must display the following acknowledgement: This product includes software "
+        "developed by the organization. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission."),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program "
+        "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This "
+        "library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."),
+    "LGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."),
+    "MPL-1.1-header": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file "
+        "except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/ Software distributed "
+        "under the License is distributed on an \"AS IS\" basis, WITHOUT WARRANTY OF ANY KIND, either express or implied. See the License "
+        "for the specific language governing rights and limitations under the License."),
+    # A line that names a license by its identifier.
+    **{f"SPDX-{name}": f"SPDX-License-Identifier: {name}" for name in (
+        "MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+        "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC-BY-4.0", "CC-BY-SA-4.0",
+        "Unlicense")},
 }
 
 _SEPARATOR = np.ones(256, bool)
@@ -115,12 +174,15 @@ class Index:
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         self.words = _hashes(list(templates.values()))
-        names, changes, numbers = _hashes([NAMES, CHANGES, NUMBERS])
-        # Per short template the telling words, of it and of others, and which of them it has, in order.
-        self.telling: list[tuple[np.ndarray, np.ndarray] | None] = []
+        names, changes, numbers, spdx = _hashes([NAMES, CHANGES, NUMBERS, "spdx"])
+        # Per template the telling words, of it and of others, and which of them it has, in order.
+        self.telling: list[tuple[np.ndarray, np.ndarray]] = []
         for words in self.words:
-            told = np.concatenate([changes, names[np.isin(names, words)], numbers if np.isin(words, numbers).any() else numbers[:0]])
-            self.telling.append((told, words[np.isin(words, told)]) if len(words) < SHORT else None)
+            told = [changes, numbers if np.isin(words, numbers).any() else numbers[:0]]
+            if len(words) < SHORT:
+                told.append(names if (words[:1] == spdx).all() else names[np.isin(names, words)])
+            told = np.concatenate(told)
+            self.telling.append((told, words[np.isin(words, told)]))
         entries = [
             (int(g[at]), t, int(at)) for t, words in enumerate(self.words)
             for size in [min(GRAM, len(words))] for g in [_grams(words, size)] if size == GRAM for at in winnow(g, SPAN)
@@ -132,8 +194,6 @@ class Index:
 
     def tells(self, t: int, span: np.ndarray) -> bool:
         """Whether the telling words of a stretch of text are those of the template."""
-        if self.telling[t] is None:
-            return True
         told, own = self.telling[t]
         return np.array_equal(span[np.isin(span, told)], own)
 
@@ -202,6 +262,28 @@ def occurrences(hits: list[tuple[int, int]], length: int) -> list[tuple[int, int
     return out
 
 
+def _outermost(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Matches ``(matched, template, first, last)`` that lie inside none before them in the list.
+
+    A Fenwick tree holds the farthest end of the kept ones by where they begin.
+    """
+    begins = sorted({m[2] for m in matches})
+    place = {b: k + 1 for k, b in enumerate(begins)}
+    farthest, kept = [-1] * (len(begins) + 1), []
+    for m in matches:
+        k, reach = place[m[2]], -1
+        while k:
+            reach, k = max(reach, farthest[k]), k & (k - 1)
+        if reach >= m[3]:
+            continue
+        kept.append(m)
+        k = place[m[2]]
+        while k < len(farthest):
+            farthest[k] = max(farthest[k], m[3])
+            k += k & -k
+    return kept
+
+
 def scan_texts(texts: pa.Array, index: Index, least: float) -> list[tuple[int, str, float, int, int, int]]:
     """``(row, template, coverage, matched words, start, end)`` of a string array; offsets in code points, end exclusive."""
     data, offsets = text_bytes(texts)
@@ -235,10 +317,7 @@ def scan_texts(texts: pa.Array, index: Index, least: float) -> list[tuple[int, s
     out = []
     for row, matches in sorted(rows.items()):
         matches.sort(key=lambda m: (-m[0], m[1], m[2]))
-        kept: list = []
-        for m in matches:
-            if not any(k[2] <= m[2] and m[3] <= k[3] for k in kept):
-                kept.append(m)
+        kept = _outermost(matches)
         for matched, t, a, b in sorted(kept, key=lambda m: (m[2], m[1])):
             zero = code_points[offsets[row]]
             s, e = starts[before[row] + a], ends[before[row] + b]

@@ -319,6 +319,56 @@ def test_neighbouring_licenses_are_told_apart(spark):
     assert {text: [r["license"] for r in rows if r["doc_id"] == i] for i, text in enumerate(lines)} == lines
 
 
+def test_long_notices_of_neighbours_are_told_apart(spark):
+    """Every template, in a text of its own, is named as itself and as nothing else, also with a few words changed."""
+    rows, expected = [], {}
+    for k, (name, notice) in enumerate(licenses.TEMPLATES.items()):
+        for edited in (False, True):
+            own = notice.split()
+            if edited and len(own) > 40:
+                own = [w if i % 29 or w.lower().strip(",.;") in ("lesser", "affero", "library", "2.1") or any(c.isdigit() for c in w) else "changed" for i, w in enumerate(own, 1)]
+            rows.append((len(rows), f"{prose(30, k)}\n{' '.join(own)}\n{prose(20, k + 99)}"))
+            expected[len(rows) - 1] = {name}
+    found = defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r["doc_id"]].add(r["license"])
+    told = {"MIT-statement", "Apache-2.0-statement"}
+    assert {i: f - told if len(f) > 1 else f for i, f in found.items()} == expected
+
+
+def test_licenses_without_a_template_have_no_other_name(spark):
+    texts = [
+        licenses.TEMPLATES["GPL-header"].replace("version 3", "version 1"), licenses.TEMPLATES["MPL-2.0-header"].replace("2.0", "3.0"),
+        licenses.TEMPLATES["LGPL-2.1-header"].replace("2.1", "2"), "SPDX-License-Identifier: EUPL-1.2", "SPDX-License-Identifier: GPL-1.0-only"]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [tuple(r)[:3] for r in found] == []
+
+
+def test_many_notices_in_one_text_are_found_at_once():
+    import time
+
+    import pyarrow as pa
+
+    text = " ".join(f"file{i} Released under the MIT License." for i in range(8000))
+    started = time.time()
+    found = licenses.scan_texts(pa.array([text]), licenses.Index(licenses.TEMPLATES), 0.8)
+    assert len(found) == 8000 and time.time() - started < 10
+    own = [(int(n), 0, int(a), int(a + w)) for n, a, w in zip(rng.integers(1, 50, 300), rng.integers(0, 100, 300), rng.integers(0, 30, 300))]
+    kept = []
+    for m in own:
+        if not any(k[2] <= m[2] and m[3] <= k[3] for k in kept):
+            kept.append(m)
+    assert licenses._outermost(own) == kept
+
+
+def test_end_tags_that_close_nothing_cost_nothing():
+    import time
+
+    started = time.time()
+    article, _, marked = html_text.lines_of("<article>" + "<div>" * 32_000 + "text" + "</b>" * 32_000 + "</article>")
+    assert marked and article == ["text"] and time.time() - started < 2
+
+
 # Word ids of the language model
 
 def test_word_ids_that_would_overflow_raise():
