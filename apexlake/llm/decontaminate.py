@@ -62,17 +62,18 @@ def phrases(items: DataFrame, window: int) -> DataFrame:
 def _rarest(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
     """Each phrase, and where its rarest terms stand in the item; none if a term occurs nowhere.
 
-    A phrase carries its own words only, so long items cost in proportion to their length.
+    A word goes to the phrases it is in, one row each, so neither an item nor all
+    its phrases are ever one row.
     """
     words = items.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    placed = words.select("item_id", F.posexplode("words").alias("at", "term")).join(counts, "term", "left")
-    known = placed.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("at", "n", "term"))).alias("terms"))
-    last = F.greatest(F.size("terms") - window, F.lit(0))
-    windows = F.transform(F.sequence(F.lit(0), last), lambda s: F.slice("terms", s + 1, F.lit(window)))
-    each = known.select("item_id", F.explode(windows).alias("inside"))
+    last = F.greatest(F.size("words") - window, F.lit(0))
+    placed = words.select("item_id", last.alias("last"), F.posexplode("words").alias("at", "term")).join(counts, "term", "left")
+    starts = F.sequence(F.greatest(F.col("at") - (window - 1), F.lit(0)), F.least("at", "last"))
+    inside = F.sort_array(F.collect_list(F.struct("at", "n", "term")))
+    each = placed.withColumn("start", F.explode(starts)).groupBy("item_id", "start").agg(inside.alias("inside"))
     ordered = F.sort_array(F.transform("inside", lambda t: F.struct(t["n"].alias("n"), t["at"].alias("at"), t["term"].alias("term"))))
     return each.where(~F.exists("inside", lambda t: t["n"].isNull())).select(
-        "item_id", F.col("inside")[0]["at"].alias("start"), F.size("inside").alias("length"),
+        "item_id", "start", F.size("inside").alias("length"),
         F.transform("inside", lambda t: t["term"]).alias("phrase"),
         F.transform(F.slice(ordered, 1, LOOKED_UP), lambda t: F.struct(t["at"].alias("at"), t["term"].alias("term"))).alias("lookups"),
     )
@@ -93,7 +94,9 @@ def exact_matches(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFr
     shifted = postings.join(small(lookups, "lookups"), "term").select(
         "key", "item_id", (F.col("position") - F.col("offset")).alias("origin"), "offset")
     met = shifted.groupBy("key", "item_id", "origin").agg(F.collect_set("offset").alias("offsets"))
-    candidates = met.join(small(wanted, "wanted"), "item_id").where(
+    # A phrase is looked for only where its rarest term stands at its place.
+    by_rarest = wanted.withColumn("rarest", F.col("lookups")[0]["at"])
+    candidates = met.withColumn("rarest", F.explode("offsets")).join(small(by_rarest, "wanted"), ["item_id", "rarest"]).where(
         F.forall("lookups", lambda o: F.array_contains("offsets", o["at"])))
     candidates = write_once(candidates.select(
         "key", "item_id", "start", "length", (F.col("origin") + F.col("start")).alias("at"), "phrase").where("at >= 0"), "candidates")
