@@ -106,29 +106,32 @@ def load_plan_forced(w: Warehouse) -> DataFrame:
     return planning.load_plan(_covered(w), _state(w), _latest(w), force=True)
 
 
-def _lap_state(w: Warehouse) -> DataFrame:
-    """Laps complete up to 1999, in progress through round 4 of 2000."""
+def _race_state(w: Warehouse, endpoint: str) -> DataFrame:
+    """Complete up to 1999, in progress through round 4 of 2000."""
     seasons = w.table("stg_races").groupBy("season").agg(F.max("round").alias("last_round"))
-    done = seasons.where(F.col("season") < 2000).withColumn("endpoint", F.lit("laps"))
+    done = seasons.where(F.col("season") < 2000).withColumn("endpoint", F.lit(endpoint))
     part = seasons.where(F.col("season") == 2000).select(
-        "season", F.lit(4).alias("last_round"), F.lit("laps_progress").alias("endpoint")
+        "season", F.lit(4).alias("last_round"), F.lit(f"{endpoint}_progress").alias("endpoint")
     )
     return done.unionByName(part)
 
 
 def resume_plan(w: Warehouse) -> DataFrame:
-    """L14."""
-    return planning.resume_plan(w.table("stg_races"), _lap_state(w), _latest(w), "laps")
+    """L14, for both endpoints loaded by race."""
+    return _stack([
+        planning.resume_plan(w.table("stg_races"), _race_state(w, e), _latest(w), e).withColumn("endpoint", F.lit(e))
+        for e in planning.PER_RACE
+    ])
 
 
-def _outcomes(w: Warehouse) -> DataFrame:
-    planned = planning.resume_plan(w.table("stg_races"), _lap_state(w), _latest(w), "laps", force=True)
-    return planning.round_outcomes(planned, w.raw["laps"], _latest(w))
+def _outcomes(w: Warehouse, endpoint: str) -> DataFrame:
+    planned = planning.resume_plan(w.table("stg_races"), _race_state(w, endpoint), _latest(w), endpoint, force=True)
+    return planning.round_outcomes(planned, w.raw[endpoint], _latest(w))
 
 
 def outcomes(w: Warehouse) -> DataFrame:
     """L15."""
-    return _outcomes(w)
+    return _stack([_outcomes(w, e).withColumn("endpoint", F.lit(e)) for e in planning.PER_RACE])
 
 
 def season_watermarks(w: Warehouse) -> DataFrame:
@@ -139,12 +142,12 @@ def season_watermarks(w: Warehouse) -> DataFrame:
 
 def race_progress(w: Warehouse) -> DataFrame:
     """L17."""
-    return planning.race_progress("laps", _outcomes(w))
+    return _stack([planning.race_progress(e, _outcomes(w, e)) for e in planning.PER_RACE])
 
 
 def race_watermarks(w: Warehouse) -> DataFrame:
     """The season with a round unpublished gets progress but no completion."""
-    return planning.race_watermarks("laps", _outcomes(w))
+    return _stack([planning.race_watermarks(e, _outcomes(w, e)) for e in planning.PER_RACE])
 
 
 def upsert(w: Warehouse) -> DataFrame:
@@ -341,18 +344,18 @@ FROM land_full WHERE NOT (endpoint = 'qualifying' AND season = 2000)"""
 PARTS["land_marks"] = """
 SELECT endpoint, season, CASE WHEN season = 2001 THEN 9 ELSE last_round END AS last_round, total_rows FROM land_full"""
 PARTS["land_outcomes"] = """
-SELECT season, round, ifnull(total_rows, 0)::INT AS total_rows,
+SELECT endpoint, season, round, ifnull(total_rows, 0)::INT AS total_rows,
        CASE WHEN total_rows IS NOT NULL THEN 'landed' WHEN season = 2001 AND round = 9 THEN 'unpublished'
             ELSE 'absent' END AS outcome
-FROM (SELECT season, round FROM stg_races WHERE season < 2001 OR round <= 9)
-LEFT JOIN (FROM land_totals WHERE endpoint = 'laps') USING (season, round)"""
+FROM (SELECT endpoint, season, round FROM stg_races, (VALUES ('laps'), ('pit_stops')) AS e(endpoint) WHERE season < 2001 OR round <= 9)
+LEFT JOIN land_totals USING (endpoint, season, round)"""
 PARTS["land_progress"] = """
-SELECT 'laps_progress' AS endpoint, season, round AS last_round,
-       (sum(total_rows) OVER (PARTITION BY season ORDER BY round))::INT AS total_rows
+SELECT endpoint || '_progress' AS endpoint, season, round AS last_round,
+       (sum(total_rows) OVER (PARTITION BY endpoint, season ORDER BY round))::INT AS total_rows
 FROM land_outcomes WHERE outcome <> 'unpublished'"""
 PARTS["land_newest"] = """
 SELECT endpoint, season, last_round, total_rows FROM land_progress
-QUALIFY row_number() OVER (PARTITION BY season ORDER BY last_round DESC) = 1"""
+QUALIFY row_number() OVER (PARTITION BY endpoint, season ORDER BY last_round DESC) = 1"""
 _UPSERT = """
 SELECT endpoint, season, last_round, total_rows{old} FROM land_state WHERE season < 2000
 UNION ALL SELECT endpoint, season, last_round, total_rows{new} FROM land_marks WHERE season >= 2000"""
@@ -376,12 +379,15 @@ WHERE NOT EXISTS (FROM land_state s WHERE s.season = c.season AND s.endpoint = c
                   AND (s.season < 2001 OR ifnull(s.last_round >= 9, false)))"""),
     "land_plan_forced": (load_plan_forced, "SELECT * FROM land_covered"),
     "land_resume_plan": (resume_plan, """
-SELECT season, round FROM calendar WHERE (season = 2000 AND round > 4) OR (season = 2001 AND round <= 9)"""),
+SELECT endpoint, season, round FROM calendar, (VALUES ('laps'), ('pit_stops')) AS e(endpoint)
+WHERE (season = 2000 AND round > 4) OR (season = 2001 AND round <= 9)"""),
     "land_outcomes": (outcomes, "SELECT * FROM land_outcomes"),
     "land_season_watermarks": (season_watermarks, "SELECT * FROM land_marks"),
     "land_race_progress": (race_progress, "SELECT * FROM land_progress"),
     "land_race_watermarks": (race_watermarks, """
-SELECT * FROM land_newest UNION ALL SELECT 'laps', season, last_round, total_rows FROM land_newest WHERE season < 2001"""),
+SELECT * FROM land_newest
+UNION ALL SELECT replace(endpoint, '_progress', ''), season, last_round, total_rows FROM land_newest n
+WHERE NOT EXISTS (FROM land_outcomes o WHERE outcome = 'unpublished' AND n.endpoint = o.endpoint || '_progress' AND n.season = o.season)"""),
     "land_upsert": (upsert, _UPSERT.format(
         old=f", TIMESTAMP '{LANDED_AT}' AS loaded_at", new=", TIMESTAMP '2001-09-08 06:00:00'")),
     "land_state_round_trip": (state_round_trip, _UPSERT.format(old="", new="")),
