@@ -122,15 +122,17 @@ def _best_of_season(t: Tables, places: int) -> DataFrame:
 def joined_names(holders: DataFrame, group: list[str], text: Column | str, out: str) -> DataFrame:
     """The texts of a group in one cell, in order.
 
-    A cell is for reading: it holds at most ``NAMES_IN_A_CELL`` texts. Holders are
-    counted before any are gathered, and a group beyond that ends the job with
-    an error instead of dropping names; the rows themselves are ``holders``.
+    A cell is for reading: it holds at most ``NAMES_IN_A_CELL`` texts. One more is
+    enough to tell that a group has too many, so no task gathers more than that;
+    the job then ends with an error instead of dropping names. The rows
+    themselves are ``holders``.
     """
-    short = F.when(F.col("_n") <= NAMES_IN_A_CELL, True).otherwise(
-        F.raise_error(F.lit(f"more than {NAMES_IN_A_CELL} names in a cell of {out}: take the rows of the holders")))
-    counted = holders.groupBy(*group).agg(F.count("*").alias("_n")).where(short).select(*group)
-    return collapse(
-        holders.join(counted, group), group, **{out: F.array_join(F.sort_array(F.collect_list(text)), ", ")})
+    order = Window.partitionBy(*group).orderBy("_text")
+    named = holders.select(*group, (F.col(text) if isinstance(text, str) else text).alias("_text"))
+    listed = named.withColumn("_row", F.row_number().over(order)).where(F.col("_row") <= NAMES_IN_A_CELL + 1)
+    cell = F.array_join(F.sort_array(F.collect_list("_text")), ", ")
+    error = F.raise_error(F.lit(f"more than {NAMES_IN_A_CELL} names in a cell of {out}: take the rows of the holders"))
+    return collapse(listed, group, **{out: F.when(F.count("*") <= NAMES_IN_A_CELL, cell).otherwise(error)})
 
 
 def season_leaders(t: Tables) -> DataFrame:

@@ -78,9 +78,23 @@ def test_pairs_take_one_shuffle_and_no_join(lake):
 
 def test_windows_never_run_over_a_race_or_a_season_of_rows(lake):
     """Windows by race or season see counted values only, cut to the best before they are shuffled."""
-    for query in (report.championship_leader, report.leader_margin, report.leading_drivers):
+    for query in (report.season_leaders, report.leader_margin, report.leading_drivers):
         plan = physical(query(lake.table))
         assert plan.count("WindowGroupLimit") == 2, query.__name__
+    # A cell of names takes as many as it may hold, and one more to tell that there are too many.
+    assert physical(report.championship_leader(lake.table)).count("WindowGroupLimit") == 4
+
+
+def test_a_cell_of_too_many_names_ends_the_job(spark, monkeypatch):
+    monkeypatch.setattr(report, "NAMES_IN_A_CELL", 2)
+    holders = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "c")], "g int, who string")
+    few = report.joined_names(holders.where("who IS NOT NULL"), ["g"], "who", "holder")
+    assert {tuple(r) for r in few.collect()} == {(1, "a, b"), (2, "c")}
+    with pytest.raises(Exception, match="more than 2 names"):
+        report.joined_names(holders, ["g"], "who", "holder").collect()
+
+
+def test_model_windows_run_over_a_career(lake):
     for name in MODELS:
         for keys in re.findall(r"windowspecdefinition\((.*?), [a-z_]+ (?:ASC|DESC)", re.sub(r"#\d+L?", "", physical(lake.model(name)))):
             assert keys in ("driver_id", "streak_type"), (name, keys)
