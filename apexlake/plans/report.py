@@ -28,7 +28,7 @@ DRIVERS_SHOWN = 5
 MINIMUM_STARTS = 50
 MINIMUM_RACES = 5
 STREAK_PLACES = 10
-NAMES_IN_A_CELL = 1_000
+NAMES_IN_A_CELL = 500
 PAIR = ("season", "driver_id", "teammate_id", "teammate_name", "constructor_id")
 
 
