@@ -511,6 +511,20 @@ def test_matches_do_not_depend_on_batches():
         assert set(got) == expected
 
 
+def test_matched_words_are_a_longest_common_subsequence():
+    own = np.random.default_rng(8)
+    for _ in range(300):
+        x, y = own.integers(0, 6, own.integers(0, 25)), own.integers(0, 6, own.integers(0, 25))
+        table = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i, a in enumerate(x):
+            for j, b in enumerate(y):
+                table[i + 1, j + 1] = table[i, j] + 1 if a == b else max(table[i, j + 1], table[i + 1, j])
+        length = int(table[-1, -1])
+        needed = len(x) + len(y) - 2 * length
+        assert passages.matched_words(x, y, needed) == length
+        assert needed == 0 or passages.matched_words(x, y, needed - 1) == -1
+
+
 def test_chains_are_best():
     own = np.random.default_rng(4)
     for _ in range(200):
