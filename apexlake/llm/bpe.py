@@ -38,6 +38,8 @@ from apexlake.llm.common import append_columns
 WORD_END = "</w>"
 # Distinct pre-tokens a worker remembers between pieces; beyond it starts afresh (memory only, results are the same).
 REMEMBERED = 300_000
+# Where a list of ids and a text are kept for each word, and returned for each text: less at once.
+REMEMBERED_LISTS, LIST_PIECE_BYTES = 120_000, 1 << 20
 
 
 def _byte_characters() -> list[str]:
@@ -192,13 +194,13 @@ class Vocabulary:
 class Memory(dict):
     """What is known of pre-tokens: forgets when full, learns the missing ones of a piece together."""
 
-    def __init__(self, fixed: dict, learn):
+    def __init__(self, fixed: dict, learn, most: int = REMEMBERED):
         super().__init__(fixed)
-        self.fixed, self.learn = fixed, learn
+        self.fixed, self.learn, self.most = fixed, learn, most
 
     def know(self, lists: list[list[str]]) -> None:
         wanted = set().union(*lists) if lists else set()
-        if len(self) + len(wanted) > REMEMBERED + len(self.fixed):
+        if len(self) + len(wanted) > self.most + len(self.fixed):
             self.clear()
             self.update(self.fixed)
         missing = [w for w in wanted if w not in self]
@@ -234,7 +236,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         vocabulary = _vocabulary(source.value)
         token = vocabulary.tokens
         fixed = {s: ([i], s) for s, i in vocabulary.special.items()}
-        memory = Memory(fixed, lambda words: [(ids, " ".join([token[i] for i in ids])) for ids in vocabulary.merge(words)])
+        memory = Memory(
+            fixed, lambda words: [(ids, " ".join([token[i] for i in ids])) for ids in vocabulary.merge(words)], REMEMBERED_LISTS)
 
         def run(texts):
             lists = [vocabulary.pre_tokens(t) if t else [] for t in texts.to_pylist()]
@@ -248,7 +251,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
         return run
 
-    return append_columns(docs, text, ENCODED, make)
+    return append_columns(docs, text, ENCODED, make, LIST_PIECE_BYTES)
 
 
 DIGEST = T.StructType([

@@ -65,8 +65,10 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         yield batch.slice(start, end - start)
 
 
-def append_columns(df: DataFrame, column: str, fields: T.StructType, make: Callable[[], Callable]) -> DataFrame:
-    """Add columns computed from one text column, piece by piece.
+def append_columns(
+    df: DataFrame, column: str, fields: T.StructType, make: Callable[[], Callable], limit: int = PIECE_BYTES,
+) -> DataFrame:
+    """Add columns computed from one text column, piece by piece of about ``limit`` bytes.
 
     ``make()`` runs once per task and returns a function from a string array to
     one array per field. An input column named like a field is replaced.
@@ -79,7 +81,7 @@ def append_columns(df: DataFrame, column: str, fields: T.StructType, make: Calla
     def run(batches):
         function = make()
         for batch in batches:
-            for piece in pieces(batch, column):
+            for piece in pieces(batch, column, limit):
                 made = function(piece.column(column))
                 arrays = [piece.column(c) for c in rest] + [pa.array(x, kind) for x, kind in zip(made, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
