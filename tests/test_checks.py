@@ -160,3 +160,12 @@ def test_exchanging_a_table_plans_its_consumers_anew(spark):
     assert before == 80 and empty.table("dim_race").where("has_results").count() == 0
     assert empty.table("stg_races") is lake.table("stg_races")
     assert lake.table("dim_race").where("has_results").count() == 80
+
+
+def test_each_assertion_is_counted_by_itself(spark):
+    """One plan of all assertions, with all their broadcast sides, once filled the driver's memory."""
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "n int")
+    assertions = {f"A{i:02d}": (lambda t, i=i: t("rows").where(F.col("n") > i).join(F.broadcast(t("rows")), "n"), "error") for i in range(4)}
+    report = checks.assertion_report(lambda name: rows, assertions)
+    assert {row["target"]: row["violations"] for row in report.collect()} == {"A00": 3, "A01": 2, "A02": 1, "A03": 0}
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
