@@ -5,13 +5,15 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from apexlake.sources import landing, planning
+from apexlake.sources import landing, planning, staging
 from apexlake.sources.landing import RawTable
 from apexlake.sources.planning import LoadState
 from apexlake.sources.runs import land
 from apexlake.sources.schemas import LOAD_STATE, TEAM_COLOURS
 from apexlake.sources.seed import keep_odd_lines, packaged_team_colours, read_team_colours, seed_lines, team_colour_rows
 from apexlake.streaming.landing import incoming_schema, land_new_files
+from apexlake.testbed.build import warehouse
+from apexlake.testbed.paging import pages
 
 from conftest import rows
 
@@ -456,3 +458,53 @@ def test_the_delivery_log_is_folded(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "r" / "deliveries").glob("write=*"))) <= 5
     assert area.begin("a", 3).landed and area.begin("a", 3).number == numbers[-2]
     assert area.begin("c", 0).number == numbers[-1] + 1
+
+
+def orders_at(spark, folder):
+    """Two drivers of one team in two races; the first has two cars with lines in the first race, one of them entered twice."""
+    day = dt.datetime
+    at = [(1, 10, day(1999, 1, 5)), (2, 10, day(1999, 1, 6)), (2, 10, day(1999, 1, 6)), (3, 11, day(1999, 1, 7)), (4, 11, day(1999, 2, 7))]
+    spark.createDataFrame(
+        [(k, c, "F", 100.0 + k, when, "5-LOW") for k, c, when in at],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string",
+    ).write.parquet(f"{folder}/orders.parquet")
+    lines = [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (9, 1), (None, 1)]
+    spark.createDataFrame(
+        [(k, 7, 8, n, 50.0 + n, 3.0, "R" if n == 2 else "N") for k, n in lines],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_quantity double, l_returnflag string",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(n, f"N{n}", 0) for n in range(25)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(
+        f"{folder}/nation.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{folder}/region.parquet")
+    return str(folder)
+
+
+def test_only_endpoints_that_are_read_are_landed(spark, tmp_path):
+    """Once every query landed the pages of all nine endpoints before it began."""
+    lake = warehouse(spark, orders_at(spark, tmp_path))
+    assert lake.table("stg_races").count() == 12
+    assert [e for e in lake.raw if e in lake.raw._known] == ["races"]
+    assert set(lake.raw) == set(staging.MODELS) == set(lake.logs)
+
+
+def test_laps_go_on_over_the_cars_of_a_driver(spark, tmp_path):
+    lake = warehouse(spark, orders_at(spark, tmp_path))
+    laps = lake.table("stg_laps").groupBy("round", "driver_id").agg(F.sort_array(F.collect_list("lap")))
+    assert rows(laps.withColumn("laps", F.array_join(laps[2], " ")).select("round", "driver_id", "laps")) == {(1, "d10", "1 2 3 4 5 6"), (1, "d11", "1")}
+    done = lake.table("stg_results").select("round", "car_number", "laps_completed")
+    assert rows(done) == {(1, 1, 2), (1, 2, 6), (1, 3, 1), (2, 4, 0)}
+
+
+def test_rows_of_pages_move_once(spark, tmp_path):
+    """From numbered rows to the landed files there is one shuffle; a page's lists were once brought together one by one."""
+    items = spark.createDataFrame(
+        [(2024, 1, n % 3 + 1, n // 3 + 1, (str(n),)) for n in range(450)],
+        "season int, round int, lap long, place long, item struct<driverId:string>")
+    landed = pages(items, "laps")
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    table = RawTable(spark, str(tmp_path / "laps"), per_race=True)
+    table.replace(landed, landed, "one", together=True)
+    assert [row["page_offset"] for row in table.read().orderBy("page_offset").collect()] == [0, 100, 200, 300, 400]
+    laps = staging.laps(table.read())
+    assert rows(laps.groupBy("lap").agg(F.count("*"), F.count_distinct("driver_id"))) == {(1, 150, 150), (2, 150, 150), (3, 150, 150)}
