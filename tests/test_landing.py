@@ -508,3 +508,18 @@ def test_rows_of_pages_move_once(spark, tmp_path):
     assert [row["page_offset"] for row in table.read().orderBy("page_offset").collect()] == [0, 100, 200, 300, 400]
     laps = staging.laps(table.read())
     assert rows(laps.groupBy("lap").agg(F.count("*"), F.count_distinct("driver_id"))) == {(1, 150, 150), (2, 150, 150), (3, 150, 150)}
+
+
+def test_items_are_made_where_pages_are_packed(spark):
+    """Rows move as what their items are made of; whole items, several times as large, once moved with them."""
+    cars = spark.createDataFrame(
+        [(2024, 1, n % 3 + 1, n // 3 + 1, n) for n in range(450)], "season int, round int, lap long, place long, ckey long")
+    item = F.struct(F.concat(F.lit("d"), F.col("ckey")).alias("driverId"))
+    landed = pages(cars, "laps", item=item)
+    plan = landed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    above, below = plan.split("Exchange hashpartitioning")
+    assert "driverId" in above and "driverId" not in below
+    ready = pages(cars.select("season", "round", "lap", "place", item.alias("item")), "laps")
+    columns = ["season", "round", "page_offset", "total_rows", "payload"]
+    assert rows(landed.select(*columns)) == rows(ready.select(*columns))
+    assert landed.count() == 5
