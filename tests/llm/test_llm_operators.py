@@ -490,25 +490,80 @@ def test_recall_on_the_test_tables(spark):
     assert len(pairs) > 100 and joined >= 0.99 * len(pairs)
 
 
-def test_matches_do_not_depend_on_batches():
-    """First text and text before, whatever the cuts between batches; equal postings of copies count once."""
+def test_every_two_texts_with_a_passage_are_linked(spark, monkeypatch):
+    """Seven texts hold the same 60 words, five more hold them changed: each two are a row, in one block or in many."""
+    passage = np.random.default_rng(31).integers(0, 1 << 40, 60).astype(str).tolist()
+    rows = []
+    for k in range(12):
+        own = passage if k < 7 else [f"new{k}" if i == 9 * (k - 6) else w for i, w in enumerate(passage)]
+        rows.append((k, f"{prose(20, k + 500)} {' '.join(own)} {prose(12, k + 600)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(tuple(r) for r in passages.shared_passages(docs).collect())
+    assert {frozenset(r[c] for c in (0, 3)) for r in found} == {frozenset((a, b)) for b in range(12) for a in range(b)}
+    monkeypatch.setattr(passages, "BLOCK_WORDS", 300)
+    assert sorted(tuple(r) for r in passages.shared_passages(docs).collect()) == found
+
+
+def test_matches_do_not_depend_on_batches(monkeypatch):
+    """Every earlier text of a seed, whatever the cuts between batches; equal postings of copies count once."""
     import pyarrow as pa
 
     own = np.random.default_rng(6)
-    rows = sorted((int(a), int(b), int(c)) for a, b, c in zip(own.integers(0, 40, 600), own.integers(0, 6, 600), own.integers(0, 4, 600)))
-    expected = set()
-    for seed in {r[0] for r in rows}:
+    rows = sorted((int(a), int(b), int(c)) for a, b, c in zip(own.integers(0, 200, 600), own.integers(0, 6, 600), own.integers(0, 4, 600)))
+    expected, kept = set(), []
+    for seed in sorted({r[0] for r in rows}):
         held = sorted({r[1:] for r in rows if r[0] == seed})
         keys = sorted({k for k, _ in held})
         at = {k: min(p for q, p in held if q == k) for k in keys}
-        for k, place in held:
-            n = keys.index(k)
-            expected |= {(keys[m], k, at[keys[m]], place) for m in {0, n - 1} if 0 <= m < n}
+        if len(keys) > 1:
+            kept += [(seed, k, place, keys.index(k)) for k, place in held]
+        expected |= {(seed, m, k, at[m], place) for k, place in held for m in keys if m < k}
     for size in (1, 2, 7, 600):
         batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([r[2] for r in part], pa.int32())], names=["seed", "key", "place"])
                    for part in (rows[i:i + size] for i in range(0, len(rows), size))]
-        got = [tuple(r.values()) for batch in passages._match(batches) for r in batch.to_pylist()]
-        assert set(got) == expected
+        assert [tuple(r.values()) for batch in passages._shared(batches) for r in batch.to_pylist()] == kept
+    pairs = defaultdict(list)
+    for _, a, b, x, y in sorted(expected):
+        pairs[a, b].append((y, x))
+    seeds, owners, places, _ = (np.array(c) for c in zip(*kept))
+    for at_once in (1, 50, 10_000):
+        monkeypatch.setattr(passages, "AT_ONCE", at_once)
+        for sides in (None, np.arange(6) % 2):
+            got = defaultdict(list)
+            for part in passages._matched(seeds, owners, places, sides):
+                for a, b, x, y in zip(*(c.tolist() for c in part)):
+                    got[a, b].append((y, x))
+            assert got == {p: sorted(m) for p, m in pairs.items() if len(m) > 1 and (sides is None or sides[p[0]] != sides[p[1]])}
+
+
+def test_extended_many_is_extended():
+    own = np.random.default_rng(12)
+    words = own.integers(0, 3, 4000).astype(np.uint64)
+    words[2000:3000] = words[:1000]
+    words[own.integers(2000, 3000, 60)] = 7
+    x, y = own.integers(100, 900, 300), own.integers(2100, 2900, 300)
+    y[:200] = x[:200] + 2000
+    rooms = own.integers(0, 100, (2, 300))
+    for way in (1, -1):
+        got = passages._extended_many(words, x, rooms[0], y, rooms[1], way, 0.8)
+        for k in range(300):
+            a, b = (words[at[k]::way][:room[k]] for at, room in ((x, rooms[0]), (y, rooms[1])))
+            assert got[k] == passages._extended(a, b, 0.8)[2]
+
+
+def test_chained_are_chains():
+    """Matches of many pairs at once: the same chains of two matches or more as pair by pair."""
+    own = np.random.default_rng(14)
+    rows, expected = [], []
+    for a in range(300):
+        places = sorted({(int(y), int(x)) for x, y in zip(own.integers(0, 80, 5), own.integers(0, 80, 5))})
+        if a % 2:
+            places = list(zip(sorted(y for y, _ in places), sorted(x for _, x in places)))
+        rows += [(a, a + 1, x, y) for y, x in places]
+        xs, ys = [x for _, x in places], [y for y, _ in places]
+        expected += [(a, a + 1, xs[c[0]], xs[c[-1]] + passages.K, ys[c[0]], ys[c[-1]] + passages.K) for c in passages.chains(xs, ys) if len(c) > 1]
+    got = passages._chained(*(np.array(c) for c in zip(*rows)))
+    assert sorted(map(tuple, got.tolist())) == sorted(expected)
 
 
 def test_matched_words_are_a_longest_common_subsequence():
