@@ -504,6 +504,34 @@ def test_every_two_texts_with_a_passage_are_linked(spark, monkeypatch):
     assert sorted(tuple(r) for r in passages.shared_passages(docs).collect()) == found
 
 
+def test_passages_take_rows_by_bytes(spark, monkeypatch):
+    """However many rows a table has, Python holds some bytes of them at once, and the session's setting comes back."""
+    limit = 40_000
+
+    def bounded(make):
+        def made(*args):
+            def run(batches):
+                for batch in batches:
+                    assert batch.num_rows <= 1 or batch.nbytes <= 2 * limit, f"{batch.num_rows} rows, {batch.nbytes} bytes"
+                    yield from make(*args)(iter([batch]))
+
+            return run
+
+        return made
+
+    docs = spark.createDataFrame([(k, f"{prose(400, k)} {prose(80, 7)}") for k in range(60)], "doc_id long, text string").coalesce(1)
+    found = sorted(tuple(r) for r in passages.shared_passages(docs).collect())
+    assert len(found) >= 60 * 59 // 2
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    monkeypatch.setattr(passages, "_postings", bounded(passages._postings))
+    monkeypatch.setattr(passages, "_block_passages", bounded(passages._block_passages))
+    monkeypatch.setattr(passages, "BLOCK_WORDS", 5_000)
+    monkeypatch.setattr(passages, "BATCH_BYTES", limit, raising=False)
+    assert sorted(tuple(r) for r in passages.shared_passages(docs).collect()) == found
+    assert spark.conf.get(setting, None) == before
+
+
 def test_matches_do_not_depend_on_batches(monkeypatch):
     """Every earlier text of a seed, whatever the cuts between batches; equal postings of copies count once."""
     import pyarrow as pa
