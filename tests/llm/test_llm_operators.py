@@ -242,6 +242,48 @@ def test_differencing_without_a_marked_article(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_marked_articles_are_differenced_too(spark):
+    page = "<nav>menu</nav><article><h1>{}</h1><p>{} own words of it</p><p>Tell your friends</p></article><footer>f</footer>"
+    pages = spark.createDataFrame([
+        (1, "http://h.x/a/1", page.format("T1", "first")), (2, "http://h.x/a/2", page.format("T2", "second")),
+        (3, "http://copy.x/1", page.format("C", "copied")), (4, "http://copy.x/2", page.format("C", "copied").replace("menu", "other")),
+        (5, "http://mixed.x/1", page.format("T5", "fifth")), (6, "http://mixed.x/2", "<p>open text of a page of its own</p><p>Tell your friends</p>"),
+        (7, "http://mixed.x/2", "<p>open text of a page of its own</p><p>Tell your friends</p>"), (8, None, page.format("T8", "lone")),
+    ], "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    own = {k: f"{t}\n{w} own words of it" for k, t, w in ((1, "T1", "first"), (2, "T2", "second"), (3, "C", "copied"), (5, "T5", "fifth"), (8, "T8", "lone"))}
+    shared = "\nTell your friends"
+    assert found == {
+        **own, 3: own[3] + shared, 4: own[3] + shared, 6: "open text of a page of its own" + shared, 7: "open text of a page of its own" + shared, 8: own[8] + shared}
+
+
+def test_whole_hosts_against_plain_differencing(spark):
+    own = np.random.default_rng(5)
+    hosts = {}
+    for number in range(120):
+        lines = [f"line {k}" * (1 + k % 3) for k in own.integers(0, 30, own.integers(0, 9))]
+        body = "".join(f"<p>{line}</p>" for line in lines)
+        hosts.setdefault(number % 7, []).append((f"/{own.integers(0, 4)}/{number}", number, number % 3 > 0, lines, body))
+    expected = {}
+    for held in hosts.values():
+        held.sort()
+        for path, number, marked, lines, _ in held:
+            near = [p for p in held if p[3] and (marked or not p[2])]
+            at = next((k for k, p in enumerate(near) if p[1] == number), None)
+            near = [] if at is None else near[max(at - 1, 0):at] + near[at + 1:at + 2]
+            sizes = [len(line) for line in lines]
+            pairs = [(p[0], p[3]) for p in near if not marked or not html_text.is_copy(lines, sizes, p[3], sum(map(len, p[3])))]
+            kept = html_text.differenced(lines, path, pairs)
+            expected[number] = "\n".join(line for line, left in zip(lines, kept) if left)
+    pages = spark.createDataFrame([
+        (number, f"http://h{host}.x{path}", f"<article>{body}</article>" if marked else body)
+        for host, held in hosts.items() for path, number, marked, _, body in held], "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert found == expected
+    whole = {number: "\n".join(lines) for held in hosts.values() for _, number, _, lines, _ in held}
+    assert {number % 3 > 0 for number in found if found[number] != whole[number]} == {True, False}
+
+
 @pytest.mark.parametrize("page, expected", [
     ('<body><div class="site no-sidebar"><article><p>text</p></article></div>', "text"),
     ('<div class="layout has-sidebar"><main><p>text</p></main><div class="sidebar">side</div></div>', "text"),
