@@ -546,6 +546,39 @@ def test_every_two_texts_with_a_passage_are_linked(spark, monkeypatch):
     assert sorted(tuple(r) for r in passages.shared_passages(docs).collect()) == found
 
 
+def test_passages_with_a_single_seed(spark):
+    """65 words of which 53 are equal, and never five in a row but once; others have no six equal words in a row."""
+    rows, pairs = [], set()
+    for k in range(40):
+        passage = np.random.default_rng(7000 + k).integers(0, 1 << 40, 65 if k % 2 else 72).astype(str).tolist()
+        changed = [i for i in range(len(passage)) if (i % 5 == 4 if i < 32 else i % 5 == 0)] if k % 2 else range(5, 72, 6)
+        edited = [f"new{k}" if i in changed else w for i, w in enumerate(passage)]
+        runs = [len(run) for run in "".join("x" if i in changed else "." for i in range(len(passage))).split("x")]
+        assert max(runs) == 5 and (k % 2 == 0 or runs.count(5) == 1)
+        rows += [(2 * k, f"{prose(20, k)} {' '.join(passage)} {prose(20, k + 100)}"), (2 * k + 1, f"{prose(15, k + 200)} {' '.join(edited)} {prose(9, k + 300)}")]
+        pairs.add(frozenset((2 * k, 2 * k + 1)))
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {frozenset((r["doc_id"], r["other_doc_id"])) for r in found} == pairs
+
+
+def test_every_place_of_a_passage_is_linked(spark):
+    """A passage that stands three times in one text and once in the other, whichever of the two is the first."""
+    rows, expected = [], set()
+    for k in range(10):
+        passage = " ".join(np.random.default_rng(8000 + k).integers(0, 1 << 40, 60).astype(str))
+        rows += [(2 * k, " ".join(f"{prose(70, 10 * k + n)} {passage}" for n in range(3))), (2 * k + 1, f"{prose(30, k + 9000)} {passage}")]
+        expected |= {(2 * k, at, at + 60, 2 * k + 1, 30, 90) for at in (70, 200, 330)}
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    sides = [tuple(r)[:6] if r["doc_id"] % 2 == 0 else tuple(r)[3:6] + tuple(r)[:3] for r in found]
+    assert {(a, s, e, b, p, q) for a, s, e, b, p, q in sides if (s, p) != (s // 130 * 130 + 70, 30)} == set()
+    assert set(sides) == expected and len(sides) == len(expected)
+
+
+def test_widest_passages_stand_for_those_in_them():
+    whole, shifted, other = (1, 2, 0, 100, 10, 110, 100, 1.0), (1, 2, 20, 80, 40, 100, 60, 1.0), (1, 2, 90, 150, 100, 160, 60, 1.0)
+    assert passages._widest({whole, (1, 2, 5, 70, 15, 80, 65, 1.0), shifted, other}) == [whole, shifted, other]
+
+
 def test_passages_take_rows_by_bytes(spark, monkeypatch):
     """However many rows a table has, Python holds some bytes of them at once, and the session's setting comes back."""
     limit = 40_000
