@@ -53,6 +53,22 @@ def test_rows_on_a_page(spark, total, offset, expected):
     assert row.n == expected
 
 
+def test_readers_take_few_landed_pages_at_once(spark, tmp_path):
+    """A reader holds up to 4,096 rows of one row group: pages of 50 KB land in groups of some MB."""
+    import pyarrow.parquet as pq
+
+    many = spark.range(0, 1500, 1, 2).select(
+        F.lit(2020).alias("season"), (F.col("id") * 100).cast("int").alias("page_offset"), F.lit(100).alias("page_limit"),
+        F.lit(150_000).alias("total_rows"), F.lit("u").alias("request_url"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(800)), lambda k: F.sha2(F.concat_ws("-", k, "id"), 256))).alias("payload"))
+    table = RawTable(spark, str(tmp_path))
+    table.replace(many, many, "load")
+    assert table.read().agg(F.count("*"), F.sum(F.length("payload"))).first()[0] == 1500
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "pages").rglob("*.parquet")]
+    groups = [f.row_group(k).total_byte_size for f in files for k in range(f.num_row_groups)]
+    assert sum(f.num_rows for f in files) == 1500 and max(groups) < 16 << 20
+
+
 def test_page_plan(spark):
     scopes = spark.createDataFrame([(2022, 367), (1993, 0)], "season int, total_rows int")
     assert [r.page_offset for r in landing.page_plan(scopes).orderBy("page_offset").collect()] == [0, 100, 200, 300]
