@@ -1,8 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from apexlake.plans import checks
-from apexlake.plans.assertions import colours_are_hex, durations_read_back
+from apexlake.plans.assertions import colours_are_hex, durations_read_back, last_lap_matches
 from apexlake.plans.warehouse import COLUMN_DESCRIPTIONS, DESCRIPTIONS, MARTS, MODELS, catalogued, described
 from apexlake.sources.seed import packaged_team_colours
 
@@ -29,6 +31,27 @@ def test_nulls_of_a_table_are_found_in_one_pass(facts):
     assert plan.count("Filter") == 1
 
 
+def test_last_laps_do_not_bring_the_drivers_of_a_race_together(spark):
+    tables = {
+        "raw_laps": spark.createDataFrame([(2000, 1), (2000, 2), (2000, 3), (2000, None)], "season int, round int"),
+        "fct_lap_positions": spark.createDataFrame(
+            [(200001, "a", 3), (200001, "b", 2), (200001, None, 1), (200002, "a", 0), (200003, "c", 5), (200004, "a", 1)], "race_id int, driver_id string, lap int"),
+        "fct_race_results": spark.createDataFrame(
+            [(200001, "a", 3), (200001, "b", 3), (200001, "d", 1), (200001, "e", 0), (200001, None, 1), (200002, "a", 4), (200004, "a", 9)],
+            "race_id int, driver_id string, laps_completed int"),
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wrong = last_lap_matches(tables.get)
+        found, plan = rows(wrong), wrong._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {
+        (200001, "b", 3, 2), (200001, "d", 1, None), (200001, None, 1, None), (200002, None, None, None), (200003, None, None, None), (None, None, None, None)}
+    assert not re.search(r"SortMergeJoin \[race_id#\d+\], \[race_id#\d+\], Left(Outer|Semi)", plan)
+
+
 def test_unique_and_combinations(facts):
     assert rows(checks.unique(facts, "driver")) == {("a", 2)}
     assert checks.unique(facts, "driver", "kind").isEmpty()
