@@ -143,16 +143,15 @@ def contamination(
     words of an item without an id count as hit; it has no name in the list.
     """
     own = keyed(docs, doc_id, text)
-    # Items go by id and text as well, so that two texts under one id stay apart.
-    tests = items.select(row_key(item_id, item_text).alias("item_id"), F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text"))
-    tests = tests.dropDuplicates(["item_id"])
-    spans = write_once(exact_matches(own, tests.select("item_id", "text"), window), "matches")
+    # Items go by their words: two texts under one id stay apart, and items of the same words are looked up once.
+    tests = items.select(F.xxhash64(words_of(F.col(item_text))).alias("item_id"), F.col(item_id).cast("string").alias("name"), F.col(item_text).alias("text"))
+    spans = write_once(exact_matches(own, tests.select("item_id", "text").dropDuplicates(["item_id"]), window), "matches")
     # Places of one document in order: a word counts where no earlier place has reached it.
     places = spans.select("key", "at", (F.col("at") + F.col("length")).alias("upto")).distinct()
     earlier = Window.partitionBy("key").orderBy("at", "upto").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.lit(0), F.col("upto") - F.greatest(F.col("at"), F.coalesce(F.max("upto").over(earlier), F.lit(0))))
     hits = places.withColumn("fresh", fresh).groupBy("key").agg(F.sum("fresh").alias("n_hit"))
-    named = spans.select("key", "item_id").distinct().join(small(tests.select("item_id", "name"), "names"), "item_id")
+    named = spans.select("key", "item_id").distinct().join(small(tests.select("item_id", "name").distinct(), "names"), "item_id")
     found = named.groupBy("key").agg(F.sort_array(F.collect_set("name")).alias("ids"))
     per_key = small(hits.join(found, "key"), "hits")
     n_words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(ANY_CASE_WORD)).cast("bigint")

@@ -724,6 +724,19 @@ def test_contamination_against_brute_force(spark, docs, empty):
     assert decontaminate.contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_items_of_the_same_words_are_looked_up_once(spark, monkeypatch):
+    """Thirty items of the same words, written in three ways, and another under one of their ids."""
+    looked_up, exact = [], decontaminate.exact_matches
+    monkeypatch.setattr(decontaminate, "exact_matches", lambda docs, items, window: looked_up.append(items.count()) or exact(docs, items, window))
+    one, two = prose(20, 501), prose(20, 502)
+    items = spark.createDataFrame(
+        [(k, (one, "".join(c.upper() if c.isascii() else c for c in one), one.replace(" ", ", "))[k % 3]) for k in range(30)] + [(7, two), (None, one)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{prose(9, 503)} {one}"), (2, f"{two} {prose(9, 504)}"), (3, prose(40, 505))], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert found == {1: (20, sorted(map(str, range(30)))), 2: (20, ["7"]), 3: (0, [])}
+    assert looked_up == [2]
+
+
 def test_very_long_item(spark):
     """Windows of a long item carry their own words only; a text that holds its middle is hit there."""
     item = prose(6000, 77)
